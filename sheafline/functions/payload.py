@@ -5,8 +5,19 @@ from pyspark.sql import functions as F
 ERROR_GROUP = "error_parsing"
 
 
+# Closes the array a message is wrapped in for parsing.
+END_MARK = "sheafline:end"
+
+
 def parsed(value):
-    return F.try_parse_json(value)
+    """Variant of a text that is one JSON value and nothing else; null otherwise.
+
+    The parser stops after the first value and would accept text behind it.
+    Inside an array closed by a mark, such text breaks the array or moves the mark.
+    """
+    wrapped = F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{END_MARK}"]')))
+    complete = F.try_variant_get(wrapped, "$[1]", "string") == END_MARK
+    return F.when(complete, F.try_variant_get(wrapped, "$[0]", "variant"))
 
 
 def is_object(value):

@@ -20,7 +20,8 @@ def stream_of(derived, spark, folder):
     """A derived input read as a file stream."""
     path = f"{folder.rstrip('/')}/{derived.table}.parquet"
     schema = prepare(spark).read.parquet(path).schema
-    rows = spark.readStream.schema(schema).parquet(path)
+    # as a glob, because a plain stream path must be a folder and a table may be one file
+    rows = spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/{{{derived.table}.parquet}}")
     naive = [f.name for f in schema.fields if f.dataType.typeName() == "timestamp_ntz"]
     rows = rows.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else rows
     return rows.selectExpr(*derived.expressions)
@@ -67,6 +68,14 @@ def stream_landing_rows(spark, folder):
     """Messages landed as JSON by topic and hour, read back with a schema."""
     work = shared_folder(spark, "stream-landing")
     rows = stream_of(inputs.BROKER_ROWS, spark, folder)
-    stream_landing(rows, f"{work}/landing", f"{work}/checkpoint", trigger=ALL_AVAILABLE).awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    stream_landing(
+        rows,
+        f"{work}/landing",
+        f"{work}/checkpoint",
+        trigger=ALL_AVAILABLE,
+        tasks=cores,
+        split=max(1, cores // 8),
+    ).awaitTermination()
     landed = read_landing(spark, f"{work}/landing", EMBEDDING_KEYS)
     return landed.select(*LANDING_LAYOUT, *EMBEDDING_KEYS.names)

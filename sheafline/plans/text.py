@@ -114,7 +114,10 @@ def decode_text(spark, folder):
     )
 
 
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", " "), ("&amp;", "&"))
+ENTITIES = (
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&nbsp;", "\u00a0"),
+    ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"),
+)
 
 
 def _decoded(expression):

@@ -47,11 +47,25 @@ def write_landing(messages, root, records_per_file=LANDING_RECORDS):
     _landing(rows.write.mode("append"), records_per_file).text(root)
 
 
+def gather_folders(rows, tasks, split=1):
+    """Send each folder's rows to ``split`` of ``tasks`` tasks.
+
+    Worth its shuffle for a backlog of many hours, where otherwise every task
+    writes a file to every folder.  ``split`` above 1 keeps a topic with most of
+    the records from ending in one task.
+    """
+    part = F.pmod(F.xxhash64("value"), F.lit(split))
+    return rows.repartition(tasks, *LANDING_LAYOUT, part)
+
+
 def stream_landing(messages, root, checkpoint, records_per_file=LANDING_RECORDS,
-                   trigger=None):
+                   trigger=None, tasks=None, split=1):
     """Streaming landing: new files every trigger, at most ``records_per_file`` rows each."""
-    writer = landing_rows(messages).writeStream.outputMode("append").format("text")
-    writer = _landing(writer, records_per_file).option("checkpointLocation", checkpoint)
+    rows = landing_rows(messages)
+    if tasks:
+        rows = gather_folders(rows, tasks, split)
+    writer = _landing(rows.writeStream.outputMode("append").format("text"), records_per_file)
+    writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": LANDING_TRIGGER})).start(root)
 
 
