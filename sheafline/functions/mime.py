@@ -32,13 +32,14 @@ READERS = {
 
 # Compression suffixes are looked through: report.txt.gz is still plain text.
 COMPRESSION_SUFFIXES = "gz|Z|bz2|xz|br"
-MARKDOWN_FALLBACK = {"md": "text/markdown"}
+# Suffixes of accepted types that not every Python release lists.
+LATER_SUFFIXES = {"md": "text/markdown", "docx": DOCX, "xlsx": XLSX}
 
 
 def suffix_table():
     """Suffix -> type from Python's standard table, not from files of this machine."""
     standard = mimetypes.MimeTypes(filenames=()).types_map[True]
-    return {**MARKDOWN_FALLBACK, **{ext.lstrip("."): kind for ext, kind in standard.items()}}
+    return {**LATER_SUFFIXES, **{ext.lstrip("."): kind for ext, kind in standard.items()}}
 
 
 def _lookup(table, key):

@@ -184,7 +184,9 @@ def _render_column(column):
                     for v in values)
         cells = [str(v).strip() if whole else format(float("nan" if v is None else v), "g") for v in values]
         return True, cells if whole else _align_points(cells)
-    return False, ["nan" if v is None else str(v) for v in values]
+    dates = all(isinstance(v, dt.datetime) for v in values if v is not None)
+    missing = "NaT" if dates else "nan"
+    return False, [missing if v is None else str(v) for v in values]
 
 
 def _align_points(cells):
