@@ -1,48 +1,55 @@
-"""JSON payloads: decoding with a failure route, and serialising."""
+"""JSON payloads: decoding with a failure route, and serialising.
+
+``decode`` parses a message once; the other functions take its result, so an
+operator puts it into a column of its own and reads several fields from it.
+"""
 
 from pyspark.sql import functions as F
 
 ERROR_GROUP = "error_parsing"
-
-
 # Closes the array a message is wrapped in for parsing.
 END_MARK = "sheafline:end"
 
 
-def parsed(value):
-    """Variant of a text that is one JSON value and nothing else; null otherwise.
+def decode(value):
+    """Variant ``[message, mark]`` of a JSON text, null when it does not parse.
 
     The parser stops after the first value and would accept text behind it.
-    Inside an array closed by a mark, such text breaks the array or moves the mark.
+    Inside an array closed by a mark, such text breaks the array or moves the
+    mark, which :func:`is_valid` notices.
     """
-    wrapped = F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{END_MARK}"]')))
-    complete = F.try_variant_get(wrapped, "$[1]", "string") == END_MARK
-    return F.when(complete, F.try_variant_get(wrapped, "$[0]", "variant"))
+    return F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{END_MARK}"]')))
+
+
+def is_valid(doc):
+    """True when the message is one JSON value and nothing else."""
+    mark = F.try_variant_get(doc, "$[1]", "string")
+    return F.coalesce(mark == END_MARK, F.lit(False))
 
 
-def is_object(value):
-    """True when the text is valid JSON and its top level is an object."""
-    return F.try_variant_get(parsed(value), "$", "map<string,variant>").isNotNull()
+def is_object(doc):
+    """True when the message is valid JSON and its top level is an object."""
+    return is_valid(doc) & F.try_variant_get(doc, "$[0]", "map<string,variant>").isNotNull()
 
 
-def safe_tenant(value):
-    """Grouping key of a message: its company_id, or ``error_parsing``.
+def tenant_or(doc, default):
+    """company_id of a message; ``default`` when the message has no such key.
 
-    Malformed JSON, non-objects and messages without the key fall into the
-    error group; an explicit JSON null stays a null group.
+    An absent key differs from an explicit JSON null, which stays null.
+    Malformed messages and non-objects count as having no key.
     """
-    raw = F.try_variant_get(parsed(value), "$.company_id", "variant")
-    return F.when(raw.isNull(), F.lit(ERROR_GROUP)).otherwise(
-        F.try_variant_get(parsed(value), "$.company_id", "string")
-    )
-
-
-def tenant_or(value, default):
-    """company_id of a message; ``default`` only when the key is absent."""
-    item = F.try_variant_get(parsed(value), "$.company_id", "variant")
-    return F.when(item.isNull(), F.lit(default)).otherwise(
-        F.try_variant_get(parsed(value), "$.company_id", "string")
-    )
+    present = F.try_variant_get(doc, "$[0].company_id", "variant").isNotNull()
+    return F.when(is_valid(doc) & present, text_field(doc, "company_id")).otherwise(F.lit(default))
+
+
+def safe_tenant(doc):
+    """Grouping key of a message: its company_id, or ``error_parsing``."""
+    return tenant_or(doc, ERROR_GROUP)
+
+
+def text_field(doc, name):
+    """A top-level field as text; null when absent or JSON null."""
+    return F.try_variant_get(doc, f"$[0].{name}", "string")
 
 
 def to_payload(*columns):

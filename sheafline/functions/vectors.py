@@ -11,8 +11,3 @@ def dot(left, right):
 
 def norm(vector):
     return F.sqrt(dot(vector, vector))
-
-
-def cosine(left, right):
-    """Cosine similarity; null when either vector has no length."""
-    return dot(left, right) / F.nullif(norm(left) * norm(right), F.lit(0.0))

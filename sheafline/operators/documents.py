@@ -2,7 +2,12 @@
 
 from pyspark.sql import functions as F
 
+from sheafline.schemas import DOCUMENT_STATES
+
 KEY = ("company_id", "document_id")
+# One sortable number from a time in microseconds and a change number.
+ORDER = "decimal(38,0)"
+SEQ_SPAN = 10**18
 # Fixed value: longest content an index row may hold, in characters.
 CONTENT_LIMIT = 20000
 TITLE_LENGTH = 50
@@ -28,9 +33,17 @@ def enrich_chunks(chunks, content_limit=CONTENT_LIMIT):
     )
 
 
-def replace_documents(existing, incoming):
-    """Replace every chunk of each incoming document; other documents stay."""
-    replaced = incoming.select(*KEY).distinct()
+def replace_documents(existing, incoming, processed=None):
+    """Replace every chunk of each processed document; other documents stay.
+
+    ``processed`` lists the documents that were run again; without it they are
+    taken from the incoming chunks, which leaves a document that now has no
+    chunk as it was.  The list holds each document once and carries no text, so
+    Spark can broadcast it while it is small; for more documents than that keep
+    the chunk table bucketed by document (see ``write_chunk_table``), and the
+    stored text is not shuffled either.
+    """
+    replaced = (incoming if processed is None else processed).select(*KEY).distinct()
     return existing.join(replaced, list(KEY), "left_anti").unionByName(incoming)
 
 
@@ -44,18 +57,25 @@ def tenant_chunk_counts(table, company_id):
     return tenant_rows(table, company_id).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
-def latest_status(changes):
+def latest_status(changes, states=DOCUMENT_STATES):
     """Latest state per document of a change log (document, company, status, ts, seq).
 
-    ``max_by`` keeps one candidate per task and key, so a document with most of
-    the changes needs no sort in one place.
+    Each task keeps one candidate per document, so a document with most of the
+    changes costs nothing extra.  State and order are held as numbers, which
+    lets Spark aggregate by hash; text or nested values would make it sort the
+    log first.  A state that is not listed shows as null.
     """
-    order = F.struct("ts", "seq")
-    return changes.groupBy(*KEY).agg(
-        F.max_by("status", order).alias("status"),
+    listed = F.array(*[F.lit(x) for x in states])
+    code = F.array_position(listed, F.col("status")).cast("int")
+    order = F.unix_micros("ts").cast(ORDER) * F.lit(SEQ_SPAN).cast(ORDER) + F.col("seq").cast(ORDER)
+    latest = changes.groupBy(*KEY).agg(
+        F.max_by(code, order.cast(ORDER)).alias("__code"),
         F.max("ts").alias("updated_at"),
         F.count(F.lit(1)).alias("n_changes"),
     )
+    return latest.select(
+        *KEY, F.get(listed, F.col("__code") - 1).alias("status"), "updated_at", "n_changes"
+    )
 
 
 def retry_candidates(status):

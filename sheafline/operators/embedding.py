@@ -51,12 +51,13 @@ def embed_messages(messages, dimension=DEFAULT_DIMENSION, value="value"):
 
     An absent tenant becomes ``unknown``; an explicit null stays null.
     """
-    key = F.col(value)
-    chunks = messages.filter(payload.is_object(key)).select(
-        F.get_json_object(key, "$.chunk_id").alias("chunk_id"),
-        F.get_json_object(key, "$.document_id").alias("document_id"),
-        payload.tenant_or(key, UNKNOWN_COMPANY).alias("company_id"),
-        F.get_json_object(key, "$.text").alias("text"),
+    doc = F.col("__json")
+    parsed = messages.select(payload.decode(F.col(value)).alias("__json"))
+    chunks = parsed.filter(payload.is_object(doc)).select(
+        payload.text_field(doc, "chunk_id").alias("chunk_id"),
+        payload.text_field(doc, "document_id").alias("document_id"),
+        payload.tenant_or(doc, UNKNOWN_COMPANY).alias("company_id"),
+        payload.text_field(doc, "text").alias("text"),
     )
     return embed_chunks(chunks, dimension)
 

@@ -63,19 +63,16 @@ def decode_messages(messages, schema, value="value"):
     that are not a JSON object are quarantined whole, with a reason, instead of
     being dropped or stopping the consumer.
     """
-    good = payload.is_object(F.col(value))
-    decoded = messages.filter(good).select(
-        "*", F.from_json(F.col(value), schema).alias("__payload")
+    parsed = messages.withColumn("__json", payload.decode(F.col(value))).withColumn(
+        "__ok", payload.is_object(F.col("__json"))
     )
     keep = [c for c in messages.columns if c != value]
-    decoded = decoded.select(*keep, "__payload.*")
-    quarantined = messages.filter(~good).withColumn(
-        "reason",
-        F.when(payload.parsed(F.col(value)).isNull(), F.lit("invalid_json")).otherwise(
-            F.lit("not_an_object")
-        ),
+    decoded = parsed.filter("__ok").select(*keep, F.from_json(F.col(value), schema).alias("__p"))
+    reason = F.when(payload.is_valid(F.col("__json")), F.lit("not_an_object")).otherwise(
+        F.lit("invalid_json")
     )
-    return decoded, quarantined
+    quarantined = parsed.filter("NOT __ok").withColumn("reason", reason).drop("__json", "__ok")
+    return decoded.select(*keep, "__p.*"), quarantined
 
 
 def with_content_type(events):
@@ -106,7 +103,8 @@ def with_text(chunks):
 
 def tenant_counts(messages, value="value"):
     """Message count per safely parsed tenant."""
-    return messages.groupBy(payload.safe_tenant(F.col(value)).alias("company_id")).agg(
+    parsed = messages.select(payload.decode(F.col(value)).alias("__json"))
+    return parsed.groupBy(payload.safe_tenant(F.col("__json")).alias("company_id")).agg(
         F.count(F.lit(1)).alias("n_messages")
     )
 

@@ -5,10 +5,16 @@ size is under the session threshold, and adaptive execution splits skewed
 partitions.  Sides that are looked up are reduced to one row per key first.
 """
 
+import pandas as pd
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheafline.operators.events import STAGE_DOWNLOAD
 
+# Files returned to Spark at a time, which bounds the memory of a task.
+FILES_PER_BATCH = 16
+
 
 def fetch_objects(events, objects, path="s3_path"):
     """(found, missing): events with their object, and events without one.
@@ -22,6 +28,48 @@ def fetch_objects(events, objects, path="s3_path"):
     return found, missing.withColumn("stage", F.lit(STAGE_DOWNLOAD))
 
 
+def read_by_path(events, root, file_system=None, path="s3_path"):
+    """(found, missing): events with the file each one names, read by the task.
+
+    The counterpart of :func:`fetch_objects` for stores too large to list or
+    shuffle: only events move, and each task opens the files of its own events.
+    ``file_system()`` returns a PyArrow file system and the root inside it.
+    """
+
+    def default_file_system():
+        return FileSystem.from_uri(root) if "://" in root else (LocalFileSystem(), root)
+
+    def read(frames):
+        store, base = (file_system or default_file_system)()
+        for frame in frames:
+            for start in range(0, len(frame), FILES_PER_BATCH):
+                part = frame.iloc[start : start + FILES_PER_BATCH]
+                results = [_read_file(store, base, p) for p in part[path]]
+                yield part.assign(
+                    content=pd.Series([c for c, _ in results], index=part.index, dtype=object),
+                    error=pd.Series([e for _, e in results], index=part.index, dtype=object),
+                )
+
+    schema = T.StructType(
+        events.schema.fields
+        + [T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
+    )
+    fetched = events.mapInPandas(read, schema)
+    missing = fetched.filter("error IS NOT NULL").drop("content")
+    return (
+        fetched.filter("error IS NULL").drop("error"),
+        missing.withColumn("stage", F.lit(STAGE_DOWNLOAD)),
+    )
+
+
+def _read_file(store, base, path):
+    try:
+        with store.open_input_stream(f"{base.rstrip('/')}/{path}") as file:
+            return file.read(), None
+    except Exception as error:
+        return None, f"{type(error).__name__}: {error}"
+
+
 def existing_objects(events, listing, path="s3_path"):
     return events.join(listing.select(F.col("path").alias(path)), path, "left_semi")
 
@@ -74,12 +122,22 @@ def reconcile_status(documents, objects, chunks, vectors):
     )
 
 
-def guard_duplicates(uploads, existing):
-    """(accepted, rejected) uploads by (company_id, filename).
+def flag_duplicates(uploads, existing):
+    """Add ``accepted`` to uploads (company_id, filename).
 
     An upload is refused when a document of the same name exists in any state
-    but ``error``.  The lookup side holds each name once.
+    but ``error``.  The lookup side holds each name once, so no row multiplies.
     """
     key = ["company_id", "filename"]
     taken = existing.filter(F.col("status") != "error").select(*key).distinct()
-    return uploads.join(taken, key, "left_anti"), uploads.join(taken, key, "left_semi")
+    flagged = uploads.join(taken.withColumn("__taken", F.lit(True)), key, "left")
+    return flagged.withColumn("accepted", F.col("__taken").isNull()).drop("__taken")
+
+
+def guard_duplicates(uploads, existing):
+    """(accepted, rejected) uploads."""
+    flagged = flag_duplicates(uploads, existing)
+    return (
+        flagged.filter("accepted").drop("accepted"),
+        flagged.filter("NOT accepted").drop("accepted"),
+    )

@@ -82,7 +82,7 @@ def of_metric(observations, name):
 
 def counter_totals(observations):
     """Total per metric and label set, all metrics in one pass."""
-    series = F.array_sort(F.map_entries("labels"))
+    series = F.sort_array(F.map_entries("labels"))
     return (
         observations.groupBy("metric", series.alias("__series"))
         .agg(F.sum("value").alias("total"))

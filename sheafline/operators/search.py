@@ -1,21 +1,27 @@
 """Tenant-scoped similarity search."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from sheafline.functions import vectors
 
 
-def tenant_topk(embeddings, company_id, query, k):
+def tenant_topk(embeddings, company_id, query, k, unit_vectors=False):
     """The ``k`` most similar vectors of one tenant; ties by chunk id.
 
     The tenant filter reaches the scan, and ordering with a limit keeps only
-    ``k`` rows per task, so no full sort happens.
+    ``k`` rows per task, so no full sort happens.  ``unit_vectors`` says that the
+    stored vectors have length 1, as the default model's do, and saves computing it.
     """
-    target = F.array(*[F.lit(float(x)) for x in query])
+    length = math.sqrt(sum(float(x) ** 2 for x in query))
+    if length == 0:
+        raise ValueError("the query vector has no direction")
+    target = F.array(*[F.lit(float(x) / length) for x in query])
+    score = vectors.dot(F.col("vector"), target)
+    if not unit_vectors:
+        score = score / F.nullif(vectors.norm(F.col("vector")), F.lit(0.0))
     scored = embeddings.filter(F.col("company_id") == company_id).select(
-        "chunk_id",
-        "document_id",
-        "company_id",
-        vectors.cosine(F.col("vector"), target).alias("score"),
+        "chunk_id", "document_id", "company_id", score.alias("score")
     )
     return scored.orderBy(F.desc("score"), "chunk_id").limit(k)

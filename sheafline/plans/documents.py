@@ -54,7 +54,7 @@ def chunk_upsert(spark, folder):
     columns = ["company_id", "document_id", "chunk_index", "text"]
     old = chunking.chunk_text(texts).select(*columns)
     new = chunking.chunk_text(again, SMALL).select(*columns)
-    return documents.replace_documents(old, new)
+    return documents.replace_documents(old, new, processed=labelled)
 
 
 @query(
@@ -155,10 +155,7 @@ def status_reconcile(spark, folder):
           ON u.company_id = e.company_id AND u.filename = e.filename""",
 )
 def duplicate_guard(spark, folder):
-    accepted, rejected = joins.guard_duplicates(
+    flagged = joins.flag_duplicates(
         inputs.FILED_DOCUMENTS.frame(spark, folder), inputs.EXISTING_FILES.frame(spark, folder)
     )
-    columns = ["document_id", "company_id", "filename"]
-    return accepted.select(*columns, F.lit(True).alias("accepted")).unionByName(
-        rejected.select(*columns, F.lit(False).alias("accepted"))
-    )
+    return flagged.select("document_id", "company_id", "filename", "accepted")

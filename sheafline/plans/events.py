@@ -88,13 +88,14 @@ def upload_status(spark, folder):
 )
 def tenant_default(spark, folder):
     """Both defaults: an absent key in a message, and a tenant that was not sent at all."""
-    messages = inputs.MESSAGES.frame(spark, folder)
+    doc = F.col("doc")
+    messages = inputs.MESSAGES.frame(spark, folder).withColumn("doc", payload.decode(F.col("value")))
     is_array = F.coalesce(F.col("value").startswith("["), F.lit(False))
     sent = messages.withColumn("company_id", F.when(~is_array, F.lit("tenant")))
-    filled = events.default_company(sent.filter(payload.is_object(F.col("value")) | is_array))
+    filled = events.default_company(sent.filter(payload.is_object(doc) | is_array))
     return filled.select(
         "event_id",
-        payload.tenant_or(F.col("value"), events.UNKNOWN_COMPANY).alias("company_id"),
+        payload.tenant_or(doc, events.UNKNOWN_COMPANY).alias("company_id"),
         F.col("company_id").alias("sent_company"),
     )
 
@@ -126,7 +127,7 @@ def json_quarantine(spark, folder):
           FROM {inputs.MESSAGES.sql}) GROUP BY company_id""",
 )
 def safe_parse_counts(spark, folder):
-    return events.tenant_counts(inputs.MESSAGES.frame(spark, folder))
+    return events.tenant_counts(inputs.MESSAGES.frame(spark, folder, spread_out=True))
 
 
 @query(

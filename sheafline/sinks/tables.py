@@ -79,6 +79,17 @@ def write_raw_objects(objects, root):
     rows.write.mode("append").partitionBy("company_id").parquet(root)
 
 
+def write_chunk_table(chunks, table, buckets, mode="overwrite"):
+    """Chunk records as a catalog table bucketed by document.
+
+    Counting, replacing or reconciling by document then works bucket by bucket,
+    without moving the stored text.
+    """
+    key = ("company_id", "document_id")
+    writer = chunks.repartition(buckets, *key).write.mode(mode)
+    writer.bucketBy(buckets, *key).sortBy(*key).saveAsTable(table)
+
+
 def stream_layer(rows, path, checkpoint, trigger=None, partition=None):
     """One pipeline layer as a Parquet table with its own checkpoint, exactly once."""
     writer = rows.writeStream.outputMode("append").format("parquet")

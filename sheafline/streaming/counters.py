@@ -14,7 +14,8 @@ CHECKPOINT_EVERY = "30 seconds"
 
 def with_tenant(messages, value="value"):
     """Broker rows reduced to tenant and record time; the payload is not carried on."""
-    return messages.select(payload.safe_tenant(F.col(value)).alias("company_id"), "timestamp")
+    parsed = messages.select(payload.decode(F.col(value)).alias("__json"), "timestamp")
+    return parsed.select(payload.safe_tenant(F.col("__json")).alias("company_id"), "timestamp")
 
 
 def processing_time_counts(messages, width=PROCESSING_WINDOW):

@@ -1,6 +1,7 @@
 """Comparison of registered queries with their SQL on DuckDB.
 
-Run ``python -m tests.oracle [folder] [query ...]`` for a report.
+Run ``python -m tests.oracle [folder] [query ...]`` for a report, with
+``PLAIN_SESSION=1`` on a session that has none of this package's defaults.
 """
 
 import math
@@ -58,20 +59,23 @@ def compare(spark, con, folder, fn, sql):
 
 def main(argv):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    from pyspark.sql import SparkSession
+
     from sheafline import build_session
     from sheafline.plans import catalog
 
     folder = argv[0] if argv else "/root/testdata/sf0.01"
-    spark = build_session(
-        "oracle",
-        "local[8]",
-        **{
-            "spark.ui.enabled": "false",
-            "spark.sql.shuffle.partitions": "8",
-            "spark.ui.showConsoleProgress": "false",
-            "spark.driver.memory": "8g",
-        },
-    )
+    quiet = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    if os.environ.get("PLAIN_SESSION"):
+        builder = SparkSession.builder.master("local[8]")
+        for key, value in quiet.items():
+            builder = builder.config(key, value)
+        spark = builder.getOrCreate()
+    else:
+        spark = build_session(
+            "oracle", "local[8]",
+            **{**quiet, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+        )
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(folder)
     bad = 0

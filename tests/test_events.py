@@ -35,7 +35,7 @@ TENANT_CASES = [
 
 def test_safe_tenant(spark):
     df = spark.createDataFrame(TENANT_CASES, "value STRING, expected STRING")
-    rows = df.withColumn("got", payload.safe_tenant(F.col("value"))).collect()
+    rows = df.withColumn("got", payload.safe_tenant(payload.decode(F.col("value")))).collect()
     assert [r.got for r in rows] == [r.expected for r in rows]
 
 
@@ -50,13 +50,13 @@ def plain_tenant(value):
 def test_safe_tenant_agrees_with_a_json_library_on_string_tenants(spark):
     values = [v for v, expected in TENANT_CASES if expected is not None]
     df = spark.createDataFrame([(v,) for v in values], "value STRING")
-    got = [r[0] for r in df.select(payload.safe_tenant(F.col("value"))).collect()]
+    got = [r[0] for r in df.select(payload.safe_tenant(payload.decode(F.col("value")))).collect()]
     assert got == [plain_tenant(v) for v in values]
 
 
 def test_absent_key_gets_default_null_stays(spark):
     df = spark.createDataFrame([('{"x":1}',), ('{"company_id":null}',), ('{"company_id":"a"}',)], "v STRING")
-    got = [r[0] for r in df.select(payload.tenant_or(F.col("v"), "unknown")).collect()]
+    got = [r[0] for r in df.select(payload.tenant_or(payload.decode(F.col("v")), "unknown")).collect()]
     assert got == ["unknown", None, "a"]
 
 

@@ -137,3 +137,25 @@ def test_shared_folder_follows_the_session(spark):
     parent = spark.conf.get("spark.checkpoint.dir")
     first, second = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert first.startswith(parent) and first != second
+
+
+def test_files_read_by_path(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c/a.txt").write_bytes(b"alpha")
+    events = spark.createDataFrame([(str(i), p) for i, p in enumerate(["c/a.txt", "c/none.txt", None, "c/a.txt"])], "document_id STRING, s3_path STRING")
+    found, missing = joins.read_by_path(events, str(tmp_path))
+    assert sorted((r.document_id, bytes(r.content)) for r in found.collect()) == [("0", b"alpha"), ("3", b"alpha")]
+    assert {r.document_id: r.stage for r in missing.collect()} == {"1": "s3_download", "2": "s3_download"}
+
+
+def test_unknown_state_is_visible(spark):
+    ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    log = spark.createDataFrame([("a", "1", "odd", ts, 1), ("a", "1", "error", ts, 0)], "company_id STRING, document_id STRING, status STRING, ts TIMESTAMP, seq LONG")
+    assert documents.latest_status(log).first().status is None
+
+
+def test_processed_document_without_new_chunks_is_emptied(spark):
+    old = chunk_table(spark, [("a", "1", 0, "old"), ("a", "2", 0, "kept")])
+    processed = spark.createDataFrame([("a", "1")], "company_id STRING, document_id STRING")
+    left = documents.replace_documents(old, old.limit(0), processed).collect()
+    assert [r.document_id for r in left] == ["2"]
