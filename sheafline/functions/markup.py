@@ -94,8 +94,7 @@ def html_nodes(markup):
 
 
 @F.pandas_udf(HTML_RESULT)
-def html_to_text(content: pd.Series) -> pd.DataFrame:
-    """Struct (text, title) of HTML bytes, decoded as UTF-8 with replacement."""
+def _html_to_text(content: pd.Series) -> pd.DataFrame:
     rows = [
         (None, None) if raw is None else html_nodes(bytes(raw).decode("utf-8", "replace"))
         for raw in content
@@ -103,22 +102,43 @@ def html_to_text(content: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "title"])
 
 
-# Markdown constructs and the text each renders to.  Order matters:
-# images before links, setext underlines before rules and bullets.
+def html_to_text(content):
+    """Struct (text, title) of HTML bytes, decoded as UTF-8 with replacement.
+
+    Declared non-deterministic so that a later filter on the result is not
+    pushed below it, which would parse every page twice.
+    """
+    return _html_to_text.asNondeterministic()(content)
+
+
+# Markdown constructs as (text that must occur, pattern, what it renders
+# to).  Order matters:
+# code before marks, images before links, addresses before tags, setext underlines
+# before rules and bullets, escapes and entities last.
 MARKDOWN_RULES = (
-    (r"!\[[^\]]*\]\([^)]*\)", ""),
-    (r"!\[[^\]]*\]\[[^\]]*\]", ""),
-    (r"\[([^\]]+)\]\([^)]*\)", "$1"),
-    (r"\[([^\]]+)\]\[[^\]]*\]", "$1"),
-    (r"(?m)^ {0,3}\[[^\]]+\]:[ \t]+\S+.*$", ""),
-    (r"<((?:https?|ftp|mailto):[^>\s]+)>", "$1"),
-    (r"(?m)^([^\n#>*+-][^\n]*)\n=+[ \t]*$", "# $1"),
-    (r"(?m)^([^\n#>*+-][^\n]*)\n-+[ \t]*$", "## $1"),
-    (r"(?m)^(#{1,6})[ \t]*([^\n#][^\n]*?)[ \t]*#*[ \t]*$", "$1 $2"),
-    (r"(?m)^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$", "* * *"),
-    (r"(?m)^([ \t]*)[*+-][ \t]+", "$1* "),
-    (r"__([^_\n]+)__", "**$1**"),
-    (r"(^|[^*\w])\*([^*\s](?:[^*\n]*[^*\s])?)\*([^*\w]|$)", "$1_$2_$3"),
+    ("```", r"(?s)```[ \t]*\n?(.*?)\s*```", "`$1`"),
+    ("<!--", r"(?s)<!--.*?-->", ""),
+    ("![", r"!\[[^\]]*\](?:\([^)]*\)|\[[^\]]*\])", ""),
+    ("[", r"\[([^\]]+)\](?:\([^)]*\)|\[[^\]]*\])", "$1"),
+    ("]:", r"(?m)^ {0,3}\[[^\]]+\]:[ \t]+\S+.*$", ""),
+    ("<", r"<((?:https?|ftp|mailto):[^>\s]+|[^\s<>@/]+@[^\s<>@]+)>", "$1"),
+    ("<", r"</?(?:b|strong)>", "**"),
+    ("<", r"</?(?:i|em|u)>", "_"),
+    ("<", r"</?[A-Za-z][^<>]*>", ""),
+    ("\n=", r"(?m)^([^\n#>*+-][^\n]*)\n=+[ \t]*$", "# $1"),
+    ("\n-", r"(?m)^([^\n#>*+-][^\n]*)\n-+[ \t]*$", "## $1"),
+    ("#", r"(?m)^(#{1,6})[ \t]*([^\n#][^\n]*?)[ \t]*#*[ \t]*$", "$1 $2"),
+    ("", r"(?m)^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$", "* * *"),
+    ("", r"(?m)^([ \t]*)[*+-][ \t]+", "$1* "),
+    ("***", r"\*\*\*([^*\s](?:[^*\n]*[^*\s])?)\*\*\*", "**_$1_**"),
+    ("__", r"__([^_\n]+)__", "**$1**"),
+    ("*", r"(^|[^*\w\\])\*([^*\s](?:[^*\n]*[^*\s])?)\*([^*\w]|$)", "$1_$2_$3"),
+    ("\\", r"\\([`*_{}\[\]()#+.!-])", "$1"),
+    ("&nbsp;", r"&nbsp;", " "),
+    ("&quot;", r"&quot;", '"'),
+    ("&lt;", r"&lt;", "<"),
+    ("&gt;", r"&gt;", ">"),
+    ("&amp;", r"&amp;", "&"),
 )
 
 
@@ -128,7 +148,12 @@ def markdown_to_text(markdown):
     The target is the sequence of whitespace-separated tokens, which is all the
     chunker sees; line wrapping of a renderer is not reproduced.
     """
-    out = markdown
-    for pattern, replacement in MARKDOWN_RULES:
-        out = F.regexp_replace(out, pattern, replacement)
-    return out
+    texts = F.array(markdown)  # one element, so that every rule sees its input once
+    for occurs, pattern, replacement in MARKDOWN_RULES:
+        texts = F.transform(texts, _rule(occurs, pattern, replacement))
+    return F.get(texts, F.lit(0))
+
+
+def _rule(occurs, pattern, replacement):
+    """Apply a pattern only to texts that hold its mark: most texts skip most rules."""
+    return lambda t: F.when(t.contains(occurs), F.regexp_replace(t, pattern, replacement)).otherwise(t)

@@ -6,7 +6,9 @@ nothing is shuffled and the document ordinal needs no window function.
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sheafline.functions import ids, text
 
@@ -49,23 +51,16 @@ class ChunkSpec:
 def chunk_text(df, spec=ChunkSpec(), column="text"):
     """One row per chunk of a text column; other columns are carried along.
 
-    Blank texts yield no chunk.  They are removed by a test on the raw text that
-    stops at its first word, and the fan-out is the outer form because the plain
-    form makes the optimizer derive a size filter, which would split each text
-    a second time.
+    Blank texts yield no chunk.  The fan-out is the outer form with the empty
+    result removed afterwards: for the plain form the optimizer derives a filter
+    on the split words and pushes it down, so every text would be split twice.
     """
     keep = [c for c in df.columns if c != column]
-    split = df.filter(text.has_text(F.col(column))).select(
-        *keep, text.words(F.col(column)).alias("__words")
-    )
-    indexed = split.select(
-        *keep,
-        "__words",
-        F.explode_outer(F.sequence(F.lit(0), spec.last_index(F.size("__words")))).alias(
-            "chunk_index"
-        ),
-    )
-    return indexed.select(
+    split = df.select(*keep, text.words(F.col(column)).alias("__words"))
+    count = F.size("__words")
+    windows = F.when(count > 0, F.sequence(F.lit(0), spec.last_index(count)))
+    indexed = split.select(*keep, "__words", F.explode_outer(windows).alias("chunk_index"))
+    return indexed.filter(F.col("chunk_index").isNotNull()).select(
         *keep, "chunk_index", spec.slice(F.col("__words"), F.col("chunk_index")).alias(column)
     )
 
@@ -85,8 +80,7 @@ def chunk_pages(df, spec=ChunkSpec(), column="pages"):
     a sort.
     """
     keep = [c for c in df.columns if c != column]
-    with_words = F.exists(F.col(column), lambda p: text.has_text(p["text"]))
-    split = df.filter(with_words).select(*keep, _split_pages(F.col(column)).alias("__pages"))
+    split = df.select(*keep, _split_pages(F.col(column)).alias("__pages"))
     layout = F.flatten(
         F.transform(
             F.col("__pages"),
@@ -98,7 +92,7 @@ def chunk_pages(df, spec=ChunkSpec(), column="pages"):
     )
     indexed = split.select(*keep, "__pages", F.posexplode_outer(layout).alias("chunk_index", "__w"))
     page = F.get(F.col("__pages"), F.col("__w.at"))
-    return indexed.select(
+    return indexed.filter(F.col("chunk_index").isNotNull()).select(
         *keep,
         "chunk_index",
         page["page"].alias("page"),
@@ -106,6 +100,22 @@ def chunk_pages(df, spec=ChunkSpec(), column="pages"):
     )
 
 
+def chunk_with(df, chunker, column="text"):
+    """Chunks of a plugged-in ``chunker(text) -> list of texts``, one row per chunk.
+
+    The function runs in Arrow batches; blank texts never reach it.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.StringType()))
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: list(chunker(t)))
+
+    keep = [c for c in df.columns if c != column]
+    cut = df.filter(text.has_text(F.col(column))).select(*keep, run(column).alias("__chunks"))
+    fanned = cut.select(*keep, F.posexplode_outer("__chunks").alias("chunk_index", column))
+    return fanned.filter(F.col("chunk_index").isNotNull())
+
+
 def with_chunk_ids(chunks, page="page", random_ids=False):
     """Add ``chunk_id``; deterministic unless ``random_ids``."""
     at = F.col(page) if page in chunks.columns else F.lit(None).cast("int")

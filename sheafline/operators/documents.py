@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from sheafline.schemas import DOCUMENT_STATES
+from sheafline.functions.ids import NO_PAGE
+from sheafline.schemas import CHUNK_METADATA, DOCUMENT_STATES, VECTOR_STATES
 
 KEY = ("company_id", "document_id")
 # One sortable number from a time in microseconds and a change number.
@@ -11,16 +12,19 @@ SEQ_SPAN = 10**18
 # Fixed value: longest content an index row may hold, in characters.
 CONTENT_LIMIT = 20000
 TITLE_LENGTH = 50
+FULL_TEXT = 2**31 - 1
 
 
-def enrich_chunks(chunks, content_limit=CONTENT_LIMIT):
+def enrich_chunks(chunks, content_limit=CONTENT_LIMIT, count_tokens=None):
     """Index rows: key, hash, token count and title, content cut to the index limit.
 
-    Tokens are whitespace tokens.  The hash covers the whole content; only the
-    indexed copy is cut, the chunk table keeps the full text.
+    Tokens are whitespace tokens unless ``count_tokens`` (a function of the text
+    column) says otherwise.  Hash and tokens cover the whole text; only the
+    indexed copy is cut.  A ``file_name`` or ``vector`` column is carried along.
     """
     content = F.col("text")
     tokens = F.when(content == "", F.lit(0)).otherwise(F.size(F.split(content, " ")))
+    extra = [c for c in ("file_name", "vector") if c in chunks.columns]
     return chunks.select(
         F.concat_ws("_", "document_id", "chunk_index").alias("pk_id"),
         *KEY,
@@ -28,8 +32,30 @@ def enrich_chunks(chunks, content_limit=CONTENT_LIMIT):
         F.substring(content, 1, content_limit).alias("content"),
         "page",
         F.substring(content, 1, TITLE_LENGTH).alias("title"),
-        tokens.alias("tokens"),
+        (tokens if count_tokens is None else count_tokens(content)).alias("tokens"),
         F.sha2(content, 256).alias("content_hash"),
+        *extra,
+    )
+
+
+def chunk_table_rows(chunks, vector_status="created", count_tokens=None):
+    """Chunk-table rows: full content, nested metadata and the index key as embedding id.
+
+    A page of -1 means the format has no pages and is stored as null.
+    """
+    if vector_status not in VECTOR_STATES:
+        raise ValueError(f"unknown vector state {vector_status}")
+    indexed = enrich_chunks(chunks, FULL_TEXT, count_tokens)
+    metadata = F.struct(
+        F.nullif(F.col("page"), F.lit(NO_PAGE)).alias("page"), "title", "tokens", "content_hash"
+    )
+    return indexed.select(
+        *KEY,
+        "chunk_index",
+        "content",
+        metadata.cast(CHUNK_METADATA).alias("metadata"),
+        F.col("pk_id").alias("embedding_id"),
+        F.lit(vector_status).alias("vector_status"),
     )
 
 

@@ -1,12 +1,15 @@
 """Text extraction jobs: binary rows in, page arrays with metadata and errors out.
 
-A reader is a function from the content column to a struct (pages, metadata,
-error).  All readers run in one pass: each sees the content of its own rows and
-null elsewhere, so objects are scanned once however many formats there are.
-Plain text and Markdown stay in the JVM; HTML and the zipped office formats
-parse whole files in Arrow batches.
+A reader parses the content column into one column of its own and derives
+pages, metadata and an error from it.  All readers run in one pass: each sees
+the content of its own rows and null elsewhere, so objects are scanned once
+however many formats there are.  Plain text and Markdown stay in the JVM; HTML
+and the zipped office formats parse whole files in Arrow batches.
 """
 
+from dataclasses import dataclass
+from typing import Callable
+
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,38 +37,48 @@ def _metadata(**items):
     return F.create_map(*[x for k, v in items.items() for x in (F.lit(k), v.cast("string"))])
 
 
-def _result(pages, metadata=None, error=None):
-    none = F.lit(None)
-    return F.struct(
-        pages.cast(PAGES).alias("pages"),
-        (none.cast(METADATA) if metadata is None else metadata).alias("metadata"),
-        (none.cast("string") if error is None else error).alias("error"),
-    )
+def _nothing(_):
+    return F.lit(None)
+
 
+@dataclass(frozen=True)
+class Reader:
+    """How one format is read; every part is a function from column to column.
 
-def read_plain(content):
-    decoded = text.decode_bytes(content)
-    return _result(_one_page(decoded["text"]), _metadata(encoding_used=decoded["encoding"]))
+    ``parse`` takes the content and runs once per file; the other parts take its
+    result.
+    """
 
+    parse: Callable
+    pages: Callable
+    metadata: Callable = _nothing
+    error: Callable = _nothing
 
-def read_html(content):
-    parsed = markup.html_to_text(content)
-    return _result(_one_page(parsed["text"]), _metadata(title_extracted=parsed["title"]))
 
+PLAIN = Reader(
+    parse=text.decode_bytes,
+    pages=lambda d: _one_page(d["text"]),
+    metadata=lambda d: _metadata(encoding_used=d["encoding"]),
+)
 
-def read_markdown(content):
-    as_text = content.cast("string")
-    valid = F.is_valid_utf8(as_text)
-    return _result(
-        F.when(valid, _one_page(markup.markdown_to_text(as_text))),
-        error=F.when(~valid, F.lit("markdown is not valid utf-8")),
-    )
+HTML = Reader(
+    parse=markup.html_to_text,
+    pages=lambda d: _one_page(d["text"]),
+    metadata=lambda d: _metadata(title_extracted=d["title"]),
+)
+
+MARKDOWN = Reader(
+    parse=lambda content: content.cast("string"),
+    pages=lambda t: F.when(F.is_valid_utf8(t), _one_page(markup.markdown_to_text(t))),
+    error=lambda t: F.when(~F.is_valid_utf8(t), F.lit("markdown is not valid utf-8")),
+)
 
 
 def file_reader(parse):
     """Reader from a function of one file's bytes to (pages, metadata).
 
     A file that cannot be parsed becomes an error value; the others go on.
+    Declared non-deterministic so that a filter on the error does not parse twice.
     """
 
     @F.pandas_udf(RESULT)
@@ -78,7 +91,12 @@ def file_reader(parse):
                 rows.append((None, None, f"{type(error).__name__}: {error}"))
         return pd.DataFrame(rows, columns=["pages", "metadata", "error"])
 
-    return run
+    return Reader(
+        parse=run.asNondeterministic(),
+        pages=lambda r: r["pages"],
+        metadata=lambda r: r["metadata"],
+        error=lambda r: r["error"],
+    )
 
 
 def _read_docx(content):
@@ -101,9 +119,9 @@ def _read_xlsx(content):
 
 
 READERS = {
-    "txt": read_plain,
-    "html": read_html,
-    "md": read_markdown,
+    "txt": PLAIN,
+    "html": HTML,
+    "md": MARKDOWN,
     "docx": file_reader(_read_docx),
     "xlsx": file_reader(_read_xlsx),
 }
@@ -123,26 +141,35 @@ def _reader_name(strict):
 def extract_text(objects, readers=None, strict=False):
     """Run every row's reader; rows need ``content`` and ``content_type``.
 
-    ``readers`` adds or replaces readers (a PDF reader plugs in as ``pdf``).
+    ``readers`` adds or replaces readers by name (a PDF reader plugs in as ``pdf``).
+    The parts of the result stay separate columns, so a filter on the error does
+    not compute the pages.
     ``strict`` refuses types that reach a reader only through normalisation,
     such as ``text/html; charset=utf-8``.  Failures carry ``error`` and ``stage``.
     """
     table = {**READERS, **(readers or {})}
     name = F.col("reader")
-    kind = F.coalesce(F.col("content_type"), F.lit("null"))
-    refused = _result(
-        F.lit(None).cast(PAGES), error=F.concat(F.lit("no reader for content type: "), kind)
+    routed = objects.withColumn("reader", _reader_name(strict))
+    done = routed.withColumns(
+        {f"__{key}": r.parse(F.when(name == key, F.col("content"))) for key, r in table.items()}
     )
-    chosen = refused
-    for key, read in table.items():
-        mine = name == key
-        chosen = F.when(mine, read(F.when(mine, F.col("content")))).otherwise(chosen)
-    routed = objects.withColumn("reader", _reader_name(strict)).withColumn("__r", chosen)
-    return routed.select(
-        *[c for c in routed.columns if c not in ("content", "__r")],
-        "__r.*",
-        F.when(F.col("__r.error").isNotNull(), F.lit(STAGE_UNKNOWN)).alias("stage"),
+    kind = F.coalesce(F.col("content_type"), F.lit("null"))
+    refused = F.concat(F.lit("no reader for content type: "), kind)
+
+    def chosen(part, cast, otherwise=F.lit(None)):
+        """One part of the result of the row's own reader."""
+        for key, reader in table.items():
+            value = getattr(reader, part)(F.col(f"__{key}")).cast(cast)
+            otherwise = F.when(name == key, value).otherwise(otherwise)
+        return otherwise.alias(part)
+
+    result = done.select(
+        *[c for c in routed.columns if c != "content"],
+        chosen("pages", PAGES),
+        chosen("metadata", METADATA),
+        chosen("error", "string", refused),
     )
+    return result.withColumn("stage", F.when(F.col("error").isNotNull(), F.lit(STAGE_UNKNOWN)))
 
 
 def split_results(extracted):

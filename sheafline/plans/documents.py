@@ -6,7 +6,7 @@ from sheafline.operators import chunking, documents, joins
 from sheafline.plans import inputs
 from sheafline.plans.registry import query
 from sheafline.plans.sqltext import ISO, chunk_rows
-from sheafline.plans.text import SMALL, chunks
+from sheafline.plans.text import PAGES_SQL, SMALL, chunks, page_chunks
 
 TENANT = "src3"
 STATUS_TENANT = "c3"
@@ -37,6 +37,30 @@ def chunk_enrich(spark, folder):
     return documents.enrich_chunks(chunks(spark, folder), CONTENT_LIMIT)
 
 
+@query(
+    "chunk_table",
+    f"""SELECT company_id, document_id, chunk_index, md5(text) AS content_md5, page,
+               substring(text, 1, 50) AS title, CAST(len(string_split(text, ' ')) AS INT) AS tokens,
+               sha256(text) AS content_hash, concat(document_id, '_', chunk_index) AS embedding_id,
+               'created' AS vector_status
+        FROM (SELECT document_id, company_id, text, page,
+                     CAST(row_number() OVER (PARTITION BY document_id ORDER BY page, chunk_index) - 1 AS INT) AS chunk_index
+              FROM {chunk_rows(PAGES_SQL, 12, 3, 'document_id, company_id, page')})""",
+)
+def chunk_table(spark, folder):
+    """Stored chunk rows of the paged documents, metadata unfolded."""
+    rows = documents.chunk_table_rows(page_chunks(spark, folder))
+    return rows.select(
+        "company_id",
+        "document_id",
+        "chunk_index",
+        F.md5("content").alias("content_md5"),
+        "metadata.*",
+        "embedding_id",
+        "vector_status",
+    )
+
+
 @query(
     "chunk_upsert",
     f"""SELECT company_id, document_id, chunk_index, text FROM {CHUNKS_SQL}

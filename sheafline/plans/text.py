@@ -166,7 +166,7 @@ MARKDOWN = inputs.Derived(
 
 
 def _markdown_sql(column):
-    for pattern, replacement in markup.MARKDOWN_RULES:
+    for _, pattern, replacement in markup.MARKDOWN_RULES:
         for group in "123":
             replacement = replacement.replace(f"${group}", f"\\{group}")
         column = f"regexp_replace({column}, '{pattern}', '{replacement}', 'g')"

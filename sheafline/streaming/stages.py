@@ -7,16 +7,18 @@ deterministic, so replayed rows are recognisable.
 
 from sheafline.operators import embedding, extraction
 from sheafline.operators.chunking import ChunkSpec, chunk_records
+from sheafline.operators.reports import daily_report
 from sheafline.schemas import CHUNK, EMBEDDING
-from sheafline.sinks.tables import stream_layer
-
-LAYERS = ("processed", "embeddings")
+from sheafline.sinks.tables import stream_layer, write_report
+from sheafline.streaming.counters import event_time_counts
 
 
 def chunk_stage(objects, spec=ChunkSpec()):
-    """Raw objects (document_id, company_id, content, content_type) to chunk records."""
-    documents = extraction.extract_text(objects).filter("error IS NULL")
-    return chunk_records(documents, spec)
+    """Raw objects (document_id, company_id, content, content_type) to chunk records.
+
+    A failed document has no pages and so no chunks; see :func:`dead_letter_stage`.
+    """
+    return chunk_records(extraction.extract_text(objects), spec)
 
 
 def dead_letter_stage(objects):
@@ -38,3 +40,15 @@ def start_embedding_layer(spark, root, dimension=embedding.DEFAULT_DIMENSION, tr
     chunks = spark.readStream.schema(CHUNK).parquet(f"{root}/processed")
     rows = embed_stage(chunks, dimension).select(*EMBEDDING.names)
     return stream_layer(rows, f"{root}/embeddings", f"{root}/_checkpoints/embeddings", trigger)
+
+
+def start_rate_layer(messages, root, trigger=None):
+    """Per-tenant event-time counts of a message stream as a table of closed windows."""
+    counts = event_time_counts(messages)
+    return stream_layer(counts, f"{root}/analytics/rt", f"{root}/_checkpoints/rt", trigger)
+
+
+def write_summary(spark, root, as_of=None):
+    """Daily summary of the embedding layer, for a batch run after midnight."""
+    vectors = spark.read.schema(EMBEDDING).parquet(f"{root}/embeddings")
+    write_report(daily_report(vectors, as_of), f"{root}/analytics/batch")

@@ -120,3 +120,9 @@ def test_one_page_equals_plain_text(spark, folder):
     a, b = chunk_text(docs, spec).select(*columns), chunk_records(pages, spec).select(*columns)
     assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
     assert chunking.chunk_text(docs).count() > 0
+
+
+def test_plugged_in_chunker(spark):
+    df = spark.createDataFrame([(1, "a. b. c"), (2, "  "), (3, "x")], "id INT, text STRING")
+    rows = chunking.chunk_with(df, lambda t: t.split(". ")).orderBy("id", "chunk_index").collect()
+    assert [(r.id, r.chunk_index, r.text) for r in rows] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (3, 0, "x")]

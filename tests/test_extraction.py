@@ -89,6 +89,11 @@ def test_plain_text_encodings(spark):
         ("*em* and __strong__ and **bold**", "_em_ and **strong** and **bold**"),
         ("<http://x/y>", "http://x/y"),
         ("a\n\n***\n\nb", "a * * * b"),
+        ("```python\nx = 1\n```", "`python x = 1`"),
+        ("<b>x</b> <span class='k'>y</span><!-- no -->", "**x** y"),
+        ("<me@example.org>", "me@example.org"),
+        ("***both***", "**_both_**"),
+        (r"\*not em\* &lt;tag&gt; a &amp;lt; b", "*not em* <tag> a &lt; b"),
     ],
 )
 def test_markdown_tokens(spark, source, tokens):
@@ -143,15 +148,11 @@ def test_errors_are_rows(spark):
 
 
 def test_a_reader_plugs_in(spark):
-    def read_pdf(content):
-        pages = F.array(F.struct(F.lit(1).alias("page"), F.decode(content, "UTF-8").alias("text")))
-        return F.struct(
-            pages.alias("pages"),
-            F.lit(None).cast("map<string,string>").alias("metadata"),
-            F.lit(None).cast("string").alias("error"),
-        )
-
-    row = extract(spark, [(b"one page", "application/pdf")], readers={"pdf": read_pdf})[0]
+    pdf = extraction.Reader(
+        parse=lambda content: F.decode(content, "UTF-8"),
+        pages=lambda t: F.array(F.struct(F.lit(1).alias("page"), t.alias("text"))),
+    )
+    row = extract(spark, [(b"one page", "application/pdf")], readers={"pdf": pdf})[0]
     assert row.error is None and (row.pages[0].page, row.pages[0].text) == (1, "one page")
 
 

@@ -5,9 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from sheafline.operators import chunking, documents, search
+from sheafline.operators import chunking, documents, extraction, search
 from sheafline.plans import catalog
 from sheafline.sinks.tables import write_chunk_table
+from sheafline.streaming.stages import chunk_stage
 from tests.conftest import plan_of
 
 # Parsing HTML and office files needs whole-file parsers.
@@ -58,6 +59,23 @@ def test_chunking_is_narrow_and_splits_once(spark, folder):
     assert "Exchange" not in plan and plan.count("split(") == 1
 
 
+def test_extraction_and_chunking_parse_each_file_once(spark, folder):
+    kind = F.when(F.col("page_id") % 2 == 0, "text/html").otherwise("text/markdown")
+    objects = spark.read.parquet(f"{folder}/pages.parquet").select(
+        F.col("page_id").cast("string").alias("document_id"),
+        F.lit("c").alias("company_id"),
+        F.encode("html", "UTF-8").alias("content"),
+        kind.alias("content_type"),
+    )
+    plan = plan_of(chunk_stage(objects))
+    assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
+    once = {"split(": 1, "_html_to_text(": 1, "run(": 2, "&amp;": 2}  # two office readers; a rule's test and pattern
+    assert {mark: plan.count(mark) for mark in once} == once
+    documents_, _ = extraction.split_results(extraction.extract_text(objects))
+    plan = plan_of(documents_)
+    assert {mark: plan.count(mark) for mark in once} == {**once, "split(": 0}
+
+
 def test_scans_read_only_needed_columns(plans):
     for name, columns in {
         "document_status": {"event_id", "ts", "user_id", "event_type"},

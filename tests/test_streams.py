@@ -105,6 +105,19 @@ def test_chained_layers_with_restart(spark, tmp_path):
     done = run()
     assert done.count() == 6 and done.select("chunk_id").distinct().count() == 6
     assert {len(r.vector) for r in done.collect()} == {16}
+    stages.write_summary(spark, root, "2024-01-02")
+    summary = spark.read.parquet(f"{root}/analytics/batch").collect()
+    assert {(r.document_id, r.total_chunks_processed) for r in summary} == {("a", 2), ("b", 2), ("c", 2)}
+
+
+def test_rate_layer_and_dead_letters(spark, tmp_path):
+    topic, root = str(tmp_path / "topic"), str(tmp_path / "lake")
+    append_rows(spark, topic, [1, 2, 70, 300])
+    stages.start_rate_layer(read_topic_files(spark, topic), root, AVAILABLE).awaitTermination()
+    assert sorted(r.chunk_count for r in spark.read.parquet(f"{root}/analytics/rt").collect()) == [1, 2]
+    broken = spark.createDataFrame([("p", bytearray(b"x"), "image/png")], RAW_OBJECT)
+    dead = stages.dead_letter_stage(broken).collect()
+    assert [r.stage for r in dead] == ["unknown"] and "image/png" in dead[0].error
 
 
 def test_kafka_reader_needs_its_connector(spark):

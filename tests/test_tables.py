@@ -100,6 +100,15 @@ def test_enrichment(spark):
     assert len(row.content_hash) == 64
 
 
+def test_chunk_table_rows(spark):
+    df = spark.createDataFrame([("a", "1", 0, "uno dos", -1)], "company_id STRING, document_id STRING, chunk_index INT, text STRING, page INT")
+    row = documents.chunk_table_rows(df, count_tokens=F.length).first()
+    assert row.metadata.page is None and row.metadata.tokens == 7 and row.content == "uno dos"
+    assert (row.embedding_id, row.vector_status) == ("1_0", "created")
+    with pytest.raises(ValueError):
+        documents.chunk_table_rows(df, "lost")
+
+
 def test_status_and_page(spark):
     ts = [dt.datetime(2024, 1, 1, h, tzinfo=dt.timezone.utc) for h in range(4)]
     log = spark.createDataFrame(
