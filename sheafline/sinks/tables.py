@@ -7,6 +7,8 @@ from sheafline.sources.landing import PARTITIONS, with_partitions
 # Landing rotation, by records and by time.
 LANDING_RECORDS = 1000
 LANDING_TRIGGER = "10 minutes"
+# Fixed value: how often a stream writes its output and its checkpoint.
+CHECKPOINT_TRIGGER = "30 seconds"
 LANDING_LAYOUT = ("topic", *PARTITIONS)
 
 
@@ -96,4 +98,4 @@ def stream_layer(rows, path, checkpoint, trigger=None, partition=None):
     if partition:
         writer = writer.partitionBy(partition)
     writer = writer.option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"processingTime": "30 seconds"})).start(path)
+    return writer.trigger(**(trigger or {"processingTime": CHECKPOINT_TRIGGER})).start(path)

@@ -5,11 +5,10 @@ from pyspark.sql import functions as F
 from sheafline.functions import payload
 from sheafline.operators.reports import tenant_window_counts
 
-# Window widths, watermark delay and checkpoint interval.
+# Window widths and watermark delay.
 PROCESSING_WINDOW = "30 seconds"
 EVENT_WINDOW = "1 minute"
 OUT_OF_ORDER = "5 seconds"
-CHECKPOINT_EVERY = "30 seconds"
 
 
 def with_tenant(messages, value="value"):

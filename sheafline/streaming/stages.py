@@ -13,6 +13,10 @@ from sheafline.sinks.tables import stream_layer, write_report
 from sheafline.streaming.counters import event_time_counts
 
 
+# Fixed value: longest wait before a started batch is embedded.
+EMBED_TRIGGER = "5 seconds"
+
+
 def chunk_stage(objects, spec=ChunkSpec()):
     """Raw objects (document_id, company_id, content, content_type) to chunk records.
 
@@ -36,9 +40,10 @@ def start_chunk_layer(objects, root, spec=ChunkSpec(), trigger=None):
 
 
 def start_embedding_layer(spark, root, dimension=embedding.DEFAULT_DIMENSION, trigger=None):
-    """Follow the chunk table written by :func:`start_chunk_layer`."""
+    """Follow the chunk table written by :func:`start_chunk_layer`, a batch every few seconds."""
     chunks = spark.readStream.schema(CHUNK).parquet(f"{root}/processed")
     rows = embed_stage(chunks, dimension).select(*EMBEDDING.names)
+    trigger = trigger or {"processingTime": EMBED_TRIGGER}
     return stream_layer(rows, f"{root}/embeddings", f"{root}/_checkpoints/embeddings", trigger)
 
 
