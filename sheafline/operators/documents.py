@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from sheafline.functions.ids import NO_PAGE
+from sheafline.operators.joins import unique_keys
 from sheafline.schemas import CHUNK_METADATA, DOCUMENT_STATES, VECTOR_STATES
 
 KEY = ("company_id", "document_id")
@@ -69,7 +70,7 @@ def replace_documents(existing, incoming, processed=None):
     the chunk table bucketed by document (see ``write_chunk_table``), and the
     stored text is not shuffled either.
     """
-    replaced = (incoming if processed is None else processed).select(*KEY).distinct()
+    replaced = unique_keys(incoming if processed is None else processed, KEY)
     return existing.join(replaced, list(KEY), "left_anti").unionByName(incoming)
 
 
@@ -124,7 +125,7 @@ def bulk_delete(table, requested):
     ``requested`` holds (company_id, document_id).  Ids are deduplicated, and the
     table is cut down to them before its distinct documents are taken.
     """
-    ids = requested.select(*KEY).distinct()
+    ids = unique_keys(requested, KEY)
     remaining = table.join(ids, list(KEY), "left_anti")
     hit = table.select(*KEY).join(ids, list(KEY), "left_semi").distinct()
     present = hit.withColumn("__found", F.lit(True))

@@ -1,8 +1,9 @@
 """Pairings between events, objects, chunks and vectors.
 
-No join here names a physical strategy: Spark broadcasts a side only while its
-size is under the session threshold, and adaptive execution splits skewed
-partitions.  Sides that are looked up are reduced to one row per key first.
+No join here forces a physical strategy: Spark broadcasts a side only while its
+size is under the session threshold, and adaptive execution splits a partition
+that one key makes too large.  Sides that are looked up are narrow and hold each
+key once (see :func:`unique_keys`).
 """
 
 import pandas as pd
@@ -16,16 +17,29 @@ from sheafline.operators.events import STAGE_DOWNLOAD
 FILES_PER_BATCH = 16
 
 
+def unique_keys(rows, keys):
+    """Each key once, as the lookup side of a join.
+
+    Adaptive execution splits a skewed partition only when both sides of the join
+    are plain shuffles.  A deduplicated side normally is not one: it is already
+    partitioned by its keys, and the join takes it as it is.  Deduplicating under
+    a hash of the keys as well leaves that partitioning open, so the join adds a
+    shuffle of its own, of unique and narrow rows.
+    """
+    marked = rows.select(*keys, F.xxhash64(*keys).alias("__hash"))
+    return marked.distinct().drop("__hash")
+
+
 def fetch_objects(events, objects, path="s3_path"):
     """(found, missing): events with their object, and events without one.
 
-    The inner join lets either side be the small one.  Missing events are found
-    against the listing alone, so no content is read or shuffled for them.
+    The inner join lets either side be the small one; its sides are plain
+    shuffles, so adaptive execution splits an object with most of the events.
+    Missing events are found against the listing alone, so no content is read or
+    moved for them.
     """
-    stored = objects.withColumnRenamed("path", path)
-    found = events.join(stored, path)
-    missing = events.join(stored.select(path), path, "left_anti")
-    return found, missing.withColumn("stage", F.lit(STAGE_DOWNLOAD))
+    found = events.join(objects.withColumnRenamed("path", path), path)
+    return found, missing_objects(events, objects, path).withColumn("stage", F.lit(STAGE_DOWNLOAD))
 
 
 def read_by_path(events, root, file_system=None, path="s3_path"):
@@ -71,11 +85,16 @@ def _read_file(store, base, path):
 
 
 def existing_objects(events, listing, path="s3_path"):
-    return events.join(listing.select(F.col("path").alias(path)), path, "left_semi")
+    return _against_listing(events, listing, path, "left_semi")
 
 
 def missing_objects(events, listing, path="s3_path"):
-    return events.join(listing.select(F.col("path").alias(path)), path, "left_anti")
+    return _against_listing(events, listing, path, "left_anti")
+
+
+def _against_listing(events, listing, path, how):
+    paths = listing.select(F.col("path").alias(path))
+    return events.join(unique_keys(paths, [path]), path, how)
 
 
 def windowed_flow_gap(consumed, produced, width, ts="ts"):
@@ -109,10 +128,10 @@ def reconcile_status(documents, objects, chunks, vectors):
     key = ["company_id", "document_id"]
     stored = chunks.groupBy(*key).agg(F.count(F.lit(1)).alias("chunk_count"))
     indexed = vectors.groupBy(*key).agg(F.countDistinct("chunk_id").alias("vector_count"))
-    listing = objects.select(F.col("path").alias("s3_path"), F.lit(True).alias("object_exists")).distinct()
-    joined = (
-        documents.join(stored, key, "left").join(indexed, key, "left").join(listing, "s3_path", "left")
-    )
+    paths = unique_keys(objects.select(F.col("path").alias("s3_path")), ["s3_path"])
+    listing = paths.withColumn("object_exists", F.lit(True))
+    counted = documents.join(stored, key, "left").join(indexed, key, "left")
+    joined = counted.join(listing, "s3_path", "left")
     return joined.select(
         *key,
         F.coalesce("chunk_count", F.lit(0)).alias("chunk_count"),
@@ -129,7 +148,7 @@ def flag_duplicates(uploads, existing):
     but ``error``.  The lookup side holds each name once, so no row multiplies.
     """
     key = ["company_id", "filename"]
-    taken = existing.filter(F.col("status") != "error").select(*key).distinct()
+    taken = unique_keys(existing.filter(F.col("status") != "error"), key)
     flagged = uploads.join(taken.withColumn("__taken", F.lit(True)), key, "left")
     return flagged.withColumn("accepted", F.col("__taken").isNull()).drop("__taken")
 

@@ -67,6 +67,40 @@ HISTOGRAMS = {
 SCRAPE_STEP = "15 seconds"
 
 
+@dataclass(frozen=True)
+class Observed:
+    """One measurement per row: a declared metric, its label columns, and the value.
+
+    The value defaults to 1, as for a counter that goes up once per row.
+    """
+
+    name: str
+    labels: dict
+    value: object = None
+
+    def struct(self):
+        declared = (COUNTERS.get(self.name) or HISTOGRAMS[self.name]).labels
+        if set(declared) != set(self.labels):
+            raise ValueError(f"{self.name} has the labels {declared}, got {tuple(self.labels)}")
+        pairs = [x for n in declared for x in (F.lit(n), self.labels[n].cast("string"))]
+        return F.struct(
+            F.lit(self.name).alias("metric"),
+            F.create_map(*pairs).cast("map<string,string>").alias("labels"),
+            (F.lit(1.0) if self.value is None else self.value.cast("double")).alias("value"),
+        )
+
+
+def observe(rows, *measurements, ts="ts"):
+    """Observation rows (ts, metric, labels, value); several metrics share one scan."""
+    if len(measurements) == 1:
+        made = rows.select(F.col(ts).alias("ts"), measurements[0].struct().alias("__o"))
+    else:
+        made = rows.select(
+            F.col(ts).alias("ts"), F.explode(F.array(*[m.struct() for m in measurements])).alias("__o")
+        )
+    return made.select("ts", "__o.*")
+
+
 def label(name):
     return F.col("labels")[name]
 
@@ -177,6 +211,16 @@ def range_rate(observations, by, width_s=300, step_s=15):
     )
 
 
+def stream_rate(observations, by, width_s=300, step_s=15, delay="5 seconds"):
+    """:func:`range_rate` of a stream, for append mode: each range is emitted once closed."""
+    keys = [c.alias(n) for n, c in by.items()]
+    ranges = F.window("ts", f"{width_s} seconds", f"{step_s} seconds").alias("w")
+    rated = observations.withWatermark("ts", delay).groupBy(ranges, *keys)
+    return rated.agg((F.sum("value") / F.lit(width_s)).alias("rate")).select(
+        F.col("w.start").alias("window_start"), *by, "rate"
+    )
+
+
 def per_minute(observations, by):
     """Observations per minute: the one-minute rate of a histogram's count, times 60."""
     keys = [c.alias(n) for n, c in by.items()]

@@ -21,12 +21,13 @@ def _start(df):
     return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss"))
 
 
+def _counted(name):
+    return metrics.Observed(name, {n: F.col(n) for n in metrics.COUNTERS[name].labels})
+
+
 def uploads(spark, folder):
     """One upload observation per request."""
-    labels = F.create_map(*[x for n in ("company_id", "content_type", "status") for x in (F.lit(n), F.col(n))])
-    return inputs.REQUESTS.frame(spark, folder).select(
-        "ts", F.lit(UPLOADS).alias("metric"), labels.alias("labels"), F.lit(1.0).alias("value")
-    )
+    return metrics.observe(inputs.REQUESTS.frame(spark, folder), _counted(UPLOADS))
 
 
 def durations(spark, folder):
@@ -48,21 +49,9 @@ def durations(spark, folder):
 )
 def counters(spark, folder):
     """Each request counts in four metrics with different label sets."""
-    values = {"topic": F.lit("documents.raw")}
-    emitted = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("metric"),
-                F.create_map(
-                    *[x for n in metrics.COUNTERS[name].labels for x in (F.lit(n), values.get(n, F.col(n)))]
-                ).alias("labels"),
-            )
-            for name in (UPLOADS, CONSUMED, ERRORS, TEXTS)
-        ]
-    )
-    observations = inputs.REQUESTS.frame(spark, folder).select(
-        "ts", F.explode(emitted).alias("o"), F.lit(1.0).alias("value")
-    ).select("ts", "o.*", "value")
+    requests = inputs.REQUESTS.frame(spark, folder).withColumn("topic", F.lit("documents.raw"))
+    measurements = [_counted(name) for name in (UPLOADS, CONSUMED, ERRORS, TEXTS)]
+    observations = metrics.observe(requests, *measurements)
     totals = metrics.counter_totals(observations)
     pairs = F.transform(F.map_entries("labels"), lambda e: F.concat_ws("=", e["key"], e["value"]))
     return totals.select("metric", F.array_join(pairs, ",").alias("labels"), "total")

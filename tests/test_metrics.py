@@ -100,3 +100,35 @@ def test_label_filter_is_anchored(spark):
     matched = df.filter(metrics.label_matches("status", "error_.*")).collect()
     assert sorted(r.labels["status"] for r in matched) == ["error_client", "error_server"]
     assert df.filter(metrics.label_matches("status", "")).count() == 1
+
+
+def test_observe_checks_labels(spark):
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    df = spark.createDataFrame([(start, "c", "t", 5)], "ts TIMESTAMP, company STRING, kind STRING, size LONG")
+    size = metrics.Observed(
+        "ingest_upload_file_size_bytes", {"company_id": F.col("company"), "content_type": F.col("kind")}, F.col("size")
+    )
+    download = metrics.Observed("docproc_s3_download_duration_seconds", {}, F.lit(0.5))
+    row = metrics.observe(df, size).first()
+    assert row.labels == {"company_id": "c", "content_type": "t"} and row.value == 5.0
+    both = metrics.observe(df, size, download)
+    assert both.schema.names == ["ts", "metric", "labels", "value"]
+    assert {r.metric: (len(r.labels), r.value) for r in both.collect()} == {size.name: (2, 5.0), download.name: (0, 0.5)}
+    with pytest.raises(ValueError):
+        metrics.observe(df, metrics.Observed(size.name, {"company_id": F.col("company")}))
+
+
+def test_streamed_rate_equals_batch_rate_for_closed_ranges(spark, tmp_path):
+    rng = random.Random(5)
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = [(rng.uniform(0, 200), "m", {"k": rng.choice("xy")}, 1) for _ in range(60)]
+    observations(spark, rows + [(600, "m", {"k": "x"}, 1)]).coalesce(1).write.parquet(source)
+    stream = spark.readStream.schema(OBSERVATION).parquet(source)
+    rated = metrics.stream_rate(stream, {"k": metrics.label("k")}, 60, 15)
+    query = rated.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start(out).awaitTermination()
+    batch = metrics.range_rate(spark.read.parquet(source), {"k": metrics.label("k")}, 60, 15)
+    closed = batch.filter(F.unix_timestamp("window_start") <= F.lit(1704067200 + 595 - 60))
+    streamed = spark.read.schema(rated.schema).parquet(out)
+    assert streamed.count() == closed.count() > 20
+    assert streamed.exceptAll(closed.select(*streamed.columns)).isEmpty()

@@ -124,7 +124,9 @@ def test_status_and_page(spark):
 
 
 def test_duplicate_guard(spark):
-    uploads = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x"), ("a", "z")], "company_id STRING, filename STRING")
+    uploads = spark.createDataFrame(
+        [("1", "a", "x"), ("2", "a", "y"), ("3", "b", "x"), ("4", "a", "z")], "document_id STRING, company_id STRING, filename STRING"
+    )
     existing = spark.createDataFrame(
         [("a", "x", "processed"), ("a", "x", "error"), ("a", "y", "error")], "company_id STRING, filename STRING, status STRING"
     )
