@@ -23,7 +23,7 @@ PAGED = inputs.Derived(
     },
 )
 PAGES_SQL = f"""(SELECT document_id, company_id, unnest(string_split(body, chr(10))) AS text,
-                        generate_subscripts(string_split(body, chr(10)), 1) AS page FROM {PAGED.sql})"""
+                        CAST(generate_subscripts(string_split(body, chr(10)), 1) AS INT) AS page FROM {PAGED.sql})"""
 
 
 def paged_documents(spark, folder):
@@ -176,7 +176,7 @@ def _markdown_sql(column):
 @query(
     "markdown_text",
     f"SELECT document_id, md5(array_to_string({words(_markdown_sql('md'))}, ' ')) AS tokens_md5, "
-    f"len({words(_markdown_sql('md'))}) AS n_tokens FROM {MARKDOWN.sql}",
+    f"CAST(len({words(_markdown_sql('md'))}) AS INT) AS n_tokens FROM {MARKDOWN.sql}",
 )
 def markdown_text(spark, folder):
     tokens = MARKDOWN.frame(spark, folder, spread_out=True).select(
