@@ -141,21 +141,30 @@ def reconcile_status(documents, objects, chunks, vectors):
     )
 
 
-def flag_duplicates(uploads, existing):
-    """Add ``accepted`` to uploads (company_id, filename).
+def flag_duplicates(uploads, existing, arrival=None):
+    """Add ``accepted`` to uploads (document_id, company_id, filename).
 
     An upload is refused when a document of the same name exists in any state
     but ``error``.  The lookup side holds each name once, so no row multiplies.
+    With ``arrival``, a column that orders the batch, later uploads of a name are
+    refused as well, as if each had been checked when it arrived; the first ones
+    are found by aggregation and joined back by document, not by name.
     """
     key = ["company_id", "filename"]
     taken = unique_keys(existing.filter(F.col("status") != "error"), key)
     flagged = uploads.join(taken.withColumn("__taken", F.lit(True)), key, "left")
-    return flagged.withColumn("accepted", F.col("__taken").isNull()).drop("__taken")
+    accepted = F.col("__taken").isNull()
+    if arrival is not None:
+        first = uploads.groupBy(*key).agg(F.min_by("document_id", arrival).alias("document_id"))
+        firsts = first.select("document_id", F.lit(True).alias("__first"))
+        flagged = flagged.join(firsts, "document_id", "left")
+        accepted = accepted & F.col("__first").isNotNull()
+    return flagged.withColumn("accepted", accepted).drop("__taken", "__first")
 
 
-def guard_duplicates(uploads, existing):
+def guard_duplicates(uploads, existing, arrival=None):
     """(accepted, rejected) uploads."""
-    flagged = flag_duplicates(uploads, existing)
+    flagged = flag_duplicates(uploads, existing, arrival)
     return (
         flagged.filter("accepted").drop("accepted"),
         flagged.filter("NOT accepted").drop("accepted"),

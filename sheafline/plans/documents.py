@@ -183,3 +183,37 @@ def duplicate_guard(spark, folder):
         inputs.FILED_DOCUMENTS.frame(spark, folder), inputs.EXISTING_FILES.frame(spark, folder)
     )
     return flagged.select("document_id", "company_id", "filename", "accepted")
+
+
+UPLOAD_BATCH = inputs.Derived(
+    "events",
+    {
+        "document_id": "CAST(event_id AS STRING)",
+        "company_id": "concat('c', CAST(user_id % 7 AS STRING))",
+        "filename": "concat(event_type, ' ', CAST(user_id AS STRING), '.txt')",
+        "arrival": "event_id",
+    },
+)
+STORED_NAMES = inputs.Derived(
+    "labels",
+    {
+        "company_id": "concat('c', CAST(doc_id % 7 AS STRING))",
+        "filename": "concat('view ', CAST(doc_id AS STRING), '.txt')",
+        "status": "CASE WHEN toxic = 1 THEN 'error' ELSE 'processed' END",
+    },
+)
+
+
+@query(
+    "duplicate_guard_batch",
+    f"""SELECT document_id, company_id, filename, nth = 1 AND (company_id, filename) NOT IN (
+          SELECT company_id, filename FROM {STORED_NAMES.sql} WHERE status <> 'error') AS accepted
+        FROM (SELECT *, row_number() OVER (PARTITION BY company_id, filename ORDER BY arrival) AS nth
+              FROM {UPLOAD_BATCH.sql})""",
+)
+def duplicate_guard_batch(spark, folder):
+    """Repeated names inside one batch of uploads: the first to arrive wins."""
+    flagged = joins.flag_duplicates(
+        UPLOAD_BATCH.frame(spark, folder), STORED_NAMES.frame(spark, folder), "arrival"
+    )
+    return flagged.select("document_id", "company_id", "filename", "accepted")

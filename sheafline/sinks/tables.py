@@ -75,9 +75,13 @@ def _landing(writer, records_per_file):
     return writer.partitionBy(*LANDING_LAYOUT).option("maxRecordsPerFile", records_per_file)
 
 
-def write_raw_objects(objects, root):
-    """Raw files (company_id, path, content, content_type) as a table by tenant."""
-    rows = objects.hint("rebalance", "company_id")
+def write_raw_objects(objects, root, rebalance=True):
+    """Raw files (company_id, path, content, content_type) as a table by tenant.
+
+    Rebalancing moves the content once and avoids a small file per task and
+    tenant; turn it off when the rows already arrive by tenant.
+    """
+    rows = objects.hint("rebalance", "company_id") if rebalance else objects
     rows.write.mode("append").partitionBy("company_id").parquet(root)
 
 
