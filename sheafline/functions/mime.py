@@ -4,6 +4,8 @@ import mimetypes
 
 from pyspark.sql import functions as F
 
+from sheafline.functions import text
+
 # Accepted content types.
 DOCX = "application/vnd.openxmlformats-officedocument.wordprocessingml.document"
 XLSX = "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet"
@@ -38,8 +40,11 @@ LATER_SUFFIXES = {"md": "text/markdown", "docx": DOCX, "xlsx": XLSX}
 
 def suffix_table():
     """Suffix -> type from Python's standard table, not from files of this machine."""
-    standard = mimetypes.MimeTypes(filenames=()).types_map[True]
-    return {**LATER_SUFFIXES, **{ext.lstrip("."): kind for ext, kind in standard.items()}}
+    known = mimetypes.MimeTypes(filenames=())
+    table = {ext.lstrip("."): kind for ext, kind in known.types_map[True].items()}
+    # short forms such as .tgz stand for a type inside a compressed file
+    packed = {short.lstrip("."): table[full.split(".")[1]] for short, full in known.suffix_map.items()}
+    return {**LATER_SUFFIXES, **packed, **table}
 
 
 def _lookup(table, key):
@@ -53,8 +58,8 @@ def is_accepted(content_type):
 
 
 def normalize_mime(content_type):
-    """Text before the first ';', trimmed and lower-cased."""
-    return F.lower(F.trim(F.split_part(content_type, F.lit(";"), F.lit(1))))
+    """Text before the first ';', stripped and lower-cased."""
+    return F.lower(text.strip(F.split_part(content_type, F.lit(";"), F.lit(1))))
 
 
 def reader_for(content_type):
@@ -67,7 +72,7 @@ def guess_type(path):
     name = F.regexp_replace(
         F.substring_index(path, "/", -1), rf"\.({COMPRESSION_SUFFIXES})$", ""
     )
-    suffix = F.regexp_extract(name, r"^\.*[^.].*\.([^.]+)$", 1)
+    suffix = F.regexp_extract(name, r"(?s)\A\.*[^.].*\.([^.]+)\z", 1)
     return _lookup(suffix_table(), F.lower(suffix))
 
 

@@ -106,8 +106,8 @@ def label(name):
 
 
 def label_matches(name, pattern):
-    """Anchored regular-expression label match; an absent label is the empty string."""
-    return F.coalesce(label(name), F.lit("")).rlike(f"^(?:{pattern})$")
+    """Label match of the whole value; an absent label is the empty string."""
+    return F.coalesce(label(name), F.lit("")).rlike(rf"(?s)\A(?:{pattern})\z")
 
 
 def of_metric(observations, name):

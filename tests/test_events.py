@@ -81,6 +81,7 @@ def test_filename(spark, name, expected):
     "kind, normal, reader",
     [
         (" Text/HTML; charset=utf-8", "text/html", "html"),
+        ("\ttext/plain\n;x", "text/plain", "txt"),
         ("application/msword", "application/msword", "docx"),
         ("application/vnd.ms-excel", "application/vnd.ms-excel", "xlsx"),
         ("image/png", "image/png", None),
@@ -103,6 +104,8 @@ def test_mime(spark, kind, normal, reader):
         (None, "c/d/.pdf", None),
         (None, "c/d/a..pdf", "application/pdf"),
         (None, "c/d/a.txt.gz", "text/plain"),
+        (None, "c/d/a.tgz", "application/x-tar"),
+        (None, "c/d/line\nbreak.html", "text/html"),
         (None, None, None),
     ],
 )

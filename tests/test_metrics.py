@@ -95,11 +95,12 @@ def test_range_rate_equals_brute_force(spark):
 
 
 def test_label_filter_is_anchored(spark):
-    labels = [{"status": s} for s in ("error_client", "error_server", "an error_x", "success")] + [{}]
+    labels = [{"status": s} for s in ("error_client", "error_server", "an error_x", "success", "success\n")] + [{}]
     df = observations(spark, [(0, "m", x, 1) for x in labels])
     matched = df.filter(metrics.label_matches("status", "error_.*")).collect()
     assert sorted(r.labels["status"] for r in matched) == ["error_client", "error_server"]
     assert df.filter(metrics.label_matches("status", "")).count() == 1
+    assert df.filter(metrics.label_matches("status", "success")).count() == 1
 
 
 def test_observe_checks_labels(spark):
