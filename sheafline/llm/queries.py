@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.llm import language, secrets, tokens, toxicity
+from sheafline.llm import language, mixture, packing, secrets, tokens, toxicity
 from sheafline.llm.common import held_out, tables
 
 QUERIES = {}
@@ -54,3 +54,14 @@ def op10_language(spark, folder):
     return language.identify(docs, model).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected"
     )
+
+
+@query("op6_mixture")
+def op6_mixture(spark, folder):
+    return mixture.mix(tables(spark, folder, "documents", "doc_id", "text", "source"))
+
+
+@query("op7_packing")
+def op7_packing(spark, folder):
+    packed = packing.pack(tables(spark, folder, "documents", "doc_id", "text"))
+    return packed.select("doc_id", "length", "bucket", "bucket_length", "batch", "slot", "padding")
