@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheafline.llm.common import without
+from sheafline.llm.common import without, written
 
 THRESHOLD = 0.3
 WINDOW = 12
@@ -287,8 +287,9 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic"):
     )
     share = {r["label"]: min(1.0, SAMPLE_DOCUMENTS[r["label"]] / r["n"], SAMPLE_CHARACTERS / max(1, r["size"])) for r in totals}
     limit = F.coalesce(*[F.when(F.col("label") == k, F.lit(int(v * (1 << 20)))) for k, v in share.items()], F.lit(0))
-    picked = told.where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 20)) < limit)
-    sample = [(r["text"], r["label"]) for r in usable.join(picked, "id").select("text", "label").collect()]
+    picked = written(told.where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 20)) < limit), "labelled-sample")
+    # About SAMPLE_DOCUMENTS ids whatever the input, so the texts need not move to meet them.
+    sample = [(r["text"], r["label"]) for r in usable.join(F.broadcast(picked), "id").select("text", "label").collect()]
     sample.sort()
     np.random.default_rng(SEED).shuffle(sample)
     weight = tuple(1.0 / share[k] if share.get(k) else 1.0 for k in (0, 1))
