@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.llm import language, mixture, packing, secrets, tokens, toxicity
+from sheafline.llm import language, mixture, near_dups, packing, secrets, tokens, toxicity
 from sheafline.llm.common import held_out, tables
 
 QUERIES = {}
@@ -65,3 +65,34 @@ def op6_mixture(spark, folder):
 def op7_packing(spark, folder):
     packed = packing.pack(tables(spark, folder, "documents", "doc_id", "text"))
     return packed.select("doc_id", "length", "bucket", "bucket_length", "batch", "slot", "padding")
+
+
+def reachable_sql(pairs, nodes):
+    """SQL text: smallest node reachable from each of ``nodes`` (id) over ``pairs`` (a, b)."""
+    return f"""edges AS (SELECT a, b FROM ({pairs}) UNION SELECT b, a FROM ({pairs})),
+        walk AS (SELECT id AS node, id AS seen FROM ({nodes})
+                 UNION SELECT w.node, e.b FROM walk w JOIN edges e ON w.seen = e.a),
+        roots AS (SELECT node, min(seen) AS component_id FROM walk GROUP BY node)"""
+
+
+OP8_SQL = f"""WITH RECURSIVE texts AS (
+        SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+        FROM documents),
+    shingles AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS s FROM texts),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    pairs AS (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM shingles x
+        JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL) p
+        JOIN sizes p1 ON p.a = p1.doc_id JOIN sizes p2 ON p.b = p2.doc_id WHERE 100 * c >= 85 * (p1.n + p2.n - c)),
+    {reachable_sql("SELECT a, b FROM pairs", "SELECT doc_id AS id FROM documents")}
+    SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+    FROM documents d LEFT JOIN sizes z ON d.doc_id = z.doc_id JOIN roots r ON d.doc_id = r.node"""
+
+
+@query("op8_near_duplicates", OP8_SQL)
+def op8_near_duplicates(spark, folder):
+    docs = tables(spark, folder, "documents", "doc_id", "text")
+    return near_dups.group_near_duplicates(docs, k=3, percent=85).select(
+        F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept"
+    )
