@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.llm import language, mixture, near_dups, packing, secrets, tokens, toxicity
+from sheafline.llm import (
+    language,
+    mixture,
+    near_dups,
+    packing,
+    secrets,
+    tokens,
+    toxicity,
+    vector_dups,
+    vector_search,
+)
 from sheafline.llm.common import held_out, tables
 
 QUERIES = {}
@@ -96,3 +106,40 @@ def op8_near_duplicates(spark, folder):
     return near_dups.group_near_duplicates(docs, k=3, percent=85).select(
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept"
     )
+
+
+OP4_SQL = f"""WITH RECURSIVE usable AS (
+        SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0
+          AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+    pairs AS (SELECT x.vec_id AS a, y.vec_id AS b FROM usable x JOIN usable y ON x.label = y.label AND x.vec_id < y.vec_id
+        AND len(x.x) = len(y.x) WHERE list_cosine_similarity(x.x, y.x) >= 0.98),
+    {reachable_sql("SELECT a, b FROM pairs", "SELECT vec_id AS id FROM embeddings")},
+    counts AS (SELECT a, count(*) AS n FROM edges GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+    FROM embeddings e JOIN roots r ON e.vec_id = r.node LEFT JOIN counts c ON e.vec_id = c.a"""
+
+
+@query("op4_vector_duplicates", OP4_SQL)
+def op4_vector_duplicates(spark, folder):
+    vectors = tables(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    return vector_dups.group_close_vectors(vectors).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept"
+    )
+
+
+OP5_SQL = """WITH whole AS (
+        SELECT vec_id, list_transform(embedding, lambda v: CAST(floor(256 * CAST(v AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+               CAST(list_inner_product(CAST(q.x AS DOUBLE[]), CAST(c.x AS DOUBLE[])) AS BIGINT) AS score
+        FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)),
+    ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
+@query("op5_top_products", OP5_SQL)
+def op5_top_products(spark, folder):
+    return vector_search.top_products(tables(spark, folder, "embeddings", "vec_id", "embedding"))
