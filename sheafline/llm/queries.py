@@ -14,8 +14,10 @@ from sheafline.llm import (
     toxicity,
     vector_dups,
     vector_search,
+    warc,
 )
 from sheafline.llm.common import held_out, tables
+from sheafline.session import shared_folder
 
 QUERIES = {}
 ORACLES = {}
@@ -143,3 +145,24 @@ OP5_SQL = """WITH whole AS (
 @query("op5_top_products", OP5_SQL)
 def op5_top_products(spark, folder):
     return vector_search.top_products(tables(spark, folder, "embeddings", "vec_id", "embedding"))
+
+
+OP1_SQL = """WITH hashed AS (
+        SELECT page_id, encode(coalesce(html, '')) AS body, sha1(coalesce(html, '')) AS hex FROM pages),
+    first AS (SELECT hex, octet_length(body) AS n, min(page_id) AS page FROM hashed GROUP BY ALL)
+    SELECT h.page_id, CAST(octet_length(h.body) AS BIGINT) AS payload_bytes,
+        array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((
+            (CAST('0x' || substr(h.hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31) AS INTEGER), 1)), '') AS payload_digest,
+        CASE WHEN h.page_id = f.page THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN h.page_id <> f.page THEN f.page END AS refers_to
+    FROM hashed h JOIN first f ON h.hex = f.hex AND octet_length(h.body) = f.n"""
+
+
+@query("op1_warc", OP1_SQL)
+def op1_warc(spark, folder):
+    path = shared_folder(spark, "archives")
+    warc.write_archives(tables(spark, folder, "pages", "page_id", "url", "html"), path)
+    records = warc.resolve_revisits(warc.read_records(spark, path))
+    return records.select(
+        F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
