@@ -179,12 +179,13 @@ def mix(docs, doc_id="doc_id", text="text", source="source", seed=SEED):
     )
 
 
-def mixed_texts(docs, doc_id="doc_id", text="text", source="source", seed=SEED):
+def mixed_texts(docs, doc_id="doc_id", text="text", source="source", length=None, seed=SEED):
     """The mix as rows of ``docs``: one per document and pass in which it is drawn.
 
     A document drawn whole in a pass keeps its text as it is; of one drawn in part the
-    runs of words drawn remain, each run on a line of its own.  All other columns stay.
-    Texts move once, to meet what was drawn from them.
+    runs of words drawn remain, each run on a line of its own, and the column named by
+    ``length`` gets the new number of characters.  All other columns stay.  Texts move
+    once, to meet what was drawn from them.
     """
     own = docs.columns
     mark = F.xxhash64(*[F.col(c) for c in own])
@@ -194,24 +195,24 @@ def mixed_texts(docs, doc_id="doc_id", text="text", source="source", seed=SEED):
         F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.struct("first", "words"))).alias("runs")
     )
     texts = docs.withColumns({"__mark": mark, "__id": F.col(doc_id)}).dropDuplicates(["__id", "__mark"])
-    taken = runs.select(F.col("id").alias("__id"), F.col("mark").alias("__mark"), "taken", "size", "runs")
-    met = texts.join(taken, texts["__id"].eqNullSafe(taken["__id"]) & (texts["__mark"] == taken["__mark"]))
-    words = F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0))
-    # The word before a run is left out unless the run before ends there.
-    joined = F.aggregate(
-        "runs",
-        F.struct(F.lit("").alias("out"), F.lit(-1).cast("long").alias("at")),
-        lambda done, run: F.struct(
-            F.concat(
-                done["out"],
-                F.when(done["at"] == -1, "").when(done["at"] == run["first"], " ").otherwise("\n"),
-                F.array_join(F.slice(F.col("__words"), run["first"].cast("int") + 1, run["words"].cast("int")), " "),
-            ).alias("out"),
-            (run["first"] + run["words"]).alias("at"),
-        ),
-    )["out"]
-    whole = F.col("taken") == F.col("size")
-    cut = met.withColumn("__words", F.when(~whole, words)).withColumn(
-        "__text", F.when(whole, F.col(text)).otherwise(joined)
-    )
-    return cut.select(*[F.col("__text").alias(c) if c == text else texts[c] for c in own])
+    taken = runs.select(
+        F.col("id").alias("__to"), F.col("mark").alias("__of"), (F.col("taken") == F.col("size")).alias("__whole"),
+        F.col("runs").alias("__runs"),
+    )
+    met = texts.join(taken, F.col("__id").eqNullSafe(F.col("__to")) & (F.col("__mark") == F.col("__of")))
+    words = F.when(~F.col("__whole"), F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
+
+    def append(done, run):
+        part = F.slice(F.col("__words"), run["first"].cast("int") + 1, run["words"].cast("int"))
+        gap = F.when(done["at"] == -1, "").when(done["at"] == run["first"], " ").otherwise("\n")
+        out = F.concat(done["out"], gap, F.array_join(part, " "))
+        return F.struct(out.alias("out"), (run["first"] + run["words"]).alias("at"))
+
+    empty = F.struct(F.lit("").alias("out"), F.lit(-1).cast("long").alias("at"))
+    cut = F.aggregate("__runs", empty, append)["out"]
+    made = met.withColumn("__words", words).withColumn("__cut", F.when(F.col("__whole"), F.col(text)).otherwise(cut))
+    changed = {text: F.col("__cut")}
+    if length is not None:
+        new = F.char_length("__cut").cast(docs.schema[length].dataType)
+        changed[length] = F.when(F.col("__whole") | F.col(length).isNull(), F.col(length)).otherwise(new)
+    return made.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in own])

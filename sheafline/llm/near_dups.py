@@ -2,7 +2,7 @@
 
 A document gets a few small collections of minhashes.  The key of a table is a pair of
 collections, so ``m`` collections serve ``m (m - 1) / 2`` tables: 48 minhashes do the
-work of 720.  Documents that meet in a table are candidates; every link is confirmed on
+work of 720 at a threshold of 0.85.  Documents that meet in a table are candidates; every link is confirmed on
 the full shingle sets, and whatever a table leaves undecided is compared exhaustively
 in blocks, so no link between documents that meet anywhere is lost.
 """
@@ -23,10 +23,10 @@ from sheafline.llm.components import _lookup, connected_components, unique_side
 # Shingle length in words and similarity in percent, unless a caller says otherwise.
 SHINGLE = 5
 PERCENT = 80
-# Collections, and minhashes in each.  At a similarity of 0.85 a pair misses all 120
-# tables once in 160,000 times, at 0.8 once in 5,800; see :func:`missed`.
-COLLECTIONS = 16
+# Minhashes per collection, and how likely a pair of documents just similar enough may
+# miss all tables; the number of collections follows (:func:`collections_for`).
 COLLECTION_SIZE = 3
+MISSED = 1e-5
 # Documents on either side of one exhaustive comparison, and parts a star is split in.
 BLOCK = 256
 STAR_PARTS = 64
@@ -34,17 +34,21 @@ CACHE_WORDS = 400_000
 SEED = 41
 
 _rng = np.random.default_rng(SEED)
-_ODD = _rng.integers(1, 1 << 63, COLLECTIONS * COLLECTION_SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = _rng.integers(1, 1 << 63, 128 * COLLECTION_SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _STEP = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_PAIRS = list(combinations(range(COLLECTIONS), 2))
 
 
-def missed(similarity, collections=COLLECTIONS, size=COLLECTION_SIZE):
+def missed(similarity, collections, size=COLLECTION_SIZE):
     """Chance that two documents of this similarity share no table."""
     p = similarity**size
     return (1 - p) ** collections + collections * p * (1 - p) ** (collections - 1)
 
 
+def collections_for(percent):
+    """Fewest collections that miss no more than allowed: 16 for 85 per cent, 21 for 80."""
+    return next((m for m in range(2, 128) if missed(percent / 100, m) <= MISSED), 128)
+
+
 class WordHashes(dict):
     def __missing__(self, word):
         if len(self) >= CACHE_WORDS:
@@ -75,21 +79,22 @@ def shingle_set(text, k, hashes):
     return np.unique(_mixed(out))
 
 
-def sketch(values):
+def sketch(values, collections):
     """One value per collection, each a hash of its minhashes."""
-    low = np.full(len(_ODD), np.iinfo(np.uint64).max, np.uint64)
+    odd = _ODD[: collections * COLLECTION_SIZE, None]
+    low = np.full(len(odd), np.iinfo(np.uint64).max, np.uint64)
     for start in range(0, len(values), 4096):
-        h = values[start : start + 4096] * _ODD[:, None]
+        h = values[start : start + 4096] * odd
         h ^= h >> np.uint64(32)
         low = np.minimum(low, h.min(1))
-    low = low.reshape(COLLECTIONS, COLLECTION_SIZE)
-    out = np.zeros(COLLECTIONS, np.uint64)
+    low = low.reshape(collections, COLLECTION_SIZE)
+    out = np.zeros(collections, np.uint64)
     for i in range(COLLECTION_SIZE):
         out = _mixed(out * _STEP[0] + low[:, i] * _STEP[i + 1])
     return out.view(np.int64)
 
 
-def signatures(docs, k):
+def signatures(docs, k, collections):
     """(id, n, f1, f2, sketch): size, 128-bit print and sketch of every row's shingle set."""
 
     @F.pandas_udf("n long, f1 long, f2 long, sketch array<long>")
@@ -100,7 +105,7 @@ def signatures(docs, k):
             for text in part:
                 s = shingle_set(text, k, hashes)
                 prints = [int(v.sum(dtype=np.uint64).view(np.int64)) for v in (_mixed(s), _mixed(s * _STEP[63]))]
-                rows.append((len(s), *prints, sketch(s) if len(s) else np.zeros(0, np.int64)))
+                rows.append((len(s), *prints, sketch(s, collections) if len(s) else np.zeros(0, np.int64)))
             yield pd.DataFrame(rows, columns=["n", "f1", "f2", "sketch"])
 
     return docs.select("id", signed(F.coalesce("text", F.lit(""))).alias("s")).select("id", "s.*")
@@ -118,21 +123,22 @@ def collection_rows(nodes):
     return parts.select(F.xxhash64("i", "c").alias("key"), "node")
 
 
-def table_rows(nodes):
+def table_rows(nodes, collections):
     """(key, node) for each pair of collections of each node."""
-    one, two = (F.array(*[F.lit(p[i]) for p in _PAIRS]) for i in (0, 1))
-    places = nodes.select("node", "sketch", F.explode(F.sequence(F.lit(0), F.lit(len(_PAIRS) - 1))).alias("t"))
+    pairs = list(combinations(range(collections), 2))
+    one, two = (F.array(*[F.lit(p[i]) for p in pairs]) for i in (0, 1))
+    places = nodes.select("node", "sketch", F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("t"))
     return places.select(F.xxhash64("t", F.col("sketch")[one[F.col("t")]], F.col("sketch")[two[F.col("t")]]).alias("key"), "node")
 
 
-def candidates(nodes):
+def candidates(nodes, collections):
     """Rows (key, node, low, high, n) of the tables in which a node meets another.
 
     Only nodes that share two collections can share a table, so the pairs of collections
     are formed for those alone.
     """
     shared = shared_keys(collection_rows(nodes), "key").groupBy("node").agg(F.count("*").alias("c")).where("c > 1")
-    return shared_keys(table_rows(nodes.join(shared.select("node"), "node")), "key")
+    return shared_keys(table_rows(nodes.join(shared.select("node"), "node"), collections), "key")
 
 
 def confirm_stars(edges, texts, k, percent):
@@ -245,13 +251,14 @@ def group_near_duplicates(docs, k=SHINGLE, percent=PERCENT, doc_id="doc_id", tex
     with one id count as one document, and rows without id have no component, link with
     nothing and are kept.  Candidates come from all documents; no bucket is capped.
     """
+    collections = collections_for(percent)
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
-    signed = written(signatures(rows, k), "signatures")
+    signed = written(signatures(rows, k, collections), "signatures")
     usable = signed.where("n > 0 AND id IS NOT NULL")
     classes = unique_side(usable, ["f1", "f2"], node=F.min("id"))
     members = written(usable.join(classes, ["f1", "f2"]).select("id", "n", "node", F.when(F.col("id") == F.col("node"), F.col("sketch")).alias("sketch")), "classes")
     nodes = members.where("sketch IS NOT NULL").select("node", "sketch")
-    met = written(candidates(nodes), "candidates")
+    met = written(candidates(nodes, collections), "candidates")
     stars = written(met.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     involved = written(
         stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct(), "involved"

@@ -296,6 +296,18 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic"):
     return ToxicityModel.train([s[0] for s in sample], [s[1] for s in sample], weight)
 
 
+def _scorer(spark, model):
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf(T.DoubleType())
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        values = WordValues(shared.value)
+        for text in parts:
+            yield pd.Series(values.score(list(text)))
+
+    return scored
+
+
 def score(docs, model, text="text", threshold=THRESHOLD):
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
@@ -303,13 +315,12 @@ def score(docs, model, text="text", threshold=THRESHOLD):
     document without windows; repeated rows get equal scores; columns with these names
     are replaced.  Only the text is an input.  Narrow; the broadcast model has a fixed size.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    scored = _scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit("")))
+    out = without(docs, "score", "predicted").withColumn("score", scored)
+    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
-    @F.pandas_udf(T.DoubleType())
-    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        values = WordValues(shared.value)
-        for text in parts:
-            yield pd.Series(values.score(list(text)))
 
-    out = without(docs, "score", "predicted").withColumn("score", scored(F.coalesce(F.col(text), F.lit(""))))
-    return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+def keep_clean(docs, model, text="text", threshold=THRESHOLD):
+    """``docs`` with a score below ``threshold``, all columns as they are."""
+    scored = _scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit("")))
+    return docs.withColumn("__toxicity", scored).where(F.col("__toxicity") < threshold).drop("__toxicity")
