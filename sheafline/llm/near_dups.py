@@ -27,8 +27,10 @@ PERCENT = 80
 # miss all tables; the number of collections follows (:func:`collections_for`).
 COLLECTION_SIZE = 3
 MISSED = 1e-5
-# Documents on either side of one exhaustive comparison, and parts a star is split in.
-BLOCK = 256
+# Most documents, and about how many shingles, on either side of one exhaustive
+# comparison; parts a star is split in.
+BLOCK = 1024
+BLOCK_SHINGLES = 500_000
 STAR_PARTS = 64
 CACHE_WORDS = 400_000
 SEED = 41
@@ -117,10 +119,10 @@ def shared_keys(rows, key):
     return rows.join(groups, key)
 
 
-def collection_rows(nodes):
-    """(key, node) for each collection of each node."""
-    parts = nodes.select("node", F.posexplode("sketch").alias("i", "c"))
-    return parts.select(F.xxhash64("i", "c").alias("key"), "node")
+def collection_rows(nodes, *others):
+    """(key, node) for each collection of each node, and further columns."""
+    parts = nodes.select("node", *others, F.posexplode("sketch").alias("i", "c"))
+    return parts.select(F.xxhash64("i", "c").alias("key"), "node", *others)
 
 
 def table_rows(nodes, collections):
@@ -195,17 +197,19 @@ def similar_pairs(left, right, percent):
 
 
 def compare_blocks(nodes, known, texts, k, percent):
-    """Confirmed edges inside every collection value among ``nodes`` (node, sketch).
+    """Confirmed edges inside every collection value among ``nodes`` (node, n, sketch).
 
     Every pair of documents of different known components that shares a collection is
-    compared.  A value held by many documents is cut in blocks and each pair of blocks is
-    one group, so a group has at most about two blocks; of the links found in a group a
-    spanning forest is returned.
+    compared.  A value held by many documents is cut in blocks of bounded size and each
+    pair of blocks is one group; of the links found in a group a spanning forest is
+    returned.
     """
-    rows = _lookup(collection_rows(nodes).withColumn("component", F.col("node")), "component", known)
+    rows = _lookup(collection_rows(nodes, "n").withColumn("component", F.col("node")), "component", known)
     mixed = unique_side(
-        rows, ["key"], n=F.count("*"), c1=F.min("component"), c2=F.max("component")
-    ).where("c1 < c2").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        rows, ["key"], docs=F.count("*"), size=F.sum("n"), c1=F.min("component"), c2=F.max("component")
+    ).where("c1 < c2")
+    blocks = F.ceil(F.greatest(F.col("docs") / BLOCK, F.col("size") / BLOCK_SHINGLES)).cast("int")
+    mixed = mixed.withColumn("blocks", blocks)
     placed = rows.join(mixed.select("key", "blocks"), "key").withColumn(
         "block", F.pmod(F.xxhash64("node", F.lit(SEED)), F.col("blocks")).cast("int")
     )
@@ -257,7 +261,7 @@ def group_near_duplicates(docs, k=SHINGLE, percent=PERCENT, doc_id="doc_id", tex
     usable = signed.where("n > 0 AND id IS NOT NULL")
     classes = unique_side(usable, ["f1", "f2"], node=F.min("id"))
     members = written(usable.join(classes, ["f1", "f2"]).select("id", "n", "node", F.when(F.col("id") == F.col("node"), F.col("sketch")).alias("sketch")), "classes")
-    nodes = members.where("sketch IS NOT NULL").select("node", "sketch")
+    nodes = members.where("sketch IS NOT NULL").select("node", "n", "sketch")
     met = written(candidates(nodes, collections), "candidates")
     stars = written(met.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct(), "stars")
     involved = written(
