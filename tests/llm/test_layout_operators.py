@@ -42,7 +42,7 @@ TRICKY = [
 ]
 
 
-@pytest.mark.parametrize("block", ["128m", "211b", "64b"])
+@pytest.mark.parametrize("block", ["128m", "97b"])
 def test_records_survive_magic_in_payloads(spark, block):
     before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
     try:
@@ -180,7 +180,7 @@ def test_mixture_of_nothing(spark):
 
 def test_bounds_are_optimal():
     rng = np.random.default_rng(8)
-    for buckets in (1, 2, 3, 20):
+    for buckets in (1, 2, 3, 40):
         lengths = np.sort(rng.integers(0, 30, 60))
         values, number = np.unique(lengths, return_counts=True)
         bounds = packing.best_bounds(number.astype(float), (values * number).astype(float), values.astype(float), buckets)
