@@ -153,7 +153,10 @@ def _sized(docs, doc_id, text, source, mark):
 
 def _drawn_fragments(sized, targets, seed):
     placed = written(place_documents(sized, targets), "places")
-    return placed, fragments(placed).join(drawn_blocks(shard_draws(targets, seed), seed=seed), ["s", "block"])
+    # A few rows per source unfold into all slots, which size estimates do not see: without
+    # the hint Spark would broadcast them.
+    drawn = drawn_blocks(shard_draws(targets, seed), seed=seed).hint("merge")
+    return placed, fragments(placed).join(drawn, ["s", "block"])
 
 
 def mix(docs, doc_id="doc_id", text="text", source="source", seed=SEED):
@@ -199,7 +202,7 @@ def mixed_texts(docs, doc_id="doc_id", text="text", source="source", length=None
         F.col("id").alias("__to"), F.col("mark").alias("__of"), (F.col("taken") == F.col("size")).alias("__whole"),
         F.col("runs").alias("__runs"),
     )
-    met = texts.join(taken, F.col("__id").eqNullSafe(F.col("__to")) & (F.col("__mark") == F.col("__of")))
+    met = texts.join(taken.hint("merge"), F.col("__id").eqNullSafe(F.col("__to")) & (F.col("__mark") == F.col("__of")))
     words = F.when(~F.col("__whole"), F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
 
     def append(done, run):
