@@ -116,7 +116,8 @@ def signatures(docs, k, collections):
 def shared_keys(rows, key):
     """The rows whose ``key`` occurs on more than one node, with its smallest and largest node and count."""
     groups = unique_side(rows, [key], low=F.min("node"), high=F.max("node"), n=F.count("*")).where("low < high")
-    return rows.join(groups, key)
+    # Unfolded rows are many more than size estimates say, so neither side may be broadcast.
+    return rows.join(groups.hint("merge"), key)
 
 
 def collection_rows(nodes, *others):
