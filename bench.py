@@ -52,6 +52,7 @@ def main():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
+            "spark.sheafline.inputPartitions": cpus if cpus.isdigit() else "8",
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "8g"),
         },
     )

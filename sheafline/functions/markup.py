@@ -1,6 +1,7 @@
 """Markup to text: HTML through the standard parser, Markdown natively."""
 
 import html
+from collections import Counter
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 HTML_RESULT = T.StructType(
-    [T.StructField("text", T.StringType()), T.StructField("title", T.StringType())]
+    [T.StructField(name, T.StringType()) for name in ("text", "title", "error")]
 )
 
 # Elements whose text is left out, and elements without an end tag.
@@ -26,6 +27,8 @@ class _TextNodes(HTMLParser):
         super().__init__(convert_charrefs=False)
         self.lines, self.title = [], None
         self._open, self._node = [], []
+        # How often each name, and any hidden element, is open now.
+        self._depth, self._hidden = Counter(), 0
         self._title_children = None
 
     def end_node(self):
@@ -34,7 +37,7 @@ class _TextNodes(HTMLParser):
             return
         if self._title_children is not None:
             self._title_children.append(node)
-        if not HIDDEN_ELEMENTS.intersection(self._open) and node.strip():
+        if not self._hidden and node.strip():
             self.lines.append(node.strip())
 
     def _close_title(self):
@@ -48,6 +51,8 @@ class _TextNodes(HTMLParser):
         if tag == "title" and self._title_children is None and not self.seen_title:
             self._title_children, self.seen_title = [], True
         self._open.append(tag)
+        self._depth[tag] += 1
+        self._hidden += tag in HIDDEN_ELEMENTS
 
     seen_title = False
 
@@ -56,10 +61,12 @@ class _TextNodes(HTMLParser):
 
     def handle_endtag(self, tag):
         self.end_node()
-        if tag in self._open:
+        if self._depth[tag]:
             closed = None
             while closed != tag:
                 closed = self._open.pop()
+                self._depth[closed] -= 1
+                self._hidden -= closed in HIDDEN_ELEMENTS
                 if closed == "title" and self._title_children is not None:
                     self._close_title()
 
@@ -93,17 +100,24 @@ def html_nodes(markup):
     return "\n".join(parser.lines), parser.title
 
 
+def _page(raw):
+    if raw is None:
+        return None, None, None
+    try:
+        return (*html_nodes(bytes(raw).decode("utf-8", "replace")), None)
+    except Exception as error:  # the parser refuses some malformed declarations
+        return None, None, f"{type(error).__name__}: {error}"
+
+
 @F.pandas_udf(HTML_RESULT)
 def _html_to_text(content: pd.Series) -> pd.DataFrame:
-    rows = [
-        (None, None) if raw is None else html_nodes(bytes(raw).decode("utf-8", "replace"))
-        for raw in content
-    ]
-    return pd.DataFrame(rows, columns=["text", "title"])
+    return pd.DataFrame([_page(raw) for raw in content], columns=HTML_RESULT.names)
 
 
 def html_to_text(content):
-    """Struct (text, title) of HTML bytes, decoded as UTF-8 with replacement.
+    """Struct (text, title, error) of HTML bytes, decoded as UTF-8 with replacement.
+
+    A page the parser refuses has an error and no text.
 
     Declared non-deterministic so that a later filter on the result is not
     pushed below it, which would parse every page twice.
@@ -114,7 +128,8 @@ def html_to_text(content):
 # Markdown constructs as (text that must occur, pattern, what it renders
 # to).  Order matters:
 # code before marks, images before links, addresses before tags, setext underlines
-# before rules and bullets, escapes and entities last.
+# before rules and bullets, escapes and entities last.  A repeated group is possessive:
+# one that can backtrack recurses once per repetition and ends the JVM on a long line.
 MARKDOWN_RULES = (
     ("```", r"(?s)```[ \t]*\n?(.*?)\s*```", "`$1`"),
     ("<!--", r"(?s)<!--.*?-->", ""),
@@ -128,7 +143,7 @@ MARKDOWN_RULES = (
     ("\n=", r"(?m)^([^\n#>*+-][^\n]*)\n=+[ \t]*$", "# $1"),
     ("\n-", r"(?m)^([^\n#>*+-][^\n]*)\n-+[ \t]*$", "## $1"),
     ("#", r"(?m)^(#{1,6})[ \t]*([^\n#][^\n]*?)[ \t]*#*[ \t]*$", "$1 $2"),
-    ("", r"(?m)^ {0,3}(?:(?:\*[ \t]*){3,}|(?:-[ \t]*){3,}|(?:_[ \t]*){3,})$", "* * *"),
+    ("", r"(?m)^ {0,3}(?:(?:\*[ \t]*+){3,}+|(?:-[ \t]*+){3,}+|(?:_[ \t]*+){3,}+)$", "* * *"),
     ("", r"(?m)^([ \t]*)[*+-][ \t]+", "$1* "),
     ("***", r"\*\*\*([^*\s](?:[^*\n]*[^*\s])?)\*\*\*", "**_$1_**"),
     ("__", r"__([^_\n]+)__", "**$1**"),

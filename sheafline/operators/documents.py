@@ -9,30 +9,37 @@ from sheafline.schemas import CHUNK_METADATA, DOCUMENT_STATES, VECTOR_STATES
 KEY = ("company_id", "document_id")
 # One sortable number from a time in microseconds and a change number.
 ORDER = "decimal(38,0)"
-SEQ_SPAN = 10**18
-# Fixed value: longest content an index row may hold, in characters.
-CONTENT_LIMIT = 20000
-TITLE_LENGTH = 50
-FULL_TEXT = 2**31 - 1
+SEQ_SPAN = 2**64
+SEQ_LOWEST = -(2**63)
+# Before any time a timestamp can hold, for changes without one.
+NO_TIME = -(10**17)
 
 
-def enrich_chunks(chunks, content_limit=CONTENT_LIMIT, count_tokens=None):
-    """Index rows: key, hash, token count and title, content cut to the index limit.
+def enrich_chunks(chunks, content_limit=None, count_tokens=None):
+    """Index rows: key, content, hash, token count and title.
 
-    Tokens are whitespace tokens unless ``count_tokens`` (a function of the text
-    column) says otherwise.  Hash and tokens cover the whole text; only the
-    indexed copy is cut.  A ``file_name`` or ``vector`` column is carried along.
+    Content is whole.  For an index that holds no more than ``content_limit``
+    characters the copy is cut and ``truncated`` tells which rows were.  Tokens are
+    whitespace tokens unless ``count_tokens`` (a function of the text column) says
+    otherwise; hash and tokens cover the whole text.  The title is that of the
+    document's metadata (``title_extracted``), null where there is none.  A
+    ``file_name`` or ``vector`` column is carried along.
     """
     content = F.col("text")
     tokens = F.when(content == "", F.lit(0)).otherwise(F.size(F.split(content, " ")))
     extra = [c for c in ("file_name", "vector") if c in chunks.columns]
+    title = F.col("title_extracted") if "title_extracted" in chunks.columns else F.lit(None).cast("string")
+    indexed = content
+    if content_limit is not None:
+        indexed = F.substring(content, 1, content_limit)
+        extra.append((F.char_length(content) > content_limit).alias("truncated"))
     return chunks.select(
         F.concat_ws("_", "document_id", "chunk_index").alias("pk_id"),
         *KEY,
         "chunk_index",
-        F.substring(content, 1, content_limit).alias("content"),
+        indexed.alias("content"),
         "page",
-        F.substring(content, 1, TITLE_LENGTH).alias("title"),
+        title.alias("title"),
         (tokens if count_tokens is None else count_tokens(content)).alias("tokens"),
         F.sha2(content, 256).alias("content_hash"),
         *extra,
@@ -46,7 +53,7 @@ def chunk_table_rows(chunks, vector_status="created", count_tokens=None):
     """
     if vector_status not in VECTOR_STATES:
         raise ValueError(f"unknown vector state {vector_status}")
-    indexed = enrich_chunks(chunks, FULL_TEXT, count_tokens)
+    indexed = enrich_chunks(chunks, count_tokens=count_tokens)
     metadata = F.struct(
         F.nullif(F.col("page"), F.lit(NO_PAGE)).alias("page"), "title", "tokens", "content_hash"
     )
@@ -90,18 +97,24 @@ def latest_status(changes, states=DOCUMENT_STATES):
     Each task keeps one candidate per document, so a document with most of the
     changes costs nothing extra.  State and order are held as numbers, which
     lets Spark aggregate by hash; text or nested values would make it sort the
-    log first.  A state that is not listed shows as null.
+    log first.  Any 64-bit change number may break a tie of the time; a missing one
+    comes first, as does a missing time.  A state that is not listed is held as its
+    hash and looked up among the unlisted changes.
     """
     listed = F.array(*[F.lit(x) for x in states])
-    code = F.array_position(listed, F.col("status")).cast("int")
-    order = F.unix_micros("ts").cast(ORDER) * F.lit(SEQ_SPAN).cast(ORDER) + F.col("seq").cast(ORDER)
+    place = F.array_position(listed, F.col("status"))
+    code = F.when(place == 0, F.xxhash64("status")).otherwise(place)
+    time = F.coalesce(F.unix_micros("ts"), F.lit(NO_TIME)).cast(ORDER) * F.lit(str(SEQ_SPAN)).cast(ORDER)
+    order = time + F.coalesce(F.col("seq").cast("long"), F.lit(SEQ_LOWEST)).cast(ORDER)
     latest = changes.groupBy(*KEY).agg(
         F.max_by(code, order.cast(ORDER)).alias("__code"),
         F.max("ts").alias("updated_at"),
         F.count(F.lit(1)).alias("n_changes"),
     )
-    return latest.select(
-        *KEY, F.get(listed, F.col("__code") - 1).alias("status"), "updated_at", "n_changes"
+    other = changes.filter(place == 0).select(*KEY, code.alias("__code"), F.col("status").alias("__other")).distinct()
+    known = F.when(F.col("__code").between(1, len(states)), F.get(listed, F.col("__code").cast("int") - 1))
+    return latest.join(other, [*KEY, "__code"], "left").select(
+        *KEY, F.coalesce(known, "__other").alias("status"), "updated_at", "n_changes"
     )
 
 
@@ -109,14 +122,19 @@ def retry_candidates(status):
     return status.filter(F.col("status") == "error")
 
 
-def status_page(status, company_id, limit, offset=0):
-    """One page of a tenant's documents, newest first, ties by id."""
-    return (
-        tenant_rows(status, company_id)
-        .orderBy(F.desc("updated_at"), "document_id")
-        .offset(offset)
-        .limit(limit)
-    )
+def status_page(status, company_id, limit, after=None):
+    """One page of a tenant's documents, newest first, ties by id.
+
+    ``after`` is the (updated_at, document_id) of the last row of the page before.  A
+    page by key keeps ``limit`` rows per task however deep it lies.
+    """
+    rows = tenant_rows(status, company_id)
+    if after is not None:
+        time, document = after
+        rows = rows.filter(
+            (F.col("updated_at") < time) | (F.col("updated_at") == time) & (F.col("document_id") > document)
+        )
+    return rows.orderBy(F.desc("updated_at"), "document_id").limit(limit)
 
 
 def bulk_delete(table, requested):

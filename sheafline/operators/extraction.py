@@ -65,6 +65,7 @@ HTML = Reader(
     parse=markup.html_to_text,
     pages=lambda d: _one_page(d["text"]),
     metadata=lambda d: _metadata(title_extracted=d["title"]),
+    error=lambda d: d["error"],
 )
 
 MARKDOWN = Reader(

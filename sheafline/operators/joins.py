@@ -147,18 +147,21 @@ def flag_duplicates(uploads, existing, arrival=None):
     An upload is refused when a document of the same name exists in any state
     but ``error``.  The lookup side holds each name once, so no row multiplies.
     With ``arrival``, a column that orders the batch, later uploads of a name are
-    refused as well, as if each had been checked when it arrived; the first ones
-    are found by aggregation and joined back by document, not by name.
+    refused as well, as if each had been checked when it arrived: by arrival, those
+    without one last, then by document.  The first ones are found by aggregation and
+    joined back by document, not by name.  Uploads without tenant or name match nothing.
     """
     key = ["company_id", "filename"]
     taken = unique_keys(existing.filter(F.col("status") != "error"), key)
     flagged = uploads.join(taken.withColumn("__taken", F.lit(True)), key, "left")
     accepted = F.col("__taken").isNull()
     if arrival is not None:
-        first = uploads.groupBy(*key).agg(F.min_by("document_id", arrival).alias("document_id"))
+        named = F.col("company_id").isNotNull() & F.col("filename").isNotNull()
+        order = F.struct(F.col(arrival).isNull(), F.col(arrival), F.col("document_id"))
+        first = uploads.filter(named).groupBy(*key).agg(F.min_by("document_id", order).alias("document_id"))
         firsts = first.select("document_id", F.lit(True).alias("__first"))
         flagged = flagged.join(firsts, "document_id", "left")
-        accepted = accepted & F.col("__first").isNotNull()
+        accepted = accepted & (F.col("__first").isNotNull() | ~named)
     return flagged.withColumn("accepted", accepted).drop("__taken", "__first")
 
 

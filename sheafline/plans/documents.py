@@ -10,12 +10,15 @@ from sheafline.plans.text import PAGES_SQL, SMALL, chunks, page_chunks
 
 TENANT = "src3"
 STATUS_TENANT = "c3"
-PAGE_LIMIT, PAGE_OFFSET = 10, 5
-CONTENT_LIMIT = 500
+PAGE_LIMIT = 10
 
 CHUNKS_SQL = chunk_rows(inputs.DOCUMENT_TEXT.sql, 1000, 200, "document_id, company_id")
-STATUS_SQL = f"""(SELECT company_id, document_id, arg_max(status, seq) AS status, max(ts) AS updated_at,
-                         count(*) AS n_changes FROM {inputs.STATUS_CHANGES.sql} GROUP BY ALL)"""
+STATUS_SQL = f"""(SELECT company_id, document_id, status, max(ts) OVER w AS updated_at, count(*) OVER w AS n_changes
+                  FROM {inputs.STATUS_CHANGES.sql}
+                  WINDOW w AS (PARTITION BY company_id, document_id)
+                  QUALIFY row_number() OVER (PARTITION BY company_id, document_id ORDER BY ts DESC, seq DESC NULLS LAST) = 1)"""
+# Last row of the page before the one that is asked for.
+PAGE_AFTER = ("2024-01-30 12:00:00", "50")
 
 
 def _status(spark, folder):
@@ -29,18 +32,18 @@ def _printed(status):
 @query(
     "chunk_enrich",
     f"""SELECT concat(document_id, '_', chunk_index) AS pk_id, company_id, document_id, chunk_index,
-               substring(text, 1, {CONTENT_LIMIT}) AS content, -1 AS page, substring(text, 1, 50) AS title,
+               text AS content, -1 AS page, CAST(NULL AS VARCHAR) AS title,
                CAST(len(string_split(text, ' ')) AS INT) AS tokens, sha256(text) AS content_hash
         FROM {CHUNKS_SQL}""",
 )
 def chunk_enrich(spark, folder):
-    return documents.enrich_chunks(chunks(spark, folder), CONTENT_LIMIT)
+    return documents.enrich_chunks(chunks(spark, folder))
 
 
 @query(
     "chunk_table",
     f"""SELECT company_id, document_id, chunk_index, md5(text) AS content_md5, page,
-               substring(text, 1, 50) AS title, CAST(len(string_split(text, ' ')) AS INT) AS tokens,
+               CAST(NULL AS VARCHAR) AS title, CAST(len(string_split(text, ' ')) AS INT) AS tokens,
                sha256(text) AS content_hash, concat(document_id, '_', chunk_index) AS embedding_id,
                'created' AS vector_status
         FROM (SELECT document_id, company_id, text, page,
@@ -111,10 +114,12 @@ def retry_candidates(spark, folder):
     "status_page",
     f"""SELECT document_id, status, strftime(updated_at, {ISO}) AS updated_at FROM (
           SELECT * FROM {STATUS_SQL} WHERE company_id = '{STATUS_TENANT}'
-          ORDER BY updated_at DESC, document_id LIMIT {PAGE_LIMIT} OFFSET {PAGE_OFFSET})""",
+            AND (updated_at < TIMESTAMP '{PAGE_AFTER[0]}' OR updated_at = TIMESTAMP '{PAGE_AFTER[0]}' AND document_id > '{PAGE_AFTER[1]}')
+          ORDER BY updated_at DESC, document_id LIMIT {PAGE_LIMIT})""",
 )
 def status_page(spark, folder):
-    page = documents.status_page(_status(spark, folder), STATUS_TENANT, PAGE_LIMIT, PAGE_OFFSET)
+    after = (F.to_timestamp(F.lit(PAGE_AFTER[0])), PAGE_AFTER[1])
+    page = documents.status_page(_status(spark, folder), STATUS_TENANT, PAGE_LIMIT, after)
     return _printed(page).select("document_id", "status", "updated_at")
 
 
@@ -191,7 +196,7 @@ UPLOAD_BATCH = inputs.Derived(
         "document_id": "CAST(event_id AS STRING)",
         "company_id": "concat('c', CAST(user_id % 7 AS STRING))",
         "filename": "concat(event_type, ' ', CAST(user_id AS STRING), '.txt')",
-        "arrival": "event_id",
+        "arrival": "CASE WHEN event_id % 5 <> 0 THEN event_id END",
     },
 )
 STORED_NAMES = inputs.Derived(
@@ -208,7 +213,7 @@ STORED_NAMES = inputs.Derived(
     "duplicate_guard_batch",
     f"""SELECT document_id, company_id, filename, nth = 1 AND (company_id, filename) NOT IN (
           SELECT company_id, filename FROM {STORED_NAMES.sql} WHERE status <> 'error') AS accepted
-        FROM (SELECT *, row_number() OVER (PARTITION BY company_id, filename ORDER BY arrival) AS nth
+        FROM (SELECT *, row_number() OVER (PARTITION BY company_id, filename ORDER BY arrival NULLS LAST, document_id) AS nth
               FROM {UPLOAD_BATCH.sql})""",
 )
 def duplicate_guard_batch(spark, folder):

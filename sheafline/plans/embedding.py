@@ -69,10 +69,10 @@ def vector_dim_check(spark, folder):
     "tenant_topk",
     f"""SELECT chunk_id, company_id, round(score, 6) AS score FROM (
           SELECT chunk_id, tenant AS company_id, list_cosine_similarity({DOUBLES_SQL}, {QUERY_SQL}) AS score
-          FROM {inputs.VECTORS.sql} WHERE tenant = '{TENANT}')
+          FROM (SELECT * FROM {inputs.DAMAGED_VECTORS.sql} WHERE tenant = '{TENANT}' AND len(vector) = {STORED_DIMENSION}))
         ORDER BY score DESC, chunk_id LIMIT {TOP_K}""",
 )
 def tenant_topk(spark, folder):
-    stored = inputs.VECTORS.frame(spark, folder).withColumn("company_id", F.col("tenant"))
+    stored = inputs.DAMAGED_VECTORS.frame(spark, folder).withColumn("company_id", F.col("tenant"))
     best = search.tenant_topk(stored, TENANT, QUERY_VECTOR, TOP_K)
     return best.select("chunk_id", "company_id", F.round("score", 6).alias("score"))

@@ -7,7 +7,7 @@ differs a pair gives both.  Every row of the source table is kept.
 
 from dataclasses import dataclass
 
-from sheafline.sources.tables import read_table, spread
+from sheafline.sources.tables import dealt, read_table
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,7 @@ class Derived:
 
     def frame(self, spark, folder, spread_out=False):
         source = read_table(spark, folder, self.table)
-        source = spread(source) if spread_out else source
+        source = dealt(source) if spread_out else source
         return source.selectExpr(*self.expressions)
 
 
@@ -125,6 +125,18 @@ VECTORS = Derived(
     },
 )
 
+# Vectors as a search meets them: some null, some too short.
+DAMAGED_VECTORS = Derived(
+    "embeddings",
+    {
+        **{k: v for k, v in VECTORS.columns.items() if k != "vector"},
+        "vector": (
+            "CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 5 = 0 THEN slice(embedding, 1, 63) ELSE embedding END",
+            "CASE WHEN vec_id % 7 = 0 THEN NULL WHEN vec_id % 5 = 0 THEN embedding[1:63] ELSE embedding END",
+        ),
+    },
+)
+
 # Messages of every shape a consumer meets: objects with and without the tenant,
 # an explicit null, numbers, arrays, bare strings, broken text and no value.
 MESSAGES = Derived(
@@ -168,10 +180,12 @@ STATUS_CHANGES = Derived(
         "company_id": "concat('c', CAST(user_id % 7 AS STRING))",
         "status": (
             "CASE event_type WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'uploaded' "
-            "WHEN 'view' THEN 'processing' WHEN 'purchase' THEN 'processed' ELSE 'error' END"
+            "WHEN 'view' THEN 'processing' WHEN 'purchase' THEN concat('processed', "
+            "CASE WHEN event_id % 4 = 0 THEN ' twice' ELSE '' END) ELSE 'error' END"
         ),
         "ts": "ts",
-        "seq": "event_id",
+        # large numbers in another order than the times, some missing
+        "seq": "CASE WHEN event_id % 11 <> 0 THEN 1800000000000000000 + (event_id * 7919) % 1000003 END",
     },
 )
 

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
+import math
 import uuid
 
 from pyspark.sql import SparkSession
 
 # Static and runtime defaults for a session this package creates itself.  AQE
 # picks the reducer count from the real shuffle sizes and splits skewed join
-# partitions, so the initial partition number only has to be large enough.
+# partitions, but only merges what the initial partition number has cut: set that from
+# the size of the input (``build_session(input_bytes=...)``) for large jobs.
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -30,8 +31,19 @@ RUNTIME_SETTINGS = {
 }
 
 
-def build_session(app_name="sheafline", master=None, **conf):
-    """Create (or reuse) a session with the package defaults; ``conf`` overrides."""
+# Shuffled bytes a reducer should start from at most.
+REDUCER_BYTES = 128 * 1024**2
+
+
+def build_session(app_name="sheafline", master=None, input_bytes=None, **conf):
+    """Create (or reuse) a session with the package defaults; ``conf`` overrides.
+
+    ``input_bytes``, the size of what a job reads, sets the initial number of shuffle
+    partitions; 100 TB start with 800,000, which adaptive execution merges.
+    """
+    if input_bytes is not None:
+        partitions = max(200, math.ceil(input_bytes / REDUCER_BYTES))
+        conf.setdefault("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
@@ -41,7 +53,11 @@ def build_session(app_name="sheafline", master=None, **conf):
 
 
 def prepare(spark):
-    """Apply the runtime settings that results depend on and return the session."""
+    """Apply the runtime settings that results depend on and return the session.
+
+    Every table read of this package does so, on the session it is given: the time zone
+    becomes UTC and of two equal JSON keys the last one counts.
+    """
     for key, value in RUNTIME_SETTINGS.items():
         if spark.conf.get(key, None) != value:
             spark.conf.set(key, value)
@@ -51,12 +67,10 @@ def prepare(spark):
 def shared_folder(spark, purpose):
     """A new folder for checkpoints and stage tables, reachable by every executor.
 
-    The cluster names the parent in ``spark.checkpoint.dir``.  Only a local
-    session without that setting falls back to a temporary folder.
+    The cluster names the parent in ``spark.checkpoint.dir``.  Without that setting a
+    folder in the warehouse is used, which all executors share as well.
     """
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        parent = tempfile.mkdtemp(prefix="sheafline-")
+        parent = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
     return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

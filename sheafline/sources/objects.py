@@ -3,21 +3,31 @@
 from pyspark.sql import functions as F
 
 from sheafline.functions import mime
+from sheafline.operators.events import STAGE_DOWNLOAD
 
 
-def read_objects(spark, root, max_bytes=None, pattern=None):
+def read_objects(spark, root, pattern=None):
     """Files below ``root`` as (path relative to root, length, content).
 
-    ``max_bytes`` keeps files above a size out of the read (they stay visible in
-    :func:`list_objects`); content is only read when a query selects it.
+    Content is only read when a query selects it.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    files = reader.load(root)
-    if max_bytes is not None:
-        files = files.filter(F.col("length") <= max_bytes)
-    return files.withColumn("path", relative_path(F.col("path"), root))
+    return reader.load(root).withColumn("path", relative_path(F.col("path"), root))
+
+
+def split_by_length(objects, max_bytes):
+    """(files to read, dead letters): files above ``max_bytes`` keep path, length and a reason.
+
+    The filter on the length reaches the file listing, so an oversize file is not opened.
+    """
+    fits = F.col("length") <= max_bytes
+    reason = F.concat(F.lit("file of "), "length", F.lit(f" bytes is above the limit of {max_bytes}"))
+    oversize = objects.filter(~fits).select(
+        *[c for c in objects.columns if c != "content"], reason.alias("error"), F.lit(STAGE_DOWNLOAD).alias("stage")
+    )
+    return objects.filter(fits), oversize
 
 
 def list_objects(spark, root):

@@ -12,12 +12,16 @@ def read_table(spark, folder, name):
     return df.withColumns({c: F.col(c).cast("timestamp") for c in naive}) if naive else df
 
 
-def spread(df):
-    """Use every core on an input that arrives in fewer partitions than there are cores.
+# Number of partitions the text-heavy queries deal their input to.  Unset, inputs are
+# read as their files are split.
+DEAL_SETTING = "spark.sheafline.inputPartitions"
 
-    Meant for text-heavy narrow work on small or single-file inputs.  A large
-    input has more partitions than cores already and is returned as it is, so
-    no shuffle is added where one would be expensive.
+
+def dealt(df):
+    """``df`` in the number of partitions the session's owner asks for, if they do.
+
+    For inputs in too few files or row groups to occupy a cluster; it moves all rows, so
+    it is a choice of the caller and never depends on the size of the input.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    partitions = df.sparkSession.conf.get(DEAL_SETTING, None)
+    return df.repartition(int(partitions)) if partitions else df

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ from sheafline.functions import markup, mime
 from sheafline.operators import extraction
 from sheafline.operators.chunking import ChunkSpec, chunk_records
 from sheafline.schemas import PAGES
-from sheafline.sources.objects import list_objects, read_objects, with_guessed_type
+from sheafline.sources.objects import list_objects, read_objects, split_by_length, with_guessed_type
 from tests.office_files import docx, paragraph, xlsx
 
 DOCX_BYTES = docx(
@@ -175,5 +177,28 @@ def test_files_to_chunks(spark, tmp_path):
     chunks = chunk_records(documents, ChunkSpec(2, 0))
     assert chunks.filter("document_id = 'a/note 1.txt'").count() == 2
     assert {r.page for r in chunks.filter("document_id = 'b/s.xlsx'").collect()} == {1, 5}
-    small = read_objects(spark, str(tmp_path), max_bytes=20)
+    small, large = split_by_length(read_objects(spark, str(tmp_path)), 20)
     assert [r.path for r in small.select("path").collect()] == ["a/note 1.txt"]
+    assert {(r.path, r.stage) for r in large.collect()} == {("a/deep/d.docx", "s3_download"), ("b/s.xlsx", "s3_download")}
+    assert all(r.length > 20 and str(r.length) in r.error for r in large.collect())
+
+
+def test_bad_pages_become_rows(spark):
+    marks = "\n".join(c * 20_000 for c in "*-_") + "\n" + "* " * 20_000
+    rows = [("a", b"<![foo bar]>x", "text/html"), ("b", b"<p>good</p>", "text/html"), ("c", marks.encode(), "text/markdown")]
+    files = spark.createDataFrame([(p, bytearray(c), t) for p, c, t in rows], "path STRING, content BINARY, content_type STRING")
+    got = {r.path: r for r in extraction.extract_text(files).collect()}
+    assert got["a"].error and got["a"].stage == "unknown" and got["a"].pages[0].text is None
+    assert got["b"].error is None and got["b"].pages[0].text == "good"
+    assert got["c"].error is None and got["c"].pages[0].text.split() == ["*", "*", "*"] * 4
+
+
+def test_unclosed_tags_scale():
+    def seconds(n):
+        started = time.perf_counter()
+        markup.html_nodes("<p>a<li>b" * n)
+        return time.perf_counter() - started
+
+    seconds(1000)
+    small, large = min(seconds(20_000) for _ in range(3)), min(seconds(40_000) for _ in range(3))
+    assert large < 3.5 * small

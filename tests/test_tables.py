@@ -96,8 +96,10 @@ def test_bulk_delete(spark):
 def test_enrichment(spark):
     df = spark.createDataFrame([("a", "1", 2, "uno dos tres", 4)], "company_id STRING, document_id STRING, chunk_index INT, text STRING, page INT")
     row = documents.enrich_chunks(df, content_limit=5).first()
-    assert (row.pk_id, row.content, row.tokens, row.title) == ("1_2", "uno d", 3, "uno dos tres")
+    assert (row.pk_id, row.content, row.tokens, row.title, row.truncated) == ("1_2", "uno d", 3, None, True)
     assert len(row.content_hash) == 64
+    whole = documents.enrich_chunks(df.withColumn("title_extracted", F.lit("t"))).first()
+    assert (whole.content, whole.title, "truncated" in whole) == ("uno dos tres", "t", False)
 
 
 def test_chunk_table_rows(spark):
@@ -119,7 +121,9 @@ def test_status_and_page(spark):
     status = documents.latest_status(log)
     assert {r.document_id: r.status for r in status.collect()} == {"1": "error", "2": "processed", "3": "error"}
     assert {r.document_id for r in documents.retry_candidates(status).collect()} == {"1", "3"}
-    assert [r.document_id for r in documents.status_page(status, "a", 1, 1).collect()] == ["2"]
+    first = documents.status_page(status, "a", 1).first()
+    assert first.document_id == "1"
+    assert [r.document_id for r in documents.status_page(status, "a", 1, (first.updated_at, "1")).collect()] == ["2"]
     assert [r.document_id for r in documents.status_page(status, "a", 5).collect()] == ["1", "2"]
 
 
@@ -162,7 +166,28 @@ def test_files_read_by_path(spark, tmp_path):
 def test_unknown_state_is_visible(spark):
     ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     log = spark.createDataFrame([("a", "1", "odd", ts, 1), ("a", "1", "error", ts, 0)], "company_id STRING, document_id STRING, status STRING, ts TIMESTAMP, seq LONG")
-    assert documents.latest_status(log).first().status is None
+    assert documents.latest_status(log).first().status == "odd"
+
+
+def test_status_order_is_time_then_number(spark):
+    t = [dt.datetime(2024, 1, 1, 0, 0, 0, i, tzinfo=dt.timezone.utc) for i in range(3)]
+    big = 1_900_000_000_000_000_000
+    rows = [
+        ("a", "1", "error", t[1], big), ("a", "1", "processed", t[2], 1),
+        ("a", "2", "pending", t[0], None), ("a", "3", "error", t[0], None), ("a", "3", "processed", t[0], -5),
+        ("a", "4", "error", None, big), ("a", "4", "uploaded", t[0], None), ("a", "5", None, t[0], 1),
+    ]
+    log = spark.createDataFrame(rows, "company_id STRING, document_id STRING, status STRING, ts TIMESTAMP, seq LONG")
+    got = {r.document_id: r.status for r in documents.latest_status(log).collect()}
+    assert got == {"1": "processed", "2": "pending", "3": "processed", "4": "uploaded", "5": None}
+
+
+def test_uploads_without_arrival(spark):
+    rows = [("1", "a", "x", None), ("2", "a", "x", None), ("3", "a", "y", None), ("4", "a", "y", 7), ("5", "a", None, 1), ("6", None, "x", 1)]
+    uploads = spark.createDataFrame(rows, "document_id STRING, company_id STRING, filename STRING, arrival LONG")
+    existing = spark.createDataFrame([], "company_id STRING, filename STRING, status STRING")
+    accepted, _ = joins.guard_duplicates(uploads, existing, "arrival")
+    assert {r.document_id for r in accepted.collect()} == {"1", "4", "5", "6"}
 
 
 def test_processed_document_without_new_chunks_is_emptied(spark):
