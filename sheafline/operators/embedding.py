@@ -1,12 +1,13 @@
 """Vectors for chunks: a JVM default model and a plug-in batch model."""
 
+import hashlib
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Callable
 
+import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +23,43 @@ BACKOFF_MAX_S = 10.0
 HASHED_MODEL = "hashed-words"
 
 
+# Words whose place a task remembers.
+REMEMBERED_WORDS = 200_000
+
+
+class _Places(dict):
+    """Word -> its place in the vector: the first 32 bits of its MD5, modulo the dimension."""
+
+    def __init__(self, dimension):
+        super().__init__()
+        self.dimension = dimension
+
+    def __missing__(self, word):
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        place = self[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % self.dimension
+        return place
+
+
 def hashed_vectors(df, dimension=DEFAULT_DIMENSION, column="text", output="vector"):
-    """Deterministic unit vectors of hashed word counts, without leaving the JVM."""
-    tokens = df.withColumn("__tokens", F.array_remove(F.split(F.col(column), " "), ""))
-    counts = HashingTF(numFeatures=dimension, inputCol="__tokens", outputCol="__tf")
-    unit = Normalizer(p=2.0, inputCol="__tf", outputCol="__unit")
-    made = unit.transform(counts.transform(tokens))
-    return made.withColumn(output, vector_to_array("__unit", "float32")).drop(
-        "__tokens", "__tf", "__unit"
-    )
+    """Deterministic unit vectors of word counts, words placed by a hash any engine has.
+
+    Words are separated by single spaces; a text without words has a zero vector.
+    """
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def vectors(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        places = _Places(dimension)
+        for part in parts:
+            made = []
+            for text in part:
+                words = [w for w in (text or "").split(" ") if w]
+                counts = np.bincount([places[w] for w in words], minlength=dimension).astype(np.float64)
+                length = np.sqrt((counts * counts).sum())
+                made.append((counts / length if length else counts).astype(np.float32))
+            yield pd.Series(made, index=part.index)
+
+    return df.withColumn(output, vectors(F.col(column)))
 
 
 def embedding_records(vectors, default_company=UNKNOWN_COMPANY):
@@ -47,19 +76,24 @@ def embed_chunks(chunks, dimension=DEFAULT_DIMENSION):
 
 
 def embed_messages(messages, dimension=DEFAULT_DIMENSION, value="value"):
-    """Chunk messages (JSON) to embedding records.
+    """(records, dead letters) of chunk messages (JSON).
 
-    An absent tenant becomes ``unknown``; an explicit null stays null.
+    An absent tenant becomes ``unknown``; an explicit null stays null.  A message that is
+    no JSON object or has no text keeps all its columns and gets a ``reason``, so every
+    message ends in one of the two.
     """
     doc = F.col("__json")
-    parsed = messages.select(payload.decode(F.col(value)).alias("__json"))
-    chunks = parsed.filter(payload.is_object(doc)).select(
+    parsed = messages.withColumn("__json", payload.decode(F.col(value)))
+    text = payload.text_field(doc, "text")
+    reason = F.when(~payload.is_valid(doc), "invalid_json").when(~payload.is_object(doc), "not_an_object")
+    told = parsed.withColumn("reason", reason.when(text.isNull(), "no_text"))
+    chunks = told.filter("reason IS NULL").select(
         payload.text_field(doc, "chunk_id").alias("chunk_id"),
         payload.text_field(doc, "document_id").alias("document_id"),
         payload.tenant_or(doc, UNKNOWN_COMPANY).alias("company_id"),
-        payload.text_field(doc, "text").alias("text"),
+        text.alias("text"),
     )
-    return embed_chunks(chunks, dimension)
+    return embed_chunks(chunks, dimension), told.filter("reason IS NOT NULL").drop("__json")
 
 
 def with_model_info(vectors, model_name=HASHED_MODEL, dimension=DEFAULT_DIMENSION):

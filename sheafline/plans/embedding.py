@@ -19,11 +19,76 @@ DOUBLES_SQL = "CAST(vector AS DOUBLE[])"
 TENANT = "3"
 
 
-@query("embed_chunks")
+def vectors_sql(rows, keep, dimension=DIMENSION):
+    """SQL text: ``keep`` columns of ``rows`` (with a unique row_key and text) and the word-count vector."""
+    place = f"CAST(CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % {dimension} AS INTEGER)"
+    return f"""(WITH given AS (SELECT * FROM {rows}),
+        counted AS (SELECT row_key, {place} AS place, count(*) AS n
+            FROM (SELECT row_key, unnest(list_filter(string_split(text, ' '), lambda w: w <> '')) AS word FROM given) GROUP BY ALL),
+        sized AS (SELECT row_key, map(list(place), list(n)) AS counts, sqrt(sum(n * n)) AS length FROM counted GROUP BY row_key)
+        SELECT {keep}, list_transform(range({dimension}),
+            lambda i: CAST(coalesce(counts[CAST(i AS INTEGER)] / length, 0) AS FLOAT)) AS vector
+        FROM given LEFT JOIN sized USING (row_key))"""
+
+
+CHUNK_ROWS_SQL = f"""(SELECT *, {chunk_id()} AS row_key
+                      FROM {chunk_rows(inputs.DOCUMENT_TEXT.sql, 1000, 200, 'document_id, company_id')})"""
+
+
+@query("embed_chunks", f"SELECT row_key AS chunk_id, * EXCLUDE row_key FROM {vectors_sql(CHUNK_ROWS_SQL, 'row_key, document_id, company_id')}")
 def embed_chunks(spark, folder):
     return embedding.embed_chunks(chunks(spark, folder), DIMENSION)
 
 
+# Messages as the embedding consumer meets them: whole, without tenant, with a null
+# tenant, without text, with a null text, no object, cut off, missing.
+_SHAPE = "(conv_id + turn) % 8"
+_WORDS = "regexp_replace(text, '[^A-Za-z ]', ' '{})"
+_TAIL = "concat(',\"document_id\":\"', conv_id, '\",\"text\":\"', {}, '\"}}')"
+
+
+def _message(words):
+    tail = _TAIL.format(words)
+    head = "concat('{\"chunk_id\":\"', conv_id, '/', turn, '\"')"
+    return (
+        f"CASE {_SHAPE} WHEN 1 THEN concat({head}, {tail}) WHEN 2 THEN concat({head}, ',\"company_id\":null', {tail}) "
+        f"WHEN 3 THEN concat({head}, '}}') WHEN 4 THEN concat({head}, ',\"text\":null}}') "
+        f"WHEN 5 THEN concat('[', {head}, ']') WHEN 6 THEN {head} WHEN 7 THEN CAST(NULL AS STRING) "
+        f"ELSE concat({head}, ',\"company_id\":\"', role, '\"', {tail}) END"
+    )
+
+
+CHUNK_MESSAGES = inputs.Derived(
+    "conversations",
+    {
+        "shape": _SHAPE,
+        "chunk_id": "concat(conv_id, '/', turn)",
+        "document_id": "CAST(conv_id AS STRING)",
+        "role": "role",
+        "text": tuple(_WORDS.format(g) for g in ("", ", 'g'")),
+        "value": tuple(_message(_WORDS.format(g)) for g in ("", ", 'g'")),
+    },
+)
+_SENT_SQL = f"""(SELECT chunk_id AS row_key, document_id, text,
+                        CASE shape WHEN 1 THEN 'unknown' WHEN 2 THEN NULL ELSE role END AS company_id
+                 FROM {CHUNK_MESSAGES.sql} WHERE shape IN (0, 1, 2))"""
+
+
+@query(
+    "embed_messages",
+    f"""SELECT row_key AS chunk_id, document_id, company_id, vector, CAST(NULL AS VARCHAR) AS reason
+        FROM {vectors_sql(_SENT_SQL, 'row_key, document_id, company_id', 16)}
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, CASE WHEN shape IN (3, 4) THEN 'no_text' ELSE 'invalid_json' END
+        FROM {CHUNK_MESSAGES.sql} WHERE shape > 2""",
+)
+def embed_messages(spark, folder):
+    """Messages to vectors; those without one are kept with the reason."""
+    records, dead = embedding.embed_messages(CHUNK_MESSAGES.frame(spark, folder).select("value"), 16)
+    kept = records.withColumn("reason", F.lit(None).cast("string"))
+    return kept.unionByName(dead.select("reason"), allowMissingColumns=True)
+
+
 @query(
     "embedding_contract",
     f"""SELECT {chunk_id()} AS chunk_id, document_id, company_id, 'hashed-words' AS model_name,

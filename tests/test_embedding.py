@@ -34,8 +34,9 @@ def test_messages(spark):
         "broken",
     ]
     df = spark.createDataFrame([(v,) for v in values], "value STRING")
-    got = {r.chunk_id: r.company_id for r in embedding.embed_messages(df, 8).collect()}
-    assert got == {"1": "t", "2": "unknown", "3": None}
+    records, dead = embedding.embed_messages(df, 8)
+    assert {r.chunk_id: r.company_id for r in records.collect()} == {"1": "t", "2": "unknown", "3": None}
+    assert {r.value: r.reason for r in dead.collect()} == {values[3]: "no_text", values[4]: "no_text", "broken": "invalid_json"}
 
 
 def test_plugged_in_model_sees_batches_and_keeps_pairing(spark):

@@ -39,6 +39,22 @@ def test_safe_tenant(spark):
     assert [r.got for r in rows] == [r.expected for r in rows]
 
 
+def test_large_messages_give_the_same_results(spark, monkeypatch):
+    cases = spark.createDataFrame(TENANT_CASES, "value STRING, expected STRING")
+    monkeypatch.setattr(payload, "VARIANT_BYTES", -1)
+    doc = payload.decode(F.col("value"))
+    rows = cases.select("expected", payload.safe_tenant(doc).alias("got"), payload.is_object(doc).alias("object"), "value").collect()
+    assert [r.got for r in rows] == [r.expected for r in rows]
+    assert [r.object for r in rows] == [r.value is not None and r.value.startswith("{") and r.value.endswith("}") for r in rows]
+
+
+def test_a_message_above_the_variant_limit_keeps_its_tenant(spark):
+    df = spark.range(1).select(F.concat(F.lit('{"company_id":"a","text":"'), F.repeat(F.lit("x"), 17 * 1024**2), F.lit('"}')).alias("value"))
+    doc = payload.decode(F.col("value"))
+    row = df.select(payload.safe_tenant(doc).alias("t"), F.length(payload.text_field(doc, "text")).alias("n"), payload.is_object(doc).alias("o")).first()
+    assert (row.t, row.n, row.o) == ("a", 17 * 1024**2, True)
+
+
 def plain_tenant(value):
     try:
         found = json.loads(value)

@@ -12,7 +12,7 @@ from sheafline.streaming.stages import chunk_stage
 from tests.conftest import plan_of
 
 # Parsing HTML and office files needs whole-file parsers.
-PYTHON_QUERIES = {"html_text", "html_title", "extract_dispatch", "stage_errors", "docx_text", "xlsx_pages"}
+PYTHON_QUERIES = {"html_text", "html_title", "extract_dispatch", "stage_errors", "docx_text", "xlsx_pages", "embed_chunks", "embed_messages", "embedding_contract"}
 # Their plan is that of reading the stream's output; the stream itself has run before.
 STREAM_QUERIES = {"stream_window_1m", "stream_chunks", "stream_landing"}
 COUNTING = {
