@@ -185,9 +185,10 @@ def brute_top(rows, k):
     out = set()
     for n, (i, x) in enumerate(usable):
         if i % 50 == 0:
-            scores = [(sum(a * b for a, b in zip(x, y)), j) for j, y in usable if j != i and len(x) == len(y)]
+            cut = lambda v: max(-(2**63), min(2**63 - 1, v))
+            scores = [(cut(sum(a * b for a, b in zip(x, y))), j) for j, y in usable if j != i and len(x) == len(y)]
             top = sorted(scores, key=lambda s: (-s[0], s[1]))[:k]
-            out |= {(i, rank + 1, j, max(-(2**63), min(2**63 - 1, s))) for rank, (s, j) in enumerate(top)}
+            out |= {(i, rank + 1, j, s) for rank, (s, j) in enumerate(top)}
     return out
 
 
