@@ -32,6 +32,8 @@ SAMPLE_LONGEST = 100_000
 # Words remembered per task, and words looked up at a time.
 CACHE_WORDS = 300_000
 LOOKUP_WORDS = 50_000
+# N-grams of about so few toxic documents are learned more slowly.
+RARE_DOCUMENTS = 8
 SEED = 20240229
 
 _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»“”„‘’…–—¡¿"
@@ -99,14 +101,18 @@ def _summary(values):
 
 
 class _Adam:
-    def __init__(self, shape, rate):
-        self.m, self.v, self.t, self.rate = np.zeros(shape), np.zeros(shape), 0, rate
+    """Adam steps.  ``damping`` shortens the steps of weights whose gradient is small next to
+    the largest one: n-grams of one document would otherwise be learned by heart."""
+
+    def __init__(self, shape, rate, damping=0.0):
+        self.m, self.v, self.t, self.rate, self.damping = np.zeros(shape), np.zeros(shape), 0, rate, damping
 
     def step(self, weights, grad):
         self.t += 1
         self.m = 0.9 * self.m + 0.1 * grad
         self.v = 0.999 * self.v + 0.001 * grad**2
-        weights -= self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.999**self.t)) + 1e-8)
+        floor = self.damping * np.abs(grad).max() if self.damping else 1e-8
+        weights -= self.rate * (self.m / (1 - 0.9**self.t)) / (np.sqrt(self.v / (1 - 0.999**self.t)) + floor + 1e-12)
 
 
 class _Bags:
@@ -156,7 +162,8 @@ def _fit_windows(bags, toxic, rounds):
     rng = np.random.default_rng(SEED)
     vectors = rng.normal(0, 0.1, (BUCKETS, DIMENSION))
     weights, bias = rng.normal(0, 0.5, (DIMENSION, 2)), np.zeros(2)
-    moves = [(_Adam(vectors.shape, 0.15), vectors), (_Adam(weights.shape, 0.05), weights), (_Adam(2, 0.05), bias)]
+    damping = min(0.3, RARE_DOCUMENTS / max(1, toxic.sum()))
+    moves = [(_Adam(vectors.shape, 0.4, damping), vectors), (_Adam(weights.shape, 0.05), weights), (_Adam(2, 0.05), bias)]
     label = toxic[bags.owner]
     chosen = np.ones(len(label), bool)
     for round_, steps in enumerate(rounds):
@@ -181,7 +188,8 @@ def _fit_windows(bags, toxic, rounds):
 
 def _fit_layer(x, y, weight):
     """Weighted logistic regression by Newton steps with a small ridge."""
-    mean, scale = x.mean(0), x.std(0) + 1e-9
+    mean, scale = x.mean(0), x.std(0)
+    scale[scale < 1e-6] = 1.0  # a constant feature says nothing
     z = np.concatenate([(x - mean) / scale, np.ones((len(x), 1))], 1)
     w = np.zeros(z.shape[1])
     for _ in range(25):
