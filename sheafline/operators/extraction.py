@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafline.functions import markup, mime, office, text
-from sheafline.operators.events import STAGE_UNKNOWN
+from sheafline.operators.events import STAGE_DOWNLOAD, STAGE_UNKNOWN, STAGE_VALIDATION, with_content_type, with_stage
 from sheafline.schemas import PAGES
 
 METADATA = T.MapType(T.StringType(), T.StringType())
@@ -27,6 +27,8 @@ RESULT = T.StructType(
     ]
 )
 STRICT_LOWERCASE = ("xlsx",)
+OUTCOME_TEXT = "text"
+OUTCOME_DEAD = "dead_letter"
 
 
 def _one_page(value):
@@ -173,6 +175,37 @@ def extract_text(objects, readers=None, strict=False):
     return result.withColumn("stage", F.when(F.col("error").isNotNull(), F.lit(STAGE_UNKNOWN)))
 
 
+def extract_events(events, readers=None, strict=False):
+    """Events with the file each one names, through validation, download and extraction in one pass.
+
+    ``content`` is null where no object was found; an ``error`` a reader of files has
+    added says why.  Every row comes out once, with ``pages``, or with ``error`` and
+    ``stage``; ``outcome`` tells the two apart, so one written result serves both the
+    chunks and the dead letters and nothing is parsed for each of them.
+    """
+    told = F.col("error") if "error" in events.columns else F.lit(None).cast("string")
+    rows = events.withColumn("__told", told).drop("error", "stage")
+    staged = with_stage(with_content_type(rows)).withColumnRenamed("stage", "__stage")
+    staged = staged.withColumn(
+        "__stage", F.coalesce("__stage", F.when(F.col("content").isNull(), F.lit(STAGE_DOWNLOAD)))
+    )
+    early = F.col("__stage")
+    readable = staged.withColumn("content", F.when(early.isNull(), F.col("content")))
+    why = F.when(early == STAGE_VALIDATION, F.lit("a required field is missing")).when(
+        early == STAGE_DOWNLOAD, F.coalesce("__told", F.lit("object not found"))
+    )
+    done = extract_text(readable, readers, strict).withColumns(
+        {
+            "pages": F.when(early.isNull(), F.col("pages")),
+            "metadata": F.when(early.isNull(), F.col("metadata")),
+            "error": F.coalesce(why, F.col("error")),
+            "stage": F.coalesce(early, F.col("stage")),
+        }
+    )
+    outcome = F.when(F.col("stage").isNull(), F.lit(OUTCOME_TEXT)).otherwise(F.lit(OUTCOME_DEAD))
+    return done.drop("__told", "__stage").withColumn("outcome", outcome)
+
+
 def split_results(extracted):
     """(documents, dead letters) of an extraction."""
     return extracted.filter("error IS NULL"), extracted.filter("error IS NOT NULL").drop("pages")

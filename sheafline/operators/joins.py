@@ -43,10 +43,12 @@ def fetch_objects(events, objects, path="s3_path"):
 
 
 def read_by_path(events, root, file_system=None, path="s3_path"):
-    """(found, missing): events with the file each one names, read by the task.
+    """Events with the file each one names, read by the task: ``content``, or ``error`` and ``stage``.
 
     The counterpart of :func:`fetch_objects` for stores too large to list or
     shuffle: only events move, and each task opens the files of its own events.
+    Files found and files missing are rows of one result, so that both come from one
+    pass: write it once, or hand it to :func:`extraction.extract_events`.
     ``file_system()`` returns a PyArrow file system and the root inside it.
     """
 
@@ -69,11 +71,7 @@ def read_by_path(events, root, file_system=None, path="s3_path"):
         + [T.StructField("content", T.BinaryType()), T.StructField("error", T.StringType())]
     )
     fetched = events.mapInPandas(read, schema)
-    missing = fetched.filter("error IS NOT NULL").drop("content")
-    return (
-        fetched.filter("error IS NULL").drop("error"),
-        missing.withColumn("stage", F.lit(STAGE_DOWNLOAD)),
-    )
+    return fetched.withColumn("stage", F.when(F.col("error").isNotNull(), F.lit(STAGE_DOWNLOAD)))
 
 
 def _read_file(store, base, path):

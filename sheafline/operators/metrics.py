@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 # Bounds a histogram gets when it declares none.
 LIBRARY_BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0)
-KIB = 1024
 
 
 @dataclass(frozen=True)
@@ -49,7 +48,7 @@ HISTOGRAMS = {
         Histogram(
             "ingest_upload_file_size_bytes",
             ("company_id", "content_type"),
-            tuple(KIB * n for n in (10, 50, 100, 512, 1024, 5 * 1024, 10 * 1024)),
+            (10240, 51200, 102400, 524288, 1048576, 5242880, 10485760),
         ),
         Histogram("ingest_request_processing_duration_seconds", ("method", "path")),
         Histogram(
@@ -161,6 +160,31 @@ def bucket_rows(counted, bounds):
     )
 
 
+def histogram_series(observations):
+    """Cumulative buckets per metric and label set, all declared histograms in one pass.
+
+    Every distinct bound is counted once per group; a metric then shows its own bounds.
+    Metrics that are not declared as histograms have no rows.
+    """
+    distinct = sorted({float(b) for h in HISTOGRAMS.values() for b in h.bounds})
+    value = F.col("value")
+    series = F.sort_array(F.map_entries("labels"))
+    counted = observations.groupBy("metric", series.alias("__series")).agg(
+        *_bucket_columns(distinct, value), F.sum(value).alias("sum"), F.count(value).alias("count")
+    )
+
+    def bucket(le, n):
+        return F.struct(F.lit(le).alias("le"), n.alias("n"))
+
+    chosen = F.lit(None)
+    for name, h in HISTOGRAMS.items():
+        counts = [F.col(f"__le_{distinct.index(float(b))}") for b in h.bounds] + [F.col("count")]
+        own = F.array(*[bucket(le, n) for le, n in zip(bound_labels(h.bounds), counts)])
+        chosen = F.when(F.col("metric") == name, own).otherwise(chosen)
+    rows = counted.select("metric", F.map_from_entries("__series").alias("labels"), F.explode(chosen).alias("__b"), "sum", "count")
+    return rows.select("metric", "labels", F.col("__b.le").alias("le"), F.col("__b.n").alias("bucket_count"), "sum", "count")
+
+
 def bucket_quantile(buckets, bounds, q):
     """Quantile by linear interpolation inside the bucket that holds the rank.
 

@@ -81,6 +81,26 @@ DOCUMENT_TEXT = Derived(
     "documents", {"document_id": ID, "company_id": "source", "text": "text"}
 )
 
+# Events with their files: some invalid, some without a file, some no reader takes or that
+# cannot be parsed, and long lines of marks beside plain texts.
+_MARKS = "repeat(substring('*-_', CAST(1 + doc_id % 3 AS INT), 1), 20000)"
+_BODY = f"CASE {SOURCE_NO} WHEN 17 THEN '<![foo bar]>x' WHEN 18 THEN {_MARKS} ELSE text END"
+FILES = Derived(
+    "documents",
+    {
+        "document_id": ID,
+        "company_id": EVENTS.columns["company_id"],
+        "s3_path": f"CASE {SOURCE_NO} WHEN 16 THEN '' ELSE concat('docs/', {ID}, '.txt') END",
+        "content_type": (
+            f"CASE {SOURCE_NO} WHEN 10 THEN ' TEXT/Plain ;charset=utf-8' WHEN 12 THEN 'image/png' WHEN 13 THEN '' "
+            "WHEN 17 THEN 'text/html' WHEN 18 THEN 'text/markdown' WHEN 19 THEN NULL ELSE 'text/plain' END"
+        ),
+        "content": tuple(
+            f"CASE WHEN doc_id % 7 <> 3 THEN {encode.format(_BODY)} END" for encode in ("encode({}, 'UTF-8')", "encode({})")
+        ),
+    },
+)
+
 # Objects of a store: web pages as files.
 OBJECTS = Derived(
     "pages",

@@ -8,9 +8,6 @@ from sheafline.plans.registry import query
 from sheafline.plans.sqltext import ISO
 
 UPLOADS = "ingest_uploads_total"
-CONSUMED = "docproc_messages_consumed_total"
-ERRORS = "docproc_processing_errors_total"
-TEXTS = "embedding_texts_processed_total"
 DURATION = metrics.HISTOGRAMS["docproc_processing_duration_seconds"]
 UPLOAD_SIZE = metrics.HISTOGRAMS["ingest_upload_file_size_bytes"]
 QUANTILE_RANGE_S = 6 * 3600
@@ -37,32 +34,56 @@ def durations(spark, folder):
     )
 
 
+# Labels the requests do not carry themselves.
+EXTRA_LABELS = {
+    "topic": "concat('topic-', event_type)",
+    "partition": "CAST(CAST(company_id AS BIGINT) % 4 AS STRING)",
+    "model_name": "'hashed-words'",
+    "error_type": "concat(event_type, '-', stage)",
+    "method": "CASE WHEN event_type = 'view' THEN 'GET' ELSE 'POST' END",
+    "path": "concat('/', event_type)",
+}
+
+
+def labelled_requests(spark, folder):
+    """Requests with a column for every label of every metric."""
+    requests = inputs.REQUESTS.frame(spark, folder)
+    return requests.select("*", *[F.expr(e).alias(n) for n, e in EXTRA_LABELS.items()])
+
+
+LABELLED_SQL = f"(SELECT *, {', '.join(f'{e} AS {n}' for n, e in EXTRA_LABELS.items())} FROM {inputs.REQUESTS.sql})"
+
+
+def _labels_sql(names):
+    return "concat('', " + ", ',', ".join([f"'{n}=', {n}" for n in sorted(names)] or ["''"]) + ")"
+
+
+def _labels_text(rows):
+    pairs = F.transform(F.map_entries("labels"), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return rows.withColumn("labels", F.array_join(F.array_sort(pairs), ","))
+
+
 @query(
     "counters",
-    f"""SELECT metric, labels, CAST(count(*) AS DOUBLE) AS total FROM (
-          SELECT '{UPLOADS}' AS metric, concat('company_id=', company_id, ',content_type=', content_type, ',status=', status) AS labels
-          FROM {inputs.REQUESTS.sql}
-          UNION ALL SELECT '{CONSUMED}', concat('status=', status, ',topic=documents.raw') FROM {inputs.REQUESTS.sql}
-          UNION ALL SELECT '{ERRORS}', concat('stage=', stage) FROM {inputs.REQUESTS.sql}
-          UNION ALL SELECT '{TEXTS}', concat('company_id=', company_id) FROM {inputs.REQUESTS.sql})
-        GROUP BY ALL""",
+    "SELECT metric, labels, CAST(count(*) AS DOUBLE) AS total FROM ("
+    + " UNION ALL ".join(
+        f"SELECT '{c.name}' AS metric, {_labels_sql(c.labels)} AS labels FROM {LABELLED_SQL}"
+        for c in metrics.COUNTERS.values()
+    )
+    + ") GROUP BY ALL",
 )
 def counters(spark, folder):
-    """Each request counts in four metrics with different label sets."""
-    requests = inputs.REQUESTS.frame(spark, folder).withColumn("topic", F.lit("documents.raw"))
-    measurements = [_counted(name) for name in (UPLOADS, CONSUMED, ERRORS, TEXTS)]
-    observations = metrics.observe(requests, *measurements)
-    totals = metrics.counter_totals(observations)
-    pairs = F.transform(F.map_entries("labels"), lambda e: F.concat_ws("=", e["key"], e["value"]))
-    return totals.select("metric", F.array_join(pairs, ",").alias("labels"), "total")
+    """Each request counts in all ten counters, under each one's own label set, in one scan."""
+    observations = metrics.observe(labelled_requests(spark, folder), *[_counted(n) for n in metrics.COUNTERS])
+    return _labels_text(metrics.counter_totals(observations))
 
 
-def _bucket_sql(source, by, value, bounds):
+def _bucket_sql(source, by, value, bounds, digits=2):
     labels = metrics.bound_labels(bounds)
     rows = ", ".join(
         [f"('{text}', {float(b)})" for text, b in zip(labels, bounds)] + ["('+Inf', CAST('Infinity' AS DOUBLE))"]
     )
-    return f"""SELECT {by}, le, count(*) FILTER (v <= bound) AS bucket_count, round(sum(v), 2) AS sum, count(v) AS count
+    return f"""SELECT {by}, le, count(*) FILTER (v <= bound) AS bucket_count, round(sum(v), {digits}) AS sum, count(v) AS count
                FROM (SELECT {by}, {value} AS v FROM {source}), (VALUES {rows}) b(le, bound) GROUP BY {by}, le"""
 
 
@@ -88,6 +109,30 @@ def histogram_upload_size(spark, folder):
     return metrics.bucket_rows(counted, UPLOAD_SIZE.bounds).withColumn("sum", F.round("sum", 2))
 
 
+# What a request measures: bytes of an upload, seconds of everything else.
+SERIES_VALUES = {n: "value * 10000" if n.endswith("_bytes") else "value / 4" for n in metrics.HISTOGRAMS}
+
+
+@query(
+    "histogram_series",
+    " UNION ALL ".join(
+        _bucket_sql(
+            f"(SELECT '{h.name}' AS metric, {_labels_sql(h.labels)} AS labels, {SERIES_VALUES[h.name]} AS measured FROM {LABELLED_SQL})",
+            "metric, labels", "measured", h.bounds, digits=4,
+        )
+        for h in metrics.HISTOGRAMS.values()
+    ),
+)
+def histogram_series(spark, folder):
+    """All six histograms under their own label sets, in one scan."""
+    measured = [
+        metrics.Observed(h.name, {n: F.col(n) for n in h.labels}, F.expr(SERIES_VALUES[h.name]))
+        for h in metrics.HISTOGRAMS.values()
+    ]
+    series = metrics.histogram_series(metrics.observe(labelled_requests(spark, folder), *measured))
+    return _labels_text(series).withColumn("sum", F.round("sum", 4))
+
+
 def _rate_sql(where):
     return f"""SELECT strftime(time_bucket(INTERVAL '15 seconds', ts) - to_seconds(15 * i), {ISO}) AS window_start,
                       content_type, round(count(*) / 300.0::DOUBLE, 8) AS rate

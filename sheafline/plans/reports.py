@@ -7,8 +7,10 @@ from sheafline.plans import inputs
 from sheafline.plans.registry import query
 from sheafline.plans.sqltext import ISO, chunk_rows
 from sheafline.plans.text import chunks
-from sheafline.sinks.tables import LANDING_LAYOUT
-from sheafline.sources.landing import with_partitions
+from sheafline.schemas import EMBEDDING_KEYS
+from sheafline.session import shared_folder
+from sheafline.sinks.tables import LANDING_LAYOUT, write_landing
+from sheafline.sources.landing import read_landing_day, with_partitions
 
 AS_OF = "2024-02-01"
 DAY = "2024-01-15"
@@ -18,12 +20,6 @@ LANDED_SQL = f"""(SELECT *, strftime(timestamp, '%Y') AS year, strftime(timestam
                          strftime(timestamp, '%d') AS day, strftime(timestamp, '%H') AS hour FROM {inputs.BROKER_ROWS.sql})"""
 
 
-def landed_messages(spark, folder):
-    rows = with_partitions(inputs.BROKER_ROWS.frame(spark, folder))
-    fields = F.from_json("value", "chunk_id STRING, document_id STRING, company_id STRING")
-    return rows.select(fields.alias("p"), *LANDING_LAYOUT).select("p.*", *LANDING_LAYOUT)
-
-
 @query(
     "daily_report",
     f"""SELECT company_id, document_id, '2024-01-31' AS processing_date, count(*) AS total_chunks_processed
@@ -41,7 +37,10 @@ def daily_report(spark, folder):
         FROM {LANDED_SQL} WHERE year = '2024' AND month = '01' AND day = '15' GROUP BY 1, 2""",
 )
 def daily_report_pruned(spark, folder):
-    return reports.daily_report_pruned(landed_messages(spark, folder), DAY)
+    """All messages landed, then the folders of one day read."""
+    root = shared_folder(spark, "landing")
+    write_landing(inputs.BROKER_ROWS.frame(spark, folder), root)
+    return reports.daily_report_pruned(read_landing_day(spark, root, EMBEDDING_KEYS, DAY), DAY)
 
 
 @query(

@@ -132,12 +132,12 @@ HTML_NODES_SQL = (
 )
 
 
-@query(
-    "html_text",
-    f"""SELECT page_id, array_to_string(list_filter(list_transform({HTML_NODES_SQL},
+HTML_TEXT_SQL = f"""SELECT page_id, array_to_string(list_filter(list_transform({HTML_NODES_SQL},
           lambda t: regexp_replace({_decoded('t')}, '^[{WS}]+|[{WS}]+$', '', 'g')), lambda t: t <> ''), chr(10)) AS text
-        FROM pages""",
-)
+        FROM pages"""
+
+
+@query("html_text", HTML_TEXT_SQL)
 def html_text(spark, folder):
     pages = dealt(read_table(spark, folder, "pages"))
     node_text = markup.html_to_text(F.encode("html", "UTF-8"))["text"]

@@ -54,6 +54,18 @@ BROKER_ROW = _struct(
 
 PAGES = T.ArrayType(_struct(("page", T.IntegerType()), ("text", T.StringType())))
 
+# What extraction leaves of an object: its pages, or an error with its stage.
+EXTRACTED = _struct(
+    ("document_id", T.StringType()),
+    ("company_id", T.StringType()),
+    ("s3_path", T.StringType()),
+    ("content_type", T.StringType()),
+    ("pages", PAGES),
+    ("error", T.StringType()),
+    ("stage", T.StringType()),
+    ("outcome", T.StringType()),
+)
+
 RAW_OBJECT = _struct(
     ("path", T.StringType()),
     ("content", T.BinaryType()),

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,14 +24,36 @@ def read_landing(spark, root, schema=None, topic=None):
     """
     reader = spark.read.option("basePath", root)
     if schema is not None:
-        parts = ("topic", *PARTITIONS)
-        kinds = [T.StructField(name, T.StringType()) for name in parts]
-        known = T.StructType([f for f in schema.fields if f.name not in parts] + kinds)
-        reader = reader.schema(known)
+        reader = reader.schema(_with_parts(schema))
     landed = reader.json(root)
     return landed if topic is None else landed.filter(F.col("topic") == topic)
 
 
+def _with_parts(schema):
+    parts = ("topic", *PARTITIONS)
+    kinds = [T.StructField(name, T.StringType()) for name in parts]
+    return T.StructType([f for f in schema.fields if f.name not in parts] + kinds)
+
+
+def read_landing_day(spark, root, schema, day, topic="*"):
+    """Landed records of one UTC day: only the folders of that day are listed.
+
+    Reading the whole tree and filtering prunes the scan, but the driver lists every file
+    first.  A day nothing landed on has no rows.
+    """
+    day = dt.date.fromisoformat(day) if isinstance(day, str) else day
+    known = _with_parts(schema)
+    try:
+        return (
+            spark.read.option("basePath", root).schema(known)
+            .json(f"{root.rstrip('/')}/topic={topic}/year={day:%Y}/month={day:%m}/day={day:%d}")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], known)
+
+
 def day_filter(day):
     """Partition predicate of one UTC day, comparable with zero-padded or inferred values."""
     day = dt.date.fromisoformat(day) if isinstance(day, str) else day

@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from sheafline.operators import chunking, documents, extraction, search
 from sheafline.plans import catalog
 from sheafline.sinks.tables import write_chunk_table
-from sheafline.streaming.stages import chunk_stage
 from tests.conftest import plan_of
 
 # Parsing HTML and office files needs whole-file parsers.
-PYTHON_QUERIES = {"html_text", "html_title", "extract_dispatch", "stage_errors", "docx_text", "xlsx_pages", "embed_chunks", "embed_messages", "embedding_contract"}
+PYTHON_QUERIES = {"html_text", "html_title", "extract_dispatch", "extract_errors", "stage_errors", "docx_text", "xlsx_pages", "embed_chunks", "embed_messages", "embedding_contract"}
 # Their plan is that of reading the stream's output; the stream itself has run before.
-STREAM_QUERIES = {"stream_window_1m", "stream_chunks", "stream_landing"}
+STREAM_QUERIES = {"stream_window_1m", "stream_chunks", "stream_landing", "stream_dead_letters", "stream_chain"}
 COUNTING = {
-    "daily_report", "daily_report_pruned", "window_30s", "window_1m", "counters", "histogram_buckets",
+    "daily_report", "daily_report_pruned", "window_30s", "window_1m", "counters", "histogram_buckets", "histogram_series",
     "histogram_p95", "rate_5m", "error_rate", "throughput_1m", "topic_flow_gap", "safe_parse_counts",
     "landing_partitions", "upload_status", "tenant_count", "document_status",
 }
@@ -67,7 +66,7 @@ def test_extraction_and_chunking_parse_each_file_once(spark, folder):
         F.encode("html", "UTF-8").alias("content"),
         kind.alias("content_type"),
     )
-    plan = plan_of(chunk_stage(objects))
+    plan = plan_of(chunking.chunk_records(extraction.extract_text(objects)))
     assert "Exchange" not in plan and plan.count("ArrowEvalPython") == 1
     once = {"split(": 1, "_html_to_text(": 1, "run(": 2, "&amp;": 2}  # two office readers; a rule's test and pattern
     assert {mark: plan.count(mark) for mark in once} == once

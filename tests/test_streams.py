@@ -1,15 +1,18 @@
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from sheafline.operators import extraction
 from sheafline.operators.chunking import ChunkSpec
 from sheafline.schemas import BROKER_ROW, EMBEDDING, EMBEDDING_KEYS, RAW_OBJECT
 from sheafline.sinks.tables import stream_landing, stream_layer
 from sheafline.sources.landing import read_landing
 from sheafline.sources.topics import read_topic_files
 from sheafline.streaming import counters, stages
+from tests.conftest import plan_of
 
 AVAILABLE = {"availableNow": True}
 DAY = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -93,9 +96,11 @@ def test_chained_layers_with_restart(spark, tmp_path):
 
     def run():
         objects = spark.readStream.schema(RAW_OBJECT).parquet(inbox).select(
-            F.col("path").alias("document_id"), F.lit("c").alias("company_id"), "content", "content_type"
+            F.col("path").alias("document_id"), F.lit("c").alias("company_id"), F.col("path").alias("s3_path"),
+            "content", "content_type",
         )
-        stages.start_chunk_layer(objects, root, ChunkSpec(3, 1), AVAILABLE).awaitTermination()
+        stages.start_extraction_layer(objects, root, AVAILABLE).awaitTermination()
+        stages.start_chunk_layer(spark, root, ChunkSpec(3, 1), AVAILABLE).awaitTermination()
         stages.start_embedding_layer(spark, root, 16, AVAILABLE).awaitTermination()
         return spark.read.schema(EMBEDDING).parquet(f"{root}/embeddings")
 
@@ -115,9 +120,23 @@ def test_rate_layer_and_dead_letters(spark, tmp_path):
     append_rows(spark, topic, [1, 2, 70, 300])
     stages.start_rate_layer(read_topic_files(spark, topic), root, AVAILABLE).awaitTermination()
     assert sorted(r.chunk_count for r in spark.read.parquet(f"{root}/analytics/rt").collect()) == [1, 2]
-    broken = spark.createDataFrame([("p", bytearray(b"x"), "image/png")], RAW_OBJECT)
-    dead = stages.dead_letter_stage(broken).collect()
-    assert [r.stage for r in dead] == ["unknown"] and "image/png" in dead[0].error
+    inbox = str(tmp_path / "inbox")
+    objects = [("p", b"x", "image/png"), ("gone", None, "text/plain"), ("", b"x", "text/plain"), ("t", b"x", "text/plain")]
+    spark.createDataFrame(objects, RAW_OBJECT).write.parquet(inbox)
+    raw = spark.readStream.schema(RAW_OBJECT).parquet(inbox).selectExpr("path AS document_id", "'c' AS company_id", "path AS s3_path", "content", "content_type")
+    stages.start_extraction_layer(raw, root, AVAILABLE).awaitTermination()
+    stages.start_dead_letter_layer(spark, root, AVAILABLE).awaitTermination()
+    dead = {r.document_id: r for r in spark.read.schema(stages.DEAD_LETTER).parquet(f"{root}/dead_letters").collect()}
+    assert {k: r.stage for k, r in dead.items()} == {"p": "unknown", "gone": "s3_download", "": "validation"}
+    assert "image/png" in dead["p"].error
+
+
+def test_one_scan_and_one_parse_serve_texts_and_dead_letters(spark):
+    objects = objects_frame(spark, ["a"]).selectExpr("path AS document_id", "'c' AS company_id", "path AS s3_path", "content", "content_type")
+    plan = plan_of(extraction.extract_events(objects).select("document_id", "pages", "error", "stage"))
+    parses = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    calls = [c for line in parses for c in re.findall(r"_html_to_text\(", line)]
+    assert plan.count("Scan ") == 1 and len(calls) == 1
 
 
 def test_kafka_reader_needs_its_connector(spark):

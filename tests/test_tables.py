@@ -7,7 +7,7 @@ from sheafline.operators import documents, joins, reports
 from sheafline.schemas import EMBEDDING_KEYS
 from sheafline.session import shared_folder
 from sheafline.sinks.tables import write_landing, write_raw_objects, write_report, write_single_date
-from sheafline.sources.landing import day_filter, read_landing, require_columns
+from sheafline.sources.landing import day_filter, read_landing, read_landing_day, require_columns
 
 
 def report(spark, day, rows):
@@ -58,6 +58,12 @@ def test_batch_landing_and_pruned_report(spark, tmp_path):
     plan = day._jdf.queryExecution().executedPlan().toString()
     filters = next(line for line in plan.splitlines() if "PartitionFilters" in line).split("PartitionFilters: [", 1)[1]
     assert "topic" in filters.split("]")[0] and "day" in filters.split("PushedFilters")[0]
+    folders = read_landing_day(spark, root, EMBEDDING_KEYS, "2024-01-02")
+    assert all("/day=02/" in f for f in folders.inputFiles()) and folders.count() == 5
+    pruned = reports.daily_report_pruned(folders, "2024-01-02")
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, day.collect()))
+    assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
+    assert read_landing_day(spark, root, EMBEDDING_KEYS, "2030-01-01").count() == 0
     inferred = read_landing(spark, root).filter(day_filter(dt.date(2024, 1, 2)))
     assert inferred.count() == 5
 
@@ -158,9 +164,10 @@ def test_files_read_by_path(spark, tmp_path):
     (tmp_path / "c").mkdir()
     (tmp_path / "c/a.txt").write_bytes(b"alpha")
     events = spark.createDataFrame([(str(i), p) for i, p in enumerate(["c/a.txt", "c/none.txt", None, "c/a.txt"])], "document_id STRING, s3_path STRING")
-    found, missing = joins.read_by_path(events, str(tmp_path))
-    assert sorted((r.document_id, bytes(r.content)) for r in found.collect()) == [("0", b"alpha"), ("3", b"alpha")]
-    assert {r.document_id: r.stage for r in missing.collect()} == {"1": "s3_download", "2": "s3_download"}
+    rows = joins.read_by_path(events, str(tmp_path)).collect()
+    assert sorted((r.document_id, bytes(r.content)) for r in rows if r.error is None) == [("0", b"alpha"), ("3", b"alpha")]
+    assert {r.document_id: r.stage for r in rows if r.error is not None} == {"1": "s3_download", "2": "s3_download"}
+    assert all(r.stage is None for r in rows if r.error is None)
 
 
 def test_unknown_state_is_visible(spark):
