@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sheafline.llm import (
+    hard_negatives,
     language,
     mixture,
     near_dups,
     packing,
+    page_text,
     secrets,
     tokens,
     toxicity,
     vector_dups,
     vector_search,
     warc,
+    whitening,
 )
 from sheafline.llm.common import held_out, tables
 from sheafline.session import shared_folder
@@ -166,3 +169,48 @@ def op1_warc(spark, folder):
     return records.select(
         F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+# Reads the one template the table's pages have; the operator knows nothing of it.
+OP11_SQL = """WITH cut AS (SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''),
+        '<article>(.*)</article>', 1, 's'), '</?(?:p|h1)>') AS parts FROM pages),
+    plain AS (SELECT page_id, url, list_transform(parts, lambda b: regexp_replace(regexp_replace(
+        replace(replace(b, '<br>', ' '), '<b>', ''), '&quot;?', chr(34), 'g'), '&amp;?', '&', 'g')) AS parts FROM cut),
+    blocks AS (SELECT page_id, url, array_to_string(list_filter(list_transform(parts,
+        lambda b: trim(regexp_replace(b, '[ \t\r\n]+', ' ', 'g'))), lambda b: b <> ''), chr(10) || chr(10)) AS text FROM plain)
+    SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM blocks"""
+
+
+@query("op11_main_text", OP11_SQL)
+def op11_main_text(spark, folder):
+    return page_text.extract_main_text(tables(spark, folder, "pages", "page_id", "url", "html"))
+
+
+OP12_SQL = """WITH whole AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda v: floor(256 * CAST(v AS DOUBLE))) AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0),
+    scored AS (SELECT a.vec_id AS anchor_id, c.vec_id AS vec_id, a.label = c.label AS same,
+            CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+        FROM whole a JOIN whole c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id AND len(a.x) = len(c.x)),
+    positives AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    ranked AS (SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+            CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+        FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+            AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3"""
+
+
+@query("op12_hard_negatives", OP12_SQL)
+def op12_hard_negatives(spark, folder):
+    vectors = tables(spark, folder, "embeddings", "vec_id", "embedding", "label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(vectors.withColumn("label", moved))
+
+
+@query("op13_whitening")
+def op13_whitening(spark, folder):
+    whitened = whitening.whiten(tables(spark, folder, "embeddings", "vec_id", "embedding"))
+    return whitened.withColumnRenamed("id", "vec_id")
