@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from sheafline.llm.common import word_count, without
+from sheafline.llm.common import without, word_count, written
 
 BUCKETS = 16
 BATCH_TOKENS = 65_536
@@ -78,28 +78,44 @@ def pack(docs, length=None, doc_id="doc_id", buckets=BUCKETS, budget=BATCH_TOKEN
     document above the budget is a batch of its own, never cut; only the last batch of a
     bucket may be smaller.  Documents without words have length 0 and are padded like the
     rest.  Repeated rows get slots of their own; an empty table stays empty; columns with
-    the new names are replaced.  Inside a bucket documents follow a hash of their id.
+    the new names are replaced, all others stay.  Inside a bucket documents follow a hash
+    of their id.  Texts are read once to be measured and moved once, to meet their numbers.
     """
-    measured = without(docs, "bucket", "bucket_length", "batch", "slot", "padding").withColumn(
-        "length", (word_count() if length is None else F.coalesce(length, F.lit(0))).cast("long")
+    kept = without(docs, "length", "bucket", "bucket_length", "batch", "slot", "padding")
+    # Measured before columns are dropped; the caller may measure by one of them.
+    size = (word_count() if length is None else F.coalesce(length, F.lit(0))).cast("long")
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in kept.columns]).alias("row"),
+        size.alias("length"),
+        F.xxhash64(F.col(doc_id), size).alias("order"),
+        F.monotonically_increasing_id().alias("mark"),
     )
-    bounds = best_bounds(*histogram(measured.select("length")), buckets)
+    # Numbers of rows hold once they are stored; from here on only the join touches texts.
+    rows = written(rows, "measured")
+    bounds = best_bounds(*histogram(rows.select("length")), buckets)
+    numbered = number_rows(rows.select("mark", "order", "length"), bounds, budget)
+    return rows.join(numbered, "mark").select(
+        "row.*", "length", "bucket", "bucket_length", "batch", "slot", (F.col("bucket_length") - F.col("length")).alias("padding")
+    )
+
+
+def number_rows(rows, bounds, budget=BATCH_TOKENS):
+    """(mark, bucket, bucket_length, batch, slot) of rows (mark, order, length), without gaps in a bucket.
+
+    Lanes of a bucket are numbered each for itself; the first number of each lane goes
+    to every task, as a table of at most buckets times LANES rows.
+    """
     bucket = sum([(F.col("length") > b).cast("int") for b in bounds[:-1]], F.lit(0))
     ends = F.array(*[F.lit(b).cast("long") for b in bounds or [0]])
-    mark = F.xxhash64(F.col(doc_id), F.col("length"))
-    placed = measured.withColumn("bucket", bucket).withColumns(
-        {"bucket_length": F.element_at(ends, F.col("bucket") + 1), "__lane": F.pmod(mark, F.lit(LANES)), "__mark": mark}
-    )
-    lanes = placed.groupBy("bucket", "__lane").agg(F.count("*").alias("__n"))
-    ahead = Window.partitionBy("bucket").orderBy("__lane").rowsBetween(Window.unboundedPreceding, -1)
-    starts = lanes.select("bucket", "__lane", F.coalesce(F.sum("__n").over(ahead), F.lit(0)).alias("__start"))
-    within = Window.partitionBy("bucket", "__lane").orderBy("__mark", doc_id)
+    placed = rows.select("mark", "order", bucket.alias("bucket"), F.pmod("order", F.lit(LANES)).alias("lane"))
+    lanes = placed.groupBy("bucket", "lane").agg(F.count("*").alias("n"))
+    ahead = Window.partitionBy("bucket").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    starts = lanes.select("bucket", "lane", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
+    within = Window.partitionBy("bucket", "lane").orderBy("order", "mark")
+    numbered = placed.withColumn("at", F.row_number().over(within) - 1).join(F.broadcast(starts), ["bucket", "lane"])
+    long = numbered.withColumn("bucket_length", F.element_at(ends, F.col("bucket") + 1))
     room = F.greatest(F.floor(F.lit(budget) / F.greatest("bucket_length", F.lit(1))), F.lit(1))
-    numbered = placed.withColumn("__at", F.row_number().over(within) - 1).join(starts, ["bucket", "__lane"])
-    index = F.col("__at") + F.col("__start")
-    return numbered.select(
-        *[c for c in placed.columns if not c.startswith("__")],
-        F.floor(index / room).alias("batch"),
-        (index % room).cast("int").alias("slot"),
-        (F.col("bucket_length") - F.col("length")).alias("padding"),
+    index = F.col("at") + F.col("start")
+    return long.select(
+        "mark", "bucket", "bucket_length", F.floor(index / room).alias("batch"), (index % room).cast("int").alias("slot")
     )

@@ -19,7 +19,7 @@ from sheafline.llm import (
     warc,
     whitening,
 )
-from sheafline.llm.common import held_out, tables
+from sheafline.llm.common import held_out, tables, word_count
 from sheafline.session import shared_folder
 
 QUERIES = {}
@@ -78,7 +78,8 @@ def op6_mixture(spark, folder):
 
 @query("op7_packing")
 def op7_packing(spark, folder):
-    packed = packing.pack(tables(spark, folder, "documents", "doc_id", "text"))
+    docs = tables(spark, folder, "documents", "doc_id", "text").select("doc_id", word_count().alias("words"))
+    packed = packing.pack(docs, length=F.col("words"))
     return packed.select("doc_id", "length", "bucket", "bucket_length", "batch", "slot", "padding")
 
 

@@ -213,3 +213,16 @@ def test_batches_fit_the_budget(spark, budget):
         last = got[got["bucket"] == bucket]["batch"].max()
         assert len(part) == room or batch == last
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_packing_keeps_all_columns_and_measures_once(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, 6, 7)] * 2 + [(2, None, 5, 6, 7)], "doc_id long, text string, __mark int, order int, ROW int")
+    got = packing.pack(docs)
+    assert got.columns == [*docs.columns, "length", "bucket", "bucket_length", "batch", "slot", "padding"]
+    assert sorted((r["doc_id"], r["__mark"], r["order"], r["ROW"], r["length"]) for r in got.collect()) == [(1, 5, 6, 7, 2)] * 2 + [(2, 5, 6, 7, 0)]
+    # Texts are measured before they are stored; what is numbered and joined reads the sizes.
+    plan = plan_of(packing.pack(docs))
+    assert "regexp" not in plan, plan
+    assert "BroadcastExchange" in plan
+    # The caller's measure may be one of the columns that are replaced.
+    assert {r["length"] for r in packing.pack(docs.withColumn("length", F.lit(9)), length=F.col("length")).collect()} == {9}
