@@ -1,16 +1,17 @@
 """Mixing sources to target weights, in DataFrame functions only.
 
 The words of each source form one stream, cut into blocks of a fixed number of words.
-Every output shard draws how many of its slots each source fills (a multinomial draw
-with one systematic variate per shard, so that shares hold in each shard and the
-totals stay close).  The slots of a source are numbered through all shards; slot
-number ``i`` of a source with ``n`` blocks belongs to pass ``i div n`` and takes the
-block a pseudorandom permutation of that pass puts at ``i mod n``.  Blocks then meet
-slots by an equality join on (source, block).
+Every output shard draws how many of its slots each source fills: a multinomial draw by
+the targets, after which a last shard evens out what chance left of them.  The slots of
+a source are numbered through all shards; slot number ``i`` of a source with ``n`` blocks
+belongs to pass ``i div n`` and takes the block a pseudorandom permutation of that pass
+puts at ``i mod n``.  Blocks then meet slots by an equality join on (source, block).
 """
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -22,6 +23,9 @@ SHARE = 1.5
 PASSES = 2
 BLOCK_WORDS = 64
 SHARD_SLOTS = 65_536
+# Slots a task unfolds, and how many of one source at a time.
+SLOTS_PER_TASK = 65_536
+PIECE = 4096
 # Parts a source's stream is laid out in, so that no source needs one task.
 LANES = 4096
 # Rounds of the swap-or-not shuffle.
@@ -87,34 +91,64 @@ def fragments(placed):
     return cut.withColumns({"first": first - F.col("start"), "words": last - first})
 
 
+def slot_numbers(targets):
+    """(s, blocks, low, high, slots) of every source that takes part, on the driver.
+
+    ``low`` and ``high`` are the source's part of the unit interval, ``slots`` what it
+    fills of all slots; a row per source, like the weights of the mix themselves.
+    """
+    rows = targets.where("source_size > 0 AND target > 0").select("s", "blocks", "source_size", "target").collect()
+    rows.sort(key=lambda r: r["s"])
+    ends = list(accumulate(r["target"] * r["blocks"] / r["source_size"] for r in rows))
+    starts = [0.0, *ends[:-1]]
+    number = [round(high) - round(low) for low, high in zip(starts, ends)]
+    if rows and not sum(number):
+        number[-1] = 1
+    return [
+        (r["s"], r["blocks"], low / ends[-1], high / ends[-1], n) for r, low, high, n in zip(rows, starts, ends, number)
+    ]
+
+
+def tasks_for(slots):
+    return max(1, -(-slots // SLOTS_PER_TASK))
+
+
 def shard_draws(targets, seed=SEED):
     """(s, blocks, shard, slots, first): how many slots of each shard a source fills.
 
-    ``first`` numbers the source's slots through the shards.
+    Every slot of a shard draws its source by the targets, which makes the counts of
+    a shard multinomial.  What chance gave a source beyond its target is taken off its last
+    shards; what others still lack then forms the last shard.  ``first`` numbers the
+    source's slots through the shards.
     """
-    expected = targets.where("source_size > 0 AND target > 0").withColumn(
-        "expected", F.col("target") * F.col("blocks") / F.col("source_size")
+    spark, sources = targets.sparkSession, slot_numbers(targets)
+    number = sum(n for *_, n in sources)
+    lows = F.array(*[F.lit(low) for _, _, low, _, _ in sources] or [F.lit(0.0)])
+    variate = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 40)) / float(1 << 40)
+    # The last source whose part of the unit interval begins at or below the variate.
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(max(1, len(sources).bit_length())))])
+
+    def nearer(at, step):
+        there = at + step
+        return F.when((there < len(sources)) & (F.get(lows, there) <= F.col("variate")), there).otherwise(at)
+
+    slots = spark.range(0, number, 1, tasks_for(number)).withColumn("variate", variate)
+    drawn = slots.select(
+        F.floor(F.col("id") / SHARD_SLOTS).alias("shard"), F.aggregate(halves, F.lit(0), nearer).alias("place")
     )
-    everything, upto = Window.partitionBy(), Window.orderBy("s").rowsBetween(Window.unboundedPreceding, 0)
-    shares = expected.withColumns(
-        {"sum": F.sum("expected").over(everything), "high": F.sum("expected").over(upto), "last": F.max("s").over(everything)}
-    ).select(
-        "s", "blocks",
-        F.greatest(F.round("sum").cast("long"), F.lit(1)).alias("all"),
-        (F.col("high") - F.col("expected")).alias("low"), "high", "sum", "last",
-    )
-    shards = F.sequence(F.lit(0).cast("long"), F.floor((F.col("all") - 1) / SHARD_SLOTS))
-    cells = shares.withColumn("shard", F.explode(shards)).repartition("s", "shard")
-    width = F.least(F.lit(SHARD_SLOTS), F.col("all") - F.col("shard") * SHARD_SLOTS)
-    variate = F.pmod(F.xxhash64(F.lit(seed), "shard"), F.lit(1 << 30)) / float(1 << 30)
-
-    def upto_share(part):
-        return F.floor(F.least(part / F.col("sum"), F.lit(1.0)) * width + variate)
-
-    high = F.when(F.col("s") == F.col("last"), F.floor(width + variate)).otherwise(upto_share(F.col("high")))
-    drawn = cells.select("s", "blocks", "shard", (high - upto_share(F.col("low"))).alias("slots")).where("slots > 0")
-    ahead = Window.partitionBy("s").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return drawn.withColumn("first", F.coalesce(F.sum("slots").over(ahead), F.lit(0)))
+    counts = drawn.groupBy("place", "shard").agg(F.count("*").alias("count"))
+    known = spark.createDataFrame(
+        [(i, s, blocks, n) for i, (s, blocks, _, _, n) in enumerate(sources)], "place int, s int, blocks long, wanted long"
+    )
+    ahead = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    cells = written(counts.withColumn("first", F.coalesce(F.sum("count").over(ahead), F.lit(0))), "draws")
+    kept = cells.join(known, "place").withColumn("slots", F.least("count", F.col("wanted") - F.col("first")))
+    got = cells.groupBy("place").agg(F.sum("count").alias("got"))
+    rest = known.join(got, "place", "left").withColumn("first", F.coalesce("got", F.lit(0)))
+    last = F.lit(-(-number // SHARD_SLOTS)).cast("long")
+    columns = ("s", "blocks", "shard", "slots", "first")
+    lacking = rest.withColumn("shard", last).withColumn("slots", F.col("wanted") - F.col("first"))
+    return kept.select(*columns).unionByName(lacking.select(*columns)).where("slots > 0")
 
 
 def drawn_blocks(draws, passes=PASSES, seed=SEED):
@@ -122,17 +156,25 @@ def drawn_blocks(draws, passes=PASSES, seed=SEED):
 
     A swap-or-not shuffle: every round pairs ``x`` with ``key - x`` and a hash of the pair
     decides whether to swap, which permutes the blocks whatever their number.  Slots
-    beyond ``passes`` passes over a source, which rounding can leave, stay empty.
+    beyond ``passes`` passes over a source, which rounding can leave, stay empty.  Slots
+    unfold in pieces of bounded size, dealt to as many tasks as their number asks for.
     """
-    cells = draws.repartition("s", "shard").withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
+    draws = written(draws, "cells")
+    number = draws.agg(F.sum("slots")).first()[0] or 0
+    cells = draws.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))))
     low = F.greatest(F.col("first"), F.col("blocks") * F.col("pass"))
     high = F.least(F.col("first") + F.col("slots"), F.col("blocks") * (F.col("pass") + 1))
     rounds = F.sequence(F.lit(0), F.lit(ROUNDS - 1))
     keys = F.transform(rounds, lambda r: F.pmod(F.xxhash64(F.lit(seed), r, "s", "pass"), "blocks"))
-    slots = (
-        cells.withColumns({"low": low, "high": high, "keys": keys})
+    pieces = (
+        cells.withColumns({"low": low, "high": high})
         .where("low < high")
-        .select("s", "shard", "pass", "blocks", "keys", F.explode(F.expr("sequence(low, high - 1)")).alias("i"))
+        .withColumn("from", F.explode(F.sequence(F.col("low"), F.col("high") - 1, F.lit(PIECE).cast("long"))))
+        .select("s", "shard", "pass", "blocks", "from", F.least(F.col("high"), F.col("from") + PIECE).alias("to"))
+        .repartition(tasks_for(number), "s", "from")
+    )
+    slots = pieces.withColumn("keys", keys).select(
+        "s", "shard", "pass", "blocks", "keys", F.explode(F.sequence(F.col("from"), F.col("to") - 1)).alias("i")
     )
 
     def swap(x, key):
@@ -170,7 +212,7 @@ def mix(docs, doc_id="doc_id", text="text", source="source", seed=SEED):
     rows is laid out in LANES parts.  Equal input and seed give equal results.
     """
     sized = _sized(docs, doc_id, text, source, F.xxhash64(F.col(text)))
-    targets = source_targets(sized)
+    targets = written(source_targets(sized), "targets")
     placed, drawn = _drawn_fragments(sized, targets, seed)
     used = drawn.groupBy("s", "start").agg(F.sum("words").alias("taken"))
     full = placed.join(used, ["s", "start"], "left").select(
@@ -191,31 +233,36 @@ def mixed_texts(docs, doc_id="doc_id", text="text", source="source", length=None
     once, to meet what was drawn from them.
     """
     own = docs.columns
-    mark = F.xxhash64(*[F.col(c) for c in own])
-    sized = _sized(docs, doc_id, text, source, mark)
-    _, drawn = _drawn_fragments(sized, source_targets(sized), seed)
-    runs = drawn.groupBy("id", "mark", "s", "start", "size", "pass").agg(
+    rows = docs.select(
+        F.struct(*own).alias("row"),
+        F.col(doc_id).alias("id"),
+        F.col(source).alias("source"),
+        word_count(text).alias("size"),
+        F.xxhash64(*own).alias("mark"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    # Numbers of rows hold once they are stored.
+    rows = written(rows, "marked")
+    sized = rows.drop("row")
+    _, drawn = _drawn_fragments(sized, written(source_targets(sized), "targets"), seed)
+    runs = drawn.groupBy("at", "pass").agg(
         F.sum("words").alias("taken"), F.array_sort(F.collect_list(F.struct("first", "words"))).alias("runs")
     )
-    texts = docs.withColumns({"__mark": mark, "__id": F.col(doc_id)}).dropDuplicates(["__id", "__mark"])
-    taken = runs.select(
-        F.col("id").alias("__to"), F.col("mark").alias("__of"), (F.col("taken") == F.col("size")).alias("__whole"),
-        F.col("runs").alias("__runs"),
-    )
-    met = texts.join(taken.hint("merge"), F.col("__id").eqNullSafe(F.col("__to")) & (F.col("__mark") == F.col("__of")))
-    words = F.when(~F.col("__whole"), F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
+    met = rows.join(runs.hint("merge"), "at").withColumn("whole", F.col("taken") == F.col("size"))
+    words = F.when(~F.col("whole"), F.regexp_extract_all(F.col("row")[text], F.lit(WORD), F.lit(0)))
 
     def append(done, run):
-        part = F.slice(F.col("__words"), run["first"].cast("int") + 1, run["words"].cast("int"))
+        part = F.slice(F.col("split"), run["first"].cast("int") + 1, run["words"].cast("int"))
         gap = F.when(done["at"] == -1, "").when(done["at"] == run["first"], " ").otherwise("\n")
         out = F.concat(done["out"], gap, F.array_join(part, " "))
         return F.struct(out.alias("out"), (run["first"] + run["words"]).alias("at"))
 
     empty = F.struct(F.lit("").alias("out"), F.lit(-1).cast("long").alias("at"))
-    cut = F.aggregate("__runs", empty, append)["out"]
-    made = met.withColumn("__words", words).withColumn("__cut", F.when(F.col("__whole"), F.col(text)).otherwise(cut))
-    changed = {text: F.col("__cut")}
+    cut = F.aggregate("runs", empty, append)["out"]
+    made = met.withColumn("split", words).withColumn("cut", F.when(F.col("whole"), F.col("row")[text]).otherwise(cut))
+    changed = {text: F.col("cut")}
     if length is not None:
-        new = F.char_length("__cut").cast(docs.schema[length].dataType)
-        changed[length] = F.when(F.col("__whole") | F.col(length).isNull(), F.col(length)).otherwise(new)
-    return made.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in own])
+        old = F.col("row")[length]
+        new = F.char_length("cut").cast(docs.schema[length].dataType)
+        changed[length] = F.when(F.col("whole") | old.isNull(), old).otherwise(new)
+    return made.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in own])
