@@ -116,6 +116,38 @@ def chunk_with(df, chunker, column="text"):
     return fanned.filter(F.col("chunk_index").isNotNull())
 
 
+def word_chunker(spec=ChunkSpec()):
+    """The chunker of :func:`chunk_text` as a plain function of a text."""
+    size, step = spec.size, spec.step
+
+    def chunks(content):
+        words = content.split()
+        at = 0
+        while words:
+            yield " ".join(words[at : at + size])
+            if at + size >= len(words):
+                return
+            at += step
+
+    return chunks
+
+
+def register_chunker(spark, name, chunker):
+    """Make ``chunker(text) -> texts`` a table function of SQL: (chunk_index, text) per chunk.
+
+    ``SELECT d.id, c.* FROM documents d, LATERAL name(d.text) c``.  Texts reach it in Arrow
+    batches and chunks leave it one by one, so a long text is never a list of all its
+    chunks; null and blank texts have none.
+    """
+
+    class Chunks:
+        def eval(self, content: str):
+            if content is not None and content.strip():
+                yield from enumerate(chunker(content))
+
+    spark.udtf.register(name, F.udtf(Chunks, returnType="chunk_index int, text string", useArrow=True))
+
+
 def with_chunk_ids(chunks, page="page", random_ids=False):
     """Add ``chunk_id``; deterministic unless ``random_ids``."""
     at = F.col(page) if page in chunks.columns else F.lit(None).cast("int")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafline.operators.events import STAGE_DOWNLOAD
+from sheafline.session import stored
 
 # Files returned to Spark at a time, which bounds the memory of a task.
 FILES_PER_BATCH = 16
@@ -146,21 +147,26 @@ def flag_duplicates(uploads, existing, arrival=None):
     but ``error``.  The lookup side holds each name once, so no row multiplies.
     With ``arrival``, a column that orders the batch, later uploads of a name are
     refused as well, as if each had been checked when it arrived: by arrival, those
-    without one last, then by document.  The first ones are found by aggregation and
-    joined back by document, not by name.  Uploads without tenant or name match nothing.
+    without one last, then by document.  For that every upload gets a number, under which
+    the rows are stored; the first of each name is found by aggregation, one row per task
+    and name, and joined back by that number alone, so a name with most of the rows does
+    no harm.  A document sent twice is two uploads.  Uploads without tenant or name match
+    nothing.
     """
-    key = ["company_id", "filename"]
+    key, columns = ["company_id", "filename"], uploads.columns
     taken = unique_keys(existing.filter(F.col("status") != "error"), key)
+    if arrival is not None:
+        uploads = stored(uploads.withColumn("__upload", F.monotonically_increasing_id()), "uploads")
     flagged = uploads.join(taken.withColumn("__taken", F.lit(True)), key, "left")
     accepted = F.col("__taken").isNull()
     if arrival is not None:
         named = F.col("company_id").isNotNull() & F.col("filename").isNotNull()
-        order = F.struct(F.col(arrival).isNull(), F.col(arrival), F.col("document_id"))
-        first = uploads.filter(named).groupBy(*key).agg(F.min_by("document_id", order).alias("document_id"))
-        firsts = first.select("document_id", F.lit(True).alias("__first"))
-        flagged = flagged.join(firsts, "document_id", "left")
+        order = F.struct(F.col(arrival).isNull(), F.col(arrival), F.col("document_id"), F.col("__upload"))
+        first = uploads.filter(named).groupBy(*key).agg(F.min_by("__upload", order).alias("__upload"))
+        firsts = first.select("__upload", F.lit(True).alias("__first"))
+        flagged = flagged.join(firsts, "__upload", "left")
         accepted = accepted & (F.col("__first").isNotNull() | ~named)
-    return flagged.withColumn("accepted", accepted).drop("__taken", "__first")
+    return flagged.select(*columns, accepted.alias("accepted"))
 
 
 def guard_duplicates(uploads, existing, arrival=None):

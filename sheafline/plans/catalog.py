@@ -1,9 +1,9 @@
 """All registered queries."""
 
-from sheafline.plans import documents, embedding, events, metrics, office, reports, streams, text
+from sheafline.plans import documents, embedding, events, metrics, office, reports, state, streams, text
 from sheafline.plans.registry import ORACLES, QUERIES
 
-SECTIONS = (events, text, office, embedding, reports, metrics, documents, streams)
+SECTIONS = (events, text, office, embedding, reports, metrics, documents, streams, state)
 
 
 def queries():

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sheafline.operators import chunking, documents, joins
+from sheafline.operators import chunking, documents, joins, progress
 from sheafline.plans import inputs
 from sheafline.plans.registry import query
 from sheafline.plans.sqltext import ISO, chunk_rows
@@ -193,10 +193,11 @@ def duplicate_guard(spark, folder):
 UPLOAD_BATCH = inputs.Derived(
     "events",
     {
-        "document_id": "CAST(event_id AS STRING)",
-        "company_id": "concat('c', CAST(user_id % 7 AS STRING))",
-        "filename": "concat(event_type, ' ', CAST(user_id AS STRING), '.txt')",
-        "arrival": "CASE WHEN event_id % 5 <> 0 THEN event_id END",
+        # a document under several names, some names and tenants missing, some uploads sent twice
+        "document_id": "CASE WHEN event_id % 13 <> 0 THEN CAST(event_id % 2500 AS STRING) END",
+        "company_id": "CASE WHEN event_id % 17 <> 0 THEN concat('c', CAST(user_id % 7 AS STRING)) END",
+        "filename": "CASE WHEN event_id % 19 <> 0 THEN concat(event_type, ' ', CAST(user_id AS STRING), '.txt') END",
+        "arrival": "CASE WHEN event_id % 5 <> 0 THEN event_id % 2500 END",
     },
 )
 STORED_NAMES = inputs.Derived(
@@ -211,10 +212,10 @@ STORED_NAMES = inputs.Derived(
 
 @query(
     "duplicate_guard_batch",
-    f"""SELECT document_id, company_id, filename, nth = 1 AND (company_id, filename) NOT IN (
-          SELECT company_id, filename FROM {STORED_NAMES.sql} WHERE status <> 'error') AS accepted
-        FROM (SELECT *, row_number() OVER (PARTITION BY company_id, filename ORDER BY arrival NULLS LAST, document_id) AS nth
-              FROM {UPLOAD_BATCH.sql})""",
+    f"""SELECT document_id, company_id, filename, company_id IS NULL OR filename IS NULL OR (nth = 1 AND NOT EXISTS (
+          SELECT 1 FROM {STORED_NAMES.sql} e WHERE e.company_id = u.company_id AND e.filename = u.filename AND status <> 'error')) AS accepted
+        FROM (SELECT *, row_number() OVER (PARTITION BY company_id, filename ORDER BY arrival NULLS LAST, document_id NULLS FIRST) AS nth
+              FROM {UPLOAD_BATCH.sql}) u""",
 )
 def duplicate_guard_batch(spark, folder):
     """Repeated names inside one batch of uploads: the first to arrive wins."""
@@ -222,3 +223,65 @@ def duplicate_guard_batch(spark, folder):
         UPLOAD_BATCH.frame(spark, folder), STORED_NAMES.frame(spark, folder), "arrival"
     )
     return flagged.select("document_id", "company_id", "filename", "accepted")
+
+
+# A log with late changes, illegal steps, unknown and missing states, and changes of no document.
+STATUS_LOG = inputs.Derived(
+    "events",
+    {
+        "company_id": "CASE WHEN event_id % 101 <> 0 THEN concat('c', CAST(user_id % 7 AS STRING)) END",
+        "document_id": "concat(CAST(user_id AS STRING), '/', CAST(event_id % 5 AS STRING))",
+        "status": (
+            "CASE event_type WHEN 'signup' THEN 'pending' WHEN 'click' THEN 'uploaded' WHEN 'view' THEN 'processing' "
+            "WHEN 'purchase' THEN CASE WHEN event_id % 4 <> 0 THEN 'processed' WHEN event_id % 8 = 0 THEN 'indexed' END "
+            "ELSE 'error' END"
+        ),
+        "ts": "CASE WHEN event_id % 9 = 0 THEN ts - INTERVAL '2' DAY WHEN event_id % 97 <> 0 THEN ts END",
+        "seq": inputs.STATUS_CHANGES.columns["seq"],
+        "chunk_count": "CASE event_type WHEN 'purchase' THEN event_id % 40 END",
+        "error_message": "CASE event_type WHEN 'error' THEN concat('failure ', CAST(event_id AS STRING)) END",
+    },
+)
+_LEGAL_SQL = ", ".join(f"'{before or ''}>{after}'" for before, steps in progress.LEGAL_STEPS.items() for after in steps)
+_KNOWN_SQL = ", ".join(f"'{s}'" for s in progress.LEGAL_STEPS if s)
+_STEPS_SQL = f"""WITH RECURSIVE log AS (SELECT *, row_number() OVER (PARTITION BY company_id, document_id
+            ORDER BY ts NULLS FIRST, seq NULLS FIRST, status NULLS FIRST, chunk_count NULLS FIRST, error_message NULLS FIRST) AS nth
+        FROM {STATUS_LOG.sql}),
+    walk AS (
+        SELECT company_id, document_id, CAST(0 AS BIGINT) AS nth, CAST(NULL AS VARCHAR) AS before, false AS legal, CAST(NULL AS VARCHAR) AS state
+        FROM (SELECT DISTINCT company_id, document_id FROM log WHERE company_id IS NOT NULL)
+        UNION ALL
+        SELECT l.company_id, l.document_id, l.nth, w.state, coalesce(concat(w.state, '>', l.status) IN ({_LEGAL_SQL}), false) AND l.status IS NOT NULL,
+            CASE WHEN coalesce(concat(w.state, '>', l.status) IN ({_LEGAL_SQL}), false) THEN l.status ELSE w.state END
+        FROM walk w JOIN log l ON l.company_id = w.company_id AND l.document_id = w.document_id AND l.nth = w.nth + 1),
+    steps AS (
+        SELECT l.*, w.before, w.legal FROM log l JOIN walk w USING (company_id, document_id, nth)
+        UNION ALL SELECT *, NULL, false FROM log WHERE company_id IS NULL)"""
+
+
+@query(
+    "status_steps",
+    f"""{_STEPS_SQL} SELECT company_id, document_id, status, seq, chunk_count, error_message, before, legal,
+            CASE WHEN legal THEN NULL WHEN company_id IS NULL THEN 'no_document'
+                 WHEN status IN ({_KNOWN_SQL}) THEN 'illegal_step' ELSE 'unknown_state' END AS reason
+        FROM steps""",
+)
+def status_steps(spark, folder):
+    """Every state change judged by the state the legal ones before it led to."""
+    return progress.status_steps(STATUS_LOG.frame(spark, folder)).drop("ts")
+
+
+@query(
+    "document_progress",
+    f"""{_STEPS_SQL}, kept AS (SELECT company_id, document_id,
+            list(status ORDER BY nth) FILTER (legal) AS states, list(error_message ORDER BY nth) FILTER (legal) AS messages,
+            list(strftime(ts, {ISO}) ORDER BY nth) FILTER (legal) AS times,
+            list(chunk_count ORDER BY nth) FILTER (legal AND status = 'processed') AS counts, count(*) FILTER (NOT legal) AS n_illegal
+        FROM steps WHERE company_id IS NOT NULL GROUP BY ALL)
+        SELECT company_id, document_id, states[-1] AS status, counts[-1] AS chunk_count,
+            CASE WHEN states[-1] = 'error' THEN messages[-1] END AS error_message, times[-1] AS updated_at, n_illegal FROM kept""",
+)
+def document_progress(spark, folder):
+    """State, chunk count and error of each document after its legal changes."""
+    done = progress.document_progress(progress.status_steps(STATUS_LOG.frame(spark, folder)))
+    return done.withColumn("updated_at", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss"))

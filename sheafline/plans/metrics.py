@@ -14,7 +14,7 @@ QUANTILE_RANGE_S = 6 * 3600
 QUANTILE_STEP_S = 3600
 
 
-def _start(df):
+def window_starts(df):
     return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd'T'HH:mm:ss"))
 
 
@@ -133,7 +133,7 @@ def histogram_series(spark, folder):
     return _labels_text(series).withColumn("sum", F.round("sum", 4))
 
 
-def _rate_sql(where):
+def rate_sql(where):
     return f"""SELECT strftime(time_bucket(INTERVAL '15 seconds', ts) - to_seconds(15 * i), {ISO}) AS window_start,
                       content_type, round(count(*) / 300.0::DOUBLE, 8) AS rate
                FROM {inputs.REQUESTS.sql}, (SELECT unnest(range(20)) AS i) WHERE {where} GROUP BY ALL"""
@@ -141,15 +141,15 @@ def _rate_sql(where):
 
 def _rate(observations):
     rated = metrics.range_rate(observations, {"content_type": metrics.label("content_type")})
-    return _start(rated).withColumn("rate", F.round("rate", 8))
+    return window_starts(rated).withColumn("rate", F.round("rate", 8))
 
 
-@query("rate_5m", _rate_sql("status = 'success'"))
+@query("rate_5m", rate_sql("status = 'success'"))
 def rate_5m(spark, folder):
     return _rate(uploads(spark, folder).filter(metrics.label("status") == "success"))
 
 
-@query("error_rate", _rate_sql("regexp_full_match(status, 'error_.*')"))
+@query("error_rate", rate_sql("regexp_full_match(status, 'error_.*')"))
 def error_rate(spark, folder):
     return _rate(uploads(spark, folder).filter(metrics.label_matches("status", "error_.*")))
 
@@ -160,7 +160,7 @@ def error_rate(spark, folder):
                count(*) AS per_minute FROM {inputs.REQUESTS.sql} GROUP BY ALL""",
 )
 def throughput_1m(spark, folder):
-    return _start(metrics.per_minute(durations(spark, folder), {"content_type": F.col("content_type")}))
+    return window_starts(metrics.per_minute(durations(spark, folder), {"content_type": F.col("content_type")}))
 
 
 def _quantile_sql(q, bounds):
@@ -191,4 +191,50 @@ def histogram_p95(spark, folder):
         QUANTILE_RANGE_S,
         QUANTILE_STEP_S,
     )
-    return _start(found).withColumn("quantile", F.round("quantile", 6))
+    return window_starts(found).withColumn("quantile", F.round("quantile", 6))
+
+
+_SKETCH_Q = 0.9
+# How far the rank of a sketch's answer may lie from the rank asked for.
+SKETCH_ERROR = 0.02
+_RANGES_SQL = f"""(SELECT time_bucket(INTERVAL '1 hour', ts) - to_hours(i) AS w, content_type, value / 4 AS v
+    FROM {inputs.REQUESTS.sql}, (SELECT unnest(range(6)) AS i))"""
+
+
+@query(
+    "quantile_kinds",
+    f"""WITH o AS {_RANGES_SQL},
+        exact AS (SELECT w, content_type, count(*) AS n, quantile_cont(v, {_SKETCH_Q}) AS exact FROM o GROUP BY w, content_type),
+        bucket AS ({_quantile_sql(f"{_SKETCH_Q}::DOUBLE", DURATION.bounds)}),
+        ranks AS (SELECT o.w, o.content_type, count(*) FILTER (v <= quantile) AS below
+            FROM o JOIN bucket b ON strftime(o.w, {ISO}) = b.window_start AND o.content_type = b.content_type GROUP BY ALL)
+        SELECT b.window_start, b.content_type, n AS n_observations, round(exact, 6) AS exact, quantile AS bucket,
+            round(abs(below / n::DOUBLE - {_SKETCH_Q}), 6) AS bucket_rank_error, true AS sketch_rank_near
+        FROM exact e JOIN ranks r USING (w, content_type)
+        JOIN bucket b ON strftime(e.w, {ISO}) = b.window_start AND e.content_type = b.content_type""",
+)
+def quantile_kinds(spark, folder):
+    """The same quantile three ways, with the error in rank: exact, from buckets, from merged sketches."""
+    rows, by = durations(spark, folder), {"content_type": F.col("content_type")}
+    widths = (QUANTILE_RANGE_S, QUANTILE_STEP_S)
+    bucket = metrics.range_quantile(rows, DURATION.bounds, _SKETCH_Q, by, *widths).drop("n_observations")
+    sketch = metrics.range_sketch_quantile(metrics.step_sketches(rows, by, QUANTILE_STEP_S), _SKETCH_Q, by, *widths)
+    keys = ["window_start", "content_type"]
+    # Only this comparison copies raw rows into ranges; none of the operators does.
+    step = F.window("ts", f"{QUANTILE_STEP_S} seconds")["start"]
+    spread = metrics.step_expand(rows.withColumn("__step", step), *widths).select(*keys, "value")
+    answers = bucket.withColumnRenamed("quantile", "bucket").join(sketch.withColumnRenamed("quantile", "sketch"), keys)
+    ranked = spread.join(answers, keys).groupBy(*keys, "n_observations", "bucket", "sketch").agg(
+        F.percentile("value", _SKETCH_Q).alias("exact"),
+        (F.count_if(F.col("value") <= F.col("bucket")) / F.count("*")).alias("bucket_rank"),
+        (F.count_if(F.col("value") <= F.col("sketch")) / F.count("*")).alias("sketch_rank"),
+    )
+    near = F.abs(F.col("sketch_rank") - _SKETCH_Q) <= F.lit(SKETCH_ERROR) + 1 / F.col("n_observations")
+    return window_starts(ranked).select(
+        *keys,
+        "n_observations",
+        F.round("exact", 6).alias("exact"),
+        F.round("bucket", 6).alias("bucket"),
+        F.round(F.abs(F.col("bucket_rank") - _SKETCH_Q), 6).alias("bucket_rank_error"),
+        near.alias("sketch_rank_near"),
+    )

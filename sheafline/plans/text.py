@@ -56,6 +56,30 @@ def chunks_small(spark, folder):
     return made.select("document_id", "chunk_index", "text")
 
 
+@query(
+    "chunks_by_function",
+    f"""SELECT document_id, company_id, chunk_index, text
+        FROM {chunk_rows(inputs.DOCUMENT_TEXT.sql, 1000, 200, 'document_id, company_id')}
+        UNION ALL SELECT document_id, 'sentences', CAST(i - 1 AS INT), s[i] FROM (
+          SELECT document_id, list_filter(list_transform(string_split(text, '. '), lambda x: trim(x, ' ')), lambda x: x <> '') AS s,
+                 unnest(range(1, len(s) + 1)) AS i FROM {inputs.DOCUMENT_TEXT.sql})""",
+)
+def chunks_by_function(spark, folder):
+    """Chunkers as table functions of SQL: the default one, and one that cuts at sentences."""
+
+    def sentences(content):
+        return (s for s in (part.strip(" ") for part in content.split(". ")) if s)
+
+    chunking.register_chunker(spark, "word_chunks", chunking.word_chunker())
+    chunking.register_chunker(spark, "sentence_chunks", sentences)
+    documents = inputs.DOCUMENT_TEXT.frame(spark, folder, spread_out=True)
+    return spark.sql(
+        """SELECT document_id, company_id, c.chunk_index, c.text FROM {documents} d, LATERAL word_chunks(d.text) c
+           UNION ALL SELECT document_id, 'sentences', c.chunk_index, c.text FROM {documents} d, LATERAL sentence_chunks(d.text) c""",
+        documents=documents,
+    )
+
+
 @query(
     "page_chunks",
     f"""SELECT {chunk_id('page')} AS chunk_id, * FROM (

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -64,6 +66,10 @@ def prepare(spark):
     return spark
 
 
+# Folders named inside the innermost temporary_folders block, if there is one.
+_NAMED = ContextVar("named_folders", default=None)
+
+
 def shared_folder(spark, purpose):
     """A new folder for checkpoints and stage tables, reachable by every executor.
 
@@ -73,4 +79,50 @@ def shared_folder(spark, purpose):
     parent = spark.conf.get("spark.checkpoint.dir", None)
     if not parent:
         parent = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_stages"
-    return f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    folder = f"{parent.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    if _NAMED.get() is not None:
+        _NAMED.get().append(folder)
+    return folder
+
+
+def file_system(spark, folder):
+    """(file system, path) of a folder, by the session's own settings."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+@contextmanager
+def temporary_folders(spark):
+    """Delete at its end every folder that :func:`shared_folder` names inside the block.
+
+    For stage tables nothing reads any more once the result is written or collected.
+    """
+    named = []
+    token = _NAMED.set(named)
+    try:
+        yield
+    finally:
+        _NAMED.reset(token)
+        for folder in named:
+            system, path = file_system(spark, folder)
+            system.delete(path, True)
+
+
+def finished(spark, purpose, make):
+    """The rows of ``make()`` as a table, without the stage tables made on the way."""
+    path = shared_folder(spark, purpose)
+    with temporary_folders(spark):
+        rows = make()
+        schema = rows.schema
+        rows.write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def stored(df, purpose):
+    """The rows of ``df`` as a table in the shared folder, computed once.
+
+    For values that must be the same wherever they are used, such as row numbers.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

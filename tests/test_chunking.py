@@ -126,3 +126,13 @@ def test_plugged_in_chunker(spark):
     df = spark.createDataFrame([(1, "a. b. c"), (2, "  "), (3, "x")], "id INT, text STRING")
     rows = chunking.chunk_with(df, lambda t: t.split(". ")).orderBy("id", "chunk_index").collect()
     assert [(r.id, r.chunk_index, r.text) for r in rows] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (3, 0, "x")]
+
+
+def test_chunkers_as_table_functions(spark):
+    texts = [(1, "a b c d e"), (2, ""), (3, None), (4, " 　\n"), (5, "one"), (6, "  a b   c ")]
+    docs = spark.createDataFrame(texts, "id int, text string")
+    for spec in (ChunkSpec(2, 1), ChunkSpec(3, 0), ChunkSpec(10, 2)):
+        chunking.register_chunker(spark, "test_chunks", chunking.word_chunker(spec))
+        got = spark.sql("SELECT d.id, c.chunk_index, c.text FROM {d} d, LATERAL test_chunks(d.text) c", d=docs)
+        want = chunking.chunk_text(docs, spec)
+        assert sorted(got.collect()) == sorted(want.select(*got.columns).collect())

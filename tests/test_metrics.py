@@ -133,3 +133,23 @@ def test_streamed_rate_equals_batch_rate_for_closed_ranges(spark, tmp_path):
     streamed = spark.read.schema(rated.schema).parquet(out)
     assert streamed.count() == closed.count() > 20
     assert streamed.exceptAll(closed.select(*streamed.columns)).isEmpty()
+
+
+def test_sketches_merge_over_ranges(spark):
+    rng = random.Random(9)
+    rows = [(rng.uniform(0, 600), "m", {"k": rng.choice("xy")}, rng.gauss(0, 1)) for _ in range(4001)]
+    rows = observations(spark, rows)
+    first = rows.agg(F.min("value")).first()[0]
+    rows = rows.withColumn("value", F.nullif("value", F.lit(first)))
+    sketches = metrics.step_sketches(rows, {"k": metrics.label("k")})
+    assert {r["k"] for r in sketches.collect()} == {"x", "y"} and sketches.agg(F.sum("n_observations")).first()[0] == 4000
+    for width in (60, 300):
+        got = metrics.range_sketch_quantile(sketches, 0.75, {"k": F.col("k")}, width)
+        values = [(r["ts"], r["labels"]["k"], r["value"]) for r in rows.collect() if r["value"] is not None]
+        for r in got.collect():
+            inside = [v for t, k, v in values if k == r["k"] and 0 <= (t - r["window_start"]).total_seconds() < width]
+            assert len(inside) == r["n_observations"]
+            rank = sum(v <= r["quantile"] for v in inside) / len(inside)
+            assert abs(rank - 0.75) <= 0.02 + 1 / len(inside)
+    with pytest.raises(ValueError):
+        metrics.range_sketch_quantile(sketches, 0.5, {"k": F.col("k")}, 50)

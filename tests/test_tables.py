@@ -202,3 +202,14 @@ def test_processed_document_without_new_chunks_is_emptied(spark):
     processed = spark.createDataFrame([("a", "1")], "company_id STRING, document_id STRING")
     left = documents.replace_documents(old, old.limit(0), processed).collect()
     assert [r.document_id for r in left] == ["2"]
+
+
+def test_one_document_under_several_names(spark):
+    """Verdicts belong to uploads, not to documents; one sent twice is refused the second time."""
+    rows = [("A", "c", "n1", 1), ("B", "c", "n2", 2), ("A", "c", "n2", 3), ("D", "c", "n4", 4), ("D", "c", "n4", 4), (None, "c", "n5", 5), ("E", "c", "n5", 6)]
+    uploads = spark.createDataFrame(rows, "document_id STRING, company_id STRING, filename STRING, arrival LONG")
+    existing = spark.createDataFrame([], "company_id STRING, filename STRING, status STRING")
+    accepted, rejected = joins.guard_duplicates(uploads, existing, "arrival")
+    found = lambda df: sorted((r.document_id or "", r.filename) for r in df.collect())
+    assert found(accepted) == [("", "n5"), ("A", "n1"), ("B", "n2"), ("D", "n4")]
+    assert found(rejected) == [("A", "n2"), ("D", "n4"), ("E", "n5")] and accepted.columns == uploads.columns
