@@ -125,28 +125,37 @@ def html_to_text(content):
     return _html_to_text.asNondeterministic()(content)
 
 
+# Content of a heading: words, and blanks or marks that do not merely end the line.
+_LINE_END = r"\n\r\u0085\u2028\u2029"
+_HEADING = rf"(?:[^ \t#{_LINE_END}]++|[ \t]++(?!#*+[ \t]*+$)|#++(?![ \t]*+$))*+"
+# A link's label and target; neither reaches over another one that begins inside it.
+_LABEL = r"\[[^\[\]]{}\]"
+_TARGET = r"(?:\((?:[^()]++|\([^()]*+\))*+\)|\[[^\[\]]*+\])"
+
 # Markdown constructs as (text that must occur, pattern, what it renders
 # to).  Order matters:
 # code before marks, images before links, addresses before tags, setext underlines
 # before rules and bullets, escapes and entities last.  A repeated group is possessive:
 # one that can backtrack recurses once per repetition and ends the JVM on a long line.
+# What a pattern passes over never holds its own beginning, so that each part of a text
+# is read a bounded number of times.
 MARKDOWN_RULES = (
-    ("```", r"(?s)```[ \t]*\n?(.*?)\s*```", "`$1`"),
-    ("<!--", r"(?s)<!--.*?-->", ""),
-    ("![", r"!\[[^\]]*\](?:\([^)]*\)|\[[^\]]*\])", ""),
-    ("[", r"\[([^\]]+)\](?:\([^)]*\)|\[[^\]]*\])", "$1"),
-    ("]:", r"(?m)^ {0,3}\[[^\]]+\]:[ \t]+\S+.*$", ""),
-    ("<", r"<((?:https?|ftp|mailto):[^>\s]+|[^\s<>@/]+@[^\s<>@]+)>", "$1"),
+    ("```", r"(?s)```[ \t]*+\n?((?:[^\s`]++|\s++(?!```)|`(?!``))*+)\s*+```", "`$1`"),
+    ("-->", r"(?s)<!--.*?-->", ""),
+    ("![", "!" + _LABEL.format("*+") + _TARGET, ""),
+    ("[", _LABEL.format("++").replace("[^", "([^", 1).replace("++", "++)") + _TARGET, "$1"),
+    ("]:", r"(?m)^ {0,3}" + _LABEL.format("++") + r":[ \t]++\S.*$", ""),
+    ("<", r"<((?:https?|ftp|mailto):[^<>\s]++|[^\s<>@/]++@[^\s<>@]++)>", "$1"),
     ("<", r"</?(?:b|strong)>", "**"),
     ("<", r"</?(?:i|em|u)>", "_"),
-    ("<", r"</?[A-Za-z][^<>]*>", ""),
-    ("\n=", r"(?m)^([^\n#>*+-][^\n]*)\n=+[ \t]*$", "# $1"),
-    ("\n-", r"(?m)^([^\n#>*+-][^\n]*)\n-+[ \t]*$", "## $1"),
-    ("#", r"(?m)^(#{1,6})[ \t]*([^\n#][^\n]*?)[ \t]*#*[ \t]*$", "$1 $2"),
+    ("<", r"</?[A-Za-z][^<>]*+>", ""),
+    ("\n=", r"(?m)^([^\n#>*+-][^\n]*+)\n=++[ \t]*+$", "# $1"),
+    ("\n-", r"(?m)^([^\n#>*+-][^\n]*+)\n-++[ \t]*+$", "## $1"),
+    ("#", rf"(?m)^(#{{1,6}})(?!#)[ \t]*+({_HEADING})[ \t]*+#*+[ \t]*+$", "$1 $2"),
     ("", r"(?m)^ {0,3}(?:(?:\*[ \t]*+){3,}+|(?:-[ \t]*+){3,}+|(?:_[ \t]*+){3,}+)$", "* * *"),
-    ("", r"(?m)^([ \t]*)[*+-][ \t]+", "$1* "),
+    ("", r"(?m)^([ \t]*+)[*+-][ \t]++", "$1* "),
     ("***", r"\*\*\*([^*\s](?:[^*\n]*[^*\s])?)\*\*\*", "**_$1_**"),
-    ("__", r"__([^_\n]+)__", "**$1**"),
+    ("__", r"__([^_\n]++)__", "**$1**"),
     ("*", r"(^|[^*\w\\])\*([^*\s](?:[^*\n]*[^*\s])?)\*([^*\w]|$)", "$1_$2_$3"),
     ("\\", r"\\([`*_{}\[\]()#+.!-])", "$1"),
     ("&nbsp;", r"&nbsp;", " "),
@@ -155,6 +164,8 @@ MARKDOWN_RULES = (
     ("&gt;", r"&gt;", ">"),
     ("&amp;", r"&amp;", "&"),
 )
+# Constructs that may stay open: their pattern sees a text only up to its last such end.
+CLOSED_BY = "-->"
 
 
 def markdown_to_text(markdown):
@@ -171,4 +182,12 @@ def markdown_to_text(markdown):
 
 def _rule(occurs, pattern, replacement):
     """Apply a pattern only to texts that hold its mark: most texts skip most rules."""
-    return lambda t: F.when(t.contains(occurs), F.regexp_replace(t, pattern, replacement)).otherwise(t)
+
+    def apply(t):
+        if occurs != CLOSED_BY:
+            return F.regexp_replace(t, pattern, replacement)
+        tail = F.substring_index(t, CLOSED_BY, -1)
+        head = F.substring(t, F.lit(1), F.char_length(t) - F.char_length(tail))
+        return F.concat(F.regexp_replace(head, pattern, replacement), tail)
+
+    return lambda t: F.when(t.contains(occurs), apply(t)).otherwise(t)

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from sheafline.functions import mime
 from sheafline.operators.events import STAGE_DOWNLOAD
+from sheafline.session import file_system
 
 
 def read_objects(spark, root, pattern=None):
@@ -14,7 +15,13 @@ def read_objects(spark, root, pattern=None):
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).withColumn("path", relative_path(F.col("path"), root))
+    return reader.load(root).withColumn("path", relative_path(F.col("path"), qualified(spark, root)))
+
+
+def qualified(spark, root):
+    """``root`` as the file system spells it in the paths it lists."""
+    system, path = file_system(spark, root)
+    return system.makeQualified(path).toString()
 
 
 def split_by_length(objects, max_bytes):
@@ -36,9 +43,14 @@ def list_objects(spark, root):
 
 
 def relative_path(path, root):
-    """Part of a file URI below ``root``, whatever scheme the file system adds."""
-    below = root.split("://", 1)[-1].removeprefix("file:").strip("/") + "/"
-    return F.url_decode(F.substring_index(path, below, -1))
+    """Part of a listed path below ``root``, which is spelled as in the list (:func:`qualified`).
+
+    The path is cut by length and stays as it is: it is no URL, so a ``%`` or ``+`` in a
+    name means itself.  A path outside ``root`` is kept whole.
+    """
+    below = root.rstrip("/") + "/"
+    cut = F.substring(path, F.lit(len(below) + 1), F.char_length(path))
+    return F.when(F.startswith(path, F.lit(below)), cut).otherwise(path)
 
 
 def with_guessed_type(objects):

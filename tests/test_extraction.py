@@ -202,3 +202,50 @@ def test_unclosed_tags_scale():
     seconds(1000)
     small, large = min(seconds(20_000) for _ in range(3)), min(seconds(40_000) for _ in range(3))
     assert large < 3.5 * small
+
+
+# Pieces that make some rule read ahead: none may be read again from every place.
+TRAPS = [
+    "# a{}b", "# {}", "# a #{}x", "```{}", "``` ", "`", "![", "![a](", "![a][", "[", "[a](", "[a](b(", "[a][", "[a]: ", "\n[", "<!--", "<!-- --", "<http:",
+    "<a", "<a@", "<b", "a\n=", "a\n-", "\n#", "* ", "*", "***", "***a ", "__", "__a", "*a ", "\\", " \t", "&", "- \t",
+]
+
+
+@pytest.mark.parametrize("trap", TRAPS)
+def test_markdown_rules_take_linear_time(spark, trap):
+    def seconds(n):
+        text = trap.format(" " * n) if "{}" in trap else trap * (n // len(trap)) + "x"
+        frame = spark.createDataFrame([(text,)], "t string").select(F.length(markup.markdown_to_text(F.col("t"))).alias("n"))
+        best = float("inf")
+        for _ in range(2):
+            started = time.perf_counter()
+            frame.collect()
+            best = min(best, time.perf_counter() - started)
+        return best
+
+    assert seconds(200_000) < 3 + 4 * seconds(20_000)
+
+
+@pytest.mark.parametrize(
+    ("markdown", "want"),
+    [
+        ("# a # b ##  ", "# a # b"), ("# a#", "# a"), ("# a # #", "# a #"), ("##", "##"), ("####### x", "####### x"), ("#a", "# a"),
+        ("## a    b ## \nc", "## a    b\nc"), ("```py\n x \n\n```", "`py\n x`"), ("``` `a` ```", "``a``"), ("``````", "``"),
+        ("a <!-- b --> c <!-- d", "a  c <!-- d"), ("[a](http://x/b_(c)) d", "a d"), ("[a [b](c)", "[a b"), ("![i](u) t", " t"),
+        ("[a][r]\n[r]: http://x y", "a\n"), ("<http://x> <m@x.org> <b>k</b>", "http://x m@x.org **k**"),
+    ],
+)
+def test_markdown_rules(spark, markdown, want):
+    got = spark.createDataFrame([(markdown,)], "t string").select(markup.markdown_to_text(F.col("t")).alias("t")).first()["t"]
+    assert got.split() == want.split()
+
+
+def test_names_of_stored_files_mean_themselves(spark, tmp_path):
+    root = tmp_path / "x"
+    names = {"50%.txt", "a+b.txt", "a%20b.txt", f"deep/{str(root).strip('/')}/y.txt", "é ü.txt", "x/x/z.txt"}
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_text(name)
+    for spelled in (str(root), f"{root}/", f"file://{root}", f"file:{root}/deep/.."):
+        got = {r["path"]: bytes(r["content"]).decode() for r in read_objects(spark, spelled).collect()}
+        assert got == {n: n for n in names}
