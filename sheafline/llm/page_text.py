@@ -19,7 +19,7 @@ import re
 import pandas as pd
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import without
+from sheafline.llm.common import bounded_batches, without
 
 # Share of the best fused ratio a path needs, weight of a path's surroundings in its
 # smoothed ratios, and share of linked text above which a block is no prose.
@@ -233,6 +233,6 @@ def extract_main_text(pages, html="html"):
         return page.map(main_text)
 
     text = extracted(F.coalesce(F.make_valid_utf8(F.col(html)), F.lit("")))
-    kept = without(pages.withColumn("__text", text), html, "text", "n_chars")
+    kept = without(bounded_batches(pages).withColumn("__text", text), html, "text", "n_chars")
     named = kept.withColumnRenamed("__text", "text")
     return named.withColumn("n_chars", F.char_length("text").cast("long"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from sheafline.llm.common import without
+from sheafline.llm.common import bounded_batches, without
 
 # The published pre-token pattern of byte-level BPE.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -134,7 +134,8 @@ def count_tokens(docs, definition, text="text", limit=TOKEN_LIMIT):
     ``definition`` is the JSON text of a byte-level BPE tokenizer; it and the proven
     strings are broadcast, which the vocabulary bounds.  Whole texts count; null and
     empty texts have 0 bytes and 0 tokens.  Strings of special tokens inside a text
-    count as one token, nothing is added around it.  Repeated rows give repeated
+    count as one token, nothing is added around it.  Bytes that are not UTF-8 count as the
+    replacement characters they become.  Repeated rows give repeated
     results, an empty table an empty one; columns with the new names are replaced.
     A narrow job: no shuffle, only the text goes to Python.
     """
@@ -146,11 +147,12 @@ def count_tokens(docs, definition, text="text", limit=TOKEN_LIMIT):
         count = _counter(shared)
         return pd.Series([count(t) for t in text], dtype="int64")
 
-    kept = without(docs, "n_bytes", "n_tokens", "over_limit")
+    valid = F.make_valid_utf8(F.col(text))
+    kept = without(bounded_batches(docs), "n_bytes", "n_tokens", "over_limit")
     counted = kept.withColumns(
         {
-            "n_bytes": F.coalesce(F.octet_length(text), F.lit(0)).cast("long"),
-            "n_tokens": tokens(F.coalesce(F.col(text), F.lit(""))),
+            "n_bytes": F.coalesce(F.octet_length(valid), F.lit(0)).cast("long"),
+            "n_tokens": tokens(F.coalesce(valid, F.lit(""))),
         }
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

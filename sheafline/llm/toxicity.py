@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sheafline.llm.common import without, written
+from sheafline.llm.common import bounded_batches, without, written
 
 THRESHOLD = 0.3
 WINDOW = 12
@@ -287,7 +287,7 @@ def fit(docs, labels, doc_id="doc_id", text="text", label="toxic"):
     only, the model gives every document the same score.
     """
     told = labels.select(F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label")).where("label IN (0, 1)")
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.make_valid_utf8(F.col(text)).alias("text"))
     usable = rows.where(F.length("text") <= SAMPLE_LONGEST)
     totals = (
         usable.select("id", F.length("text").alias("size")).join(told, "id")
@@ -320,15 +320,15 @@ def score(docs, model, text="text", threshold=THRESHOLD):
     """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     Every window of every whole text counts.  Null and empty texts get the score of a
-    document without windows; repeated rows get equal scores; columns with these names
-    are replaced.  Only the text is an input.  Narrow; the broadcast model has a fixed size.
+    document without windows; bytes that are not UTF-8 count as replacement characters;
+    repeated rows get equal scores; columns with these names are replaced.  Only the text is an input.  Narrow; the broadcast model has a fixed size.
     """
-    scored = _scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit("")))
+    scored = _scorer(bounded_batches(docs).sparkSession, model)(F.coalesce(F.make_valid_utf8(F.col(text)), F.lit("")))
     out = without(docs, "score", "predicted").withColumn("score", scored)
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def keep_clean(docs, model, text="text", threshold=THRESHOLD):
     """``docs`` with a score below ``threshold``, all columns as they are."""
-    scored = _scorer(docs.sparkSession, model)(F.coalesce(F.col(text), F.lit("")))
+    scored = _scorer(bounded_batches(docs).sparkSession, model)(F.coalesce(F.make_valid_utf8(F.col(text)), F.lit("")))
     return docs.withColumn("__toxicity", scored).where(F.col("__toxicity") < threshold).drop("__toxicity")
