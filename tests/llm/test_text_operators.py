@@ -4,7 +4,9 @@ import base64
 import hashlib
 import json
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -90,6 +92,62 @@ def test_armor_tokens_and_redaction():
     assert secrets.scan("ſecret=abcdefghijklmn") == []
 
 
+def der(n):
+    return tlv(2, n.to_bytes(n.bit_length() // 8 + 1, "big"))
+
+
+def wrapped_in(oid, key, version=b"\0"):
+    return tlv(0x30, tlv(2, version), tlv(0x30, tlv(6, bytes.fromhex(oid))), tlv(4, key))
+
+
+P = 2**1024 - 105
+DSA = tlv(0x30, tlv(2, b"\0"), der(P), der(2**160 + 7), der(5), der(pow(5, 2**150 + 1, P)), der(2**150 + 1))
+EC = tlv(0x30, tlv(2, b"\1"), tlv(4, b"k" * 32), tlv(0xA0, tlv(6, b"\x2a\x86\x48")))
+
+
+@pytest.mark.parametrize(
+    "data, kind",
+    [
+        (DSA, "dsa"), (tlv(0x30, *[integer(40)] * 6), None), (EC, "ec"), (tlv(0x30, tlv(2, b"\1"), tlv(4, b"k" * 200)), None),
+        (wrapped_in("2a864886f70d010101", RSA), "pkcs8"), (wrapped_in("2a8648ce3d0201", EC), "pkcs8"),
+        (wrapped_in("2a864886f70d010101", EC), None), (wrapped_in("2a864886f70d010101", b"any octet string, forty bytes long......"), None),
+        (wrapped_in("2b6570", tlv(4, b"k" * 31)), None), (wrapped_in("2b6570", tlv(4, b"k" * 32), b"\7"), None),
+        (tlv(0x30, tlv(2, b"\5"), *[integer(40)] * 8), None), (tlv(0x30, tlv(2, b"\0"), integer(40), integer(41), *[integer(40)] * 6), None),
+        (tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex("2a864886f70d01050d"))), tlv(4, b"c" * 64)), "pkcs8-encrypted"),
+        (tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex("2a8648ce3d0201"))), tlv(4, b"c" * 64)), None),
+    ],
+)
+def test_keys_are_parsed_to_the_inside(data, kind):
+    assert secrets.asn1_key(data) == kind
+
+
+def test_keys_after_slashes_and_in_bare_lines():
+    key = base64.b64encode(RSA).decode()
+    text = f"see https://host.example/some/long/path/that/goes/on/{key} there"
+    assert [text[a:b] for k, a, b, _ in secrets.scan(text) if k == "private_key"] == [key]
+    assert [s for s in secrets.scan("a/" + "b/" * 300) if s[0] == "private_key"] == []
+    for width, end in ((64, "\n"), (76, "\r\n"), (48, "\n")):
+        lines = end.join(re.findall(f".{{1,{width}}}", key))
+        other = end.join(["A" * width] * 3)
+        text = f"key:{end}{lines}{end}x {end}{other}{end}{lines}{end}"
+        found = [text[a:b] for k, a, b, _ in secrets.scan(text) if k == "private_key"]
+        assert found == [lines, lines]
+    started = time.perf_counter()
+    secrets.scan(("M" * 64 + "\n") * 20_000 + "MIIB/" * 60_000)
+    assert time.perf_counter() - started < 10
+
+
+def test_tokens_need_a_signature():
+    head = PART({"sub": "x"})
+    for alg, end, want in (("none", "c2ln", []), ("None", "", []), ("HS256", "", []), ("ES256", "c2ln", ["ES256"])):
+        assert [s[3] for s in secrets.scan(f"{PART({'alg': alg})}.{head}.{end}") if s[0] == "signed_token"] == want
+
+
+def test_secrets_take_bytes_that_are_no_text(spark):
+    rows = spark.sql("SELECT 1L AS doc_id, CAST(unhex('61FF') AS STRING) AS text")
+    assert secrets.find_secrets(rows).first()["secrets"] == [] and secrets.redact_secrets(rows).first()["text"] == "a\ufffd"
+
+
 def test_secrets_odd_rows(odd):
     rows = secrets.digest(secrets.find_secrets(odd)).collect()
     assert len(rows) == len(ODD) + 2 and all(r["spans"] == "" for r in rows)
@@ -195,7 +253,7 @@ def test_kneser_ney_probabilities(spark):
     table = {(r["lang"], r["gram"]): r["adj"] for r in counts.collect()}
     # "b" follows "a" and the edge: two different characters; " ba" starts a word and keeps its count.
     assert table["a", "b"] == 3 and table["a", " ba"] == 2
-    frame = language.model_rows(counts).toPandas()
+    frame = language.model_rows(counts, language.least_counts(counts)).toPandas()
     own = frame[frame["lang"] == "a"].set_index("gram")
     # In every context the shares seen and the weight left for shorter contexts add up to one.
     for context in ("", "a", "b", " b", "ba", " ba"):
@@ -206,6 +264,89 @@ def test_kneser_ney_probabilities(spark):
     assert logs[0, 0] > logs[0, 1] and logs[1, 1] > logs[1, 0] and np.isfinite(logs).all()
 
 
+def plain_model(texts, order=language.ORDER, least=0):
+    """Function of (context, character): interpolated Kneser-Ney as the formulas have it, from one language's texts."""
+    grams = Counter()
+    for text in texts:
+        for word in language.letter_words(text):
+            edged = f" {word} "
+            for n in range(1, order + 1):
+                for end in range(max(n, 2), len(edged) + 1):
+                    grams[edged[end - n : end]] += 1
+    before = Counter(g[1:] for g in grams if len(g) > 1)
+    adjusted = {
+        g: c if len(g) == order or (g.startswith(" ") and len(g) > 1) else before[g] or c for g, c in grams.items()
+    }
+    discount = {}
+    for n in range(1, order + 1):
+        own = [a for g, a in adjusted.items() if len(g) == n]
+        ones, twos = own.count(1), own.count(2)
+        discount[n] = min(max(ones / (ones + 2 * twos) if ones else 0.0 if twos else 0.5, 0.1), 0.95)
+    total = Counter()
+    for g, a in adjusted.items():
+        total[g[:-1]] += a
+    alpha = {g: max(a - discount[len(g)], 0) / total[g[:-1]] for g, a in adjusted.items() if grams[g] >= least}
+    held = Counter()
+    for g, a in alpha.items():
+        held[g[:-1]] += a
+    letters = sum(len(g) == 1 for g in alpha)
+
+    def probability(context, character):
+        if not context:
+            return alpha.get(character, 0.0) + (1 - held[""]) / (1 + letters)
+        shorter = probability(context[1:], character)
+        return alpha.get(context + character, 0.0) + (1 - held[context]) * shorter
+
+    return probability, {g for g in alpha if len(g) == 1}
+
+
+def plain_log(probability, word, order=language.ORDER):
+    edged = f" {word} "
+    return sum(np.log(probability(edged[max(0, i - order + 1) : i], edged[i])) for i in range(1, len(edged)))
+
+
+TEXTS = ["abab abba baab ab ab", "bab bob robot, bot! ab", "The abbot took a boat about; a boa bit him."]
+
+
+@pytest.mark.parametrize("total", [10**6, 60])
+def test_scores_equal_a_plain_model(spark, total):
+    learn = spark.createDataFrame([("a", t) for t in TEXTS], "lang string, text string")
+    counts = language.adjusted_counts(learn)
+    least = language.least_counts(counts, total)
+    model = language.LanguageModel(language.model_rows(counts, least).toPandas())
+    probability, letters = plain_model(TEXTS, least=least["a"])
+    assert (least["a"] > 1) == (total == 60) and len(model.hashes) <= total
+    words = ["abba", "boat", "x", "robotabab", "thorough"]
+    got = model.log_probability(words)[:, 0]
+    assert got == pytest.approx([plain_log(probability, w) for w in words], rel=1e-5)
+    # Pruned or not, what may follow a context sums to one; all letters not seen share a place.
+    for context in ("", "a", " b", "ab", "bab", "zz"):
+        assert sum(probability(context, c) for c in letters | {"\0"}) == pytest.approx(1.0)
+
+
+def test_pruning_keeps_contexts_and_the_bound(spark):
+    docs = spark.read.parquet(f"{MID}/documents.parquet").limit(200).select("lang", "text")
+    counts = language.adjusted_counts(docs)
+    least = language.least_counts(counts, 4000)
+    frame = language.model_rows(counts, least).toPandas()
+    kept = frame[frame["gram"] != ""]
+    assert len(kept) <= 4000 and set(kept["lang"]) == set(least)
+    grams = set(zip(frame["lang"], frame["gram"]))
+    assert all((lang, gram[:-1]) in grams for lang, gram in grams if len(gram) > 1 and gram[:-1] != " ")
+
+
+def test_words_are_cut_the_same_way_by_bytes():
+    for text in [*ODD, "Ünï-cödé×2 a\u00a0b\u2003c\u3000d \ud800x", "don't stop_me 3rd", "हिन्दी शब्द ١٢٣ ªº"]:
+        lowered = (text or "").lower().translate(language._NOT_LETTERS).split()
+        want = [w for w in lowered if w.isalpha() or any(map(str.isalpha, w))]
+        assert language.letter_words(text or "") == want
+
+
+def test_language_takes_bytes_that_are_no_text(spark):
+    rows = spark.sql("SELECT 1L AS doc_id, CAST(unhex('6162FF6162') AS STRING) AS text, 'en' AS lang")
+    assert language.identify(rows, language.fit(rows)).first()["lang_pred"] == "en"
+
+
 def test_language_odd_rows(spark, odd):
     model = language.fit(odd)
     rows = {r["doc_id"]: r for r in language.identify(odd, model).collect()}
