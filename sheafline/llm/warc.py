@@ -235,11 +235,15 @@ def verified_lines(spark, path):
 
 
 def _owned(lines):
-    """Lines that are no whole record by themselves, with the start of the record each belongs to."""
+    """Lines that are no whole record by themselves, with the start of the record each belongs to.
+
+    A record ends where its successor begins, so lines after a broken chain belong to none.
+    """
     parts = lines.where("NOT kept OR body_bytes IS NULL").where("start >= 0")
     order = Window.partitionBy("path").orderBy("start")
-    owner = F.last(F.when(F.col("kept"), F.col("start")), ignorenulls=True).over(order)
-    return parts.withColumn("owner", owner).where("owner IS NOT NULL")
+    record = F.last(F.when(F.col("kept"), F.struct("start", "next")), ignorenulls=True).over(order)
+    inside = (F.col("start") == F.col("record.start")) | (F.col("start") < F.col("record.next"))
+    return parts.withColumn("record", record).where(inside).withColumn("owner", F.col("record.start")).drop("record")
 
 
 def _joined(group: pd.DataFrame) -> pd.DataFrame:
