@@ -137,9 +137,12 @@ def shard_draws(targets, seed=SEED):
         F.floor(F.col("id") / SHARD_SLOTS).alias("shard"), F.aggregate(halves, F.lit(0), nearer).alias("place")
     )
     counts = drawn.groupBy("place", "shard").agg(F.count("*").alias("count"))
-    known = spark.createDataFrame(
-        [(i, s, blocks, n) for i, (s, blocks, _, _, n) in enumerate(sources)], "place int, s int, blocks long, wanted long"
-    )
+    kinds = {"place": "int", "s": "int", "blocks": "long", "wanted": "long"}
+    rows = [(i, s, blocks, n) for i, (s, blocks, _, _, n) in enumerate(sources)]
+    cells = [F.struct(*[F.lit(v).cast(k).alias(c) for v, (c, k) in zip(row, kinds.items())]) for row in rows]
+    none = F.array().cast(f"array<struct<{', '.join(f'{c}: {k}' for c, k in kinds.items())}>>")
+    # As literals: rows handed over by createDataFrame would pass through a Python worker.
+    known = spark.range(1).select(F.inline(F.array(*cells) if cells else none))
     ahead = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     cells = written(counts.withColumn("first", F.coalesce(F.sum("count").over(ahead), F.lit(0))), "draws")
     kept = cells.join(known, "place").withColumn("slots", F.least("count", F.col("wanted") - F.col("first")))

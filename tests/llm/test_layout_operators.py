@@ -93,6 +93,18 @@ def test_broken_chain_keeps_what_precedes(spark, tmp_path):
     assert all("b.warc" not in r["path"] for r in got)
 
 
+def test_lines_after_a_broken_chain_belong_to_no_record(spark, tmp_path):
+    head = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: {}\r\n\r\n"
+    split = head.format(20) + "abcWARC/1.0defghijkl" + "\r\n\r\n"
+    broken = head.format(3) + "longer than it says\r\n\r\n"
+    (tmp_path / "a.warc").write_text(split + broken + split * 50, newline="")
+    lines = warc.verified_lines(spark, f"file://{tmp_path}")
+    owned = warc._owned(lines).groupBy("owner").count().collect()
+    assert {r["owner"]: r["count"] for r in owned} == {0: 2, len(split): 1}
+    got = warc.split_payloads(spark, f"file://{tmp_path}", lines).collect()
+    assert bytes(next(r for r in got if r["start"] == 0)["payload"]) == b"abcWARC/1.0defghijkl"
+
+
 DOCS = "doc_id long, text string, source string, size int, s string, start int, target string"
 
 
