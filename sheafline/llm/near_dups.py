@@ -17,8 +17,9 @@ import pandas as pd
 import xxhash
 from pyspark.sql import functions as F
 
-from sheafline.llm.common import written
+from sheafline.llm.common import bounded_batches, written
 from sheafline.llm.components import _lookup, connected_components, unique_side
+from sheafline.session import finished
 
 # Shingle length in words and similarity in percent, unless a caller says otherwise.
 SHINGLE = 5
@@ -254,10 +255,17 @@ def group_near_duplicates(docs, k=SHINGLE, percent=PERCENT, doc_id="doc_id", tex
     Texts that are null or have no words have an empty set and no link.  Documents with
     equal sets are one node from the start, whatever their number.  Ids are integers; rows
     with one id count as one document, and rows without id have no component, link with
-    nothing and are kept.  Candidates come from all documents; no bucket is capped.
+    nothing and are kept.  Bytes that are not UTF-8 count as replacement characters.  Candidates come from all documents; no bucket is capped.
     """
+    return finished(
+        docs.sparkSession, "near-duplicate-groups", lambda: _grouped(bounded_batches(docs), k, percent, doc_id, text)
+    )
+
+
+def _grouped(docs, k, percent, doc_id, text):
+    """Result of :func:`group_near_duplicates`, from stage tables."""
     collections = collections_for(percent)
-    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).alias("id"), F.make_valid_utf8(F.col(text)).alias("text"))
     signed = written(signatures(rows, k, collections), "signatures")
     usable = signed.where("n > 0 AND id IS NOT NULL")
     classes = unique_side(usable, ["f1", "f2"], node=F.min("id"))
