@@ -1,10 +1,10 @@
 """Main text of web pages by tag-path ratios.
 
-Every block of text has a root-to-leaf path of tags (with the first class name, without
-digits).  Per path the page's text length without links and its punctuation are added
+Every block of text has a root-to-leaf path of tags (with the first class name or the id,
+without digits).  Per path the page's text length without links and its punctuation are added
 up and divided by the number of blocks; both ratios are smoothed down the tree of
 paths, so that a heading takes part in the weight of the paragraphs beside it, fused by
-their geometric mean, and compared with the best path.  Paths above the threshold mark
+the smaller of the two, and compared with the best path.  Paths above the threshold mark
 their containers as content.  Elements that declare themselves something else (menus,
 forms, notices, reader comments ...) never become blocks.
 
@@ -47,11 +47,13 @@ ROLES = frozenset(
 )
 # Words by which class names and ids declare something other than the article.
 DECLARED = frozenset(
-    "ad ads advert advertisement advertising adverts adsense banner breadcrumb breadcrumbs comment comments consent cookie"
-    " cookies disclaimer discussion disqus footer gdpr login menu menus modal nav navbar navigation newsletter notice"
+    "ad ads advert advertisement advertising adverts adsense alert alerts banner breadcrumb breadcrumbs comment comments"
+    " consent cookie cookies disclaimer discussion disqus footer gdpr login menu menus modal nav navbar navigation newsletter notice"
     " notices notification pager pagination paywall popup promo promotion recommended related replies reply respond"
     " share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+# Words so plain that a name which merely contains one declares it, as in ``rightsidebar``.
+STEMS = re.compile("advert|breadcrumb|commentlist|cookie|disqus|mainmenu|navbar|navmenu|newsletter|paywall|sidebar|sidenav|topnav")
 SITE_HEADERS = frozenset("header masthead page-header site-header topbar top-bar".split())
 # A name that starts so tells how the element is laid out beside such a part.
 ABOUT_OTHERS = frozenset("has is no with without hide show".split())
@@ -82,7 +84,9 @@ def declared_other(name, found, in_article):
         if value in SITE_HEADERS and not in_article:
             return True
         words = re.findall("[a-z]+", value)
-        if words and words[0] not in ABOUT_OTHERS and "with" not in words and not DECLARED.isdisjoint((words[0], words[-1])):
+        if not words or words[0] in ABOUT_OTHERS or "with" in words:
+            continue
+        if STEMS.search(value) or not DECLARED.isdisjoint((words[0], words[-1])):
             return True
     return False
 
@@ -91,7 +95,7 @@ class Paths:
     """The tree of tag paths of a page, with blocks, characters and punctuation of each."""
 
     def __init__(self):
-        self.parent, self.container, self.article = [-1], [0], [-1]
+        self.parent, self.container, self.article, self.titles = [-1], [0], [-1], set()
         self.known, self.blocks = {}, []
 
     def child(self, at, name, label):
@@ -101,6 +105,8 @@ class Paths:
             self.parent.append(at)
             self.container.append(new if name in CONTAINERS else self.container[at])
             self.article.append(new if name == "article" else self.article[at])
+            if name == "h1":
+                self.titles.add(new)
         return self.known[key]
 
     def add(self, at, text, linked):
@@ -134,17 +140,26 @@ class Paths:
         longest, most = max(lengths.values(), default=0), max(marks.values(), default=0)
         if not longest:
             return []
-        fused = {at: (n / longest * (marks[at] / most if most else 1)) ** 0.5 for at, n in lengths.items()}
+        # Prose is long and punctuated; a path weighs what the weaker of the two says.
+        fused = {at: min(n / longest, marks[at] / most if most else 1) for at, n in lengths.items()}
         best = max(fused.values())
         chosen = {at for at, ratio in fused.items() if ratio >= THRESHOLD * best}
         # A path of links only is chosen for its surroundings; it marks no container.
         prose = {at for at, _, _, linked in self.blocks if linked <= MOST_LINKED}
         articles = {self.article[at] for at in chosen & prose} - {-1}
         containers = {self.container[at] for at in chosen & prose}
+        chosen |= {at for at in lengths if self.article[at] in articles or self.container[at] in containers}
+        # The title may stand in a container around that of the text.
+        around = set()
+        for at in containers:
+            while at > 0 and at not in around:
+                around.add(at)
+                at = self.parent[at]
+        chosen |= {at for at in self.titles if self.container[at] in around}
         return [
             text
             for at, text, _, linked in self.blocks
-            if self.article[at] in articles or (linked <= MOST_LINKED and (at in chosen or self.container[at] in containers))
+            if at in chosen and (linked <= MOST_LINKED or self.article[at] in articles)
         ]
 
 
@@ -203,7 +218,7 @@ def page_paths(page):
             found = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(token["rest"])}
             top = stack[-1]
             other = top[2] or declared_other(name, found, paths.article[top[1]] >= 0)
-            first = re.sub(r"\d+", "", (found.get("class", "").split() or [""])[0])
+            first = re.sub(r"\d+", "", [*found.get("class", "").split(), found.get("id", "").strip()][0])
             at = top[1] if other else paths.child(top[1], name, f"{name}.{first}" if first else name)
             stack.append((name, at, other))
             open_names[name] = open_names.get(name, 0) + 1

@@ -26,6 +26,14 @@ def test_soup():
     ]
 
 
+def test_title_outside_the_text_and_what_stands_beside_it():
+    page = f"""<body><div id="page"><div class="top"><p>My pages. Words, words.</p></div><div id="main"><div class="entry"><h1>A title</h1>
+    <div class="by">By Ann</div><div class="text"><p>{LONG}</p><h3>Sub</h3><p>{LONG * 2}</p><pre>code  here</pre><p>Ok.</p></div>
+    <div class="tags"><a href=t>tag</a> <a href=u>other</a></div></div></div><div id="more"><h3>Archives</h3><ul><li><a href=x>May</a></li></ul></div>
+    <div id="end"><h2>Imprint</h2><p>Made of things.</p></div></div></body>"""
+    assert main_text(page).split("\n\n") == ["A title", LONG.strip(), "Sub", (LONG * 2).strip(), "code here", "Ok."]
+
+
 def test_unnamed_containers_are_told_apart_by_ratios():
     page = (
         "<body><div><span>Paper</span></div><table><tr><td><ul>" + "<li><a href=x>Section page</a></li>" * 12 + "</ul></td></tr></table>"
@@ -54,6 +62,19 @@ def test_small_pages(page, want):
     assert main_text(page) == want
 
 
+@pytest.mark.parametrize(
+    ("attribute", "dropped"),
+    [
+        ('class="rightsidebar"', True), ("id=cookieBar", True), ('class="x commentlist"', True), ("class='alert alert-info'", True),
+        ('role="navigation"', True), ('class="post-content"', False), ('class="has-sidebar"', False), ('id="article-body"', False),
+        ('class="content with-sidebar"', False), ('class="commentary"', False), ('class="admiral addendum"', False), ('data-class="ad"', False),
+    ],
+)
+def test_declared_parts(attribute, dropped):
+    page = f"<body><div class=story><p>{LONG}</p></div><div {attribute}><p>{LONG}</p></div></body>"
+    assert main_text(page).count(LONG.strip()) == (1 if dropped else 2)
+
+
 @pytest.mark.parametrize(
     "piece", ["<", "<!--", "<a x='", "<script>", "<div>x.", "<div class=a>", "<p>", "</div>", "= ", "&", "<td>", "&lt"]
 )
