@@ -225,6 +225,47 @@ def test_misspellings_share_vectors():
     assert exact > 0.5 and bent > plain and bent > 0.3
 
 
+MASK, STEP = (1 << 64) - 1, 0x9E3779B97F4A7C15
+
+
+def plain_buckets(word):
+    """Buckets of one word and its pieces, one number after another."""
+    data = [b + 1 for b in b"<" + toxicity.plain(word).encode() + b">"]
+    hashes = [sum(b * pow(STEP, i % 64 + 1, 1 << 64) * (i // 64 * 2 + 1) for i, b in enumerate(data))]
+    for n in (3, 4, 5):
+        for at in range(len(data) - n + 1):
+            hashes.append(n + sum(data[at + i] * pow(STEP, i + 9, 1 << 64) for i in range(n)))
+    mixed = []
+    for h in hashes:
+        h &= MASK
+        mixed.append((((h ^ (h >> 31)) * 0xD6E8FEB86659FD93 & MASK) >> 40) % toxicity.BUCKETS)
+    return mixed
+
+
+def plain_toxicity(model, text):
+    """The score of one text by its definition: windows of 12 words, every 6 words, the last one full."""
+    words = (text or "").split()
+    words = [w for i, w in enumerate(words) if i == 0 or w != words[i - 1]]
+    starts = [s for s in range(0, max(1, len(words)), 6) if s == 0 or s + 12 <= len(words)]
+    if len(words) > 12 and starts[-1] + 12 < len(words):
+        starts.append(len(words) - 12)
+    values = []
+    for start in starts if words else []:
+        buckets = [b for w in words[start : start + 12] for b in plain_buckets(w)]
+        values.append(sum(float(model.values[b]) for b in buckets) / len(buckets) + model.bias)
+    top = sorted(values, reverse=True)[:4]
+    features = [top[0], sum(top) / len(top), np.log(len(values))] if values else [0.0, 0.0, 0.0]
+    return 1 / (1 + np.exp(-(np.dot(features, model.layer[:-1]) + model.layer[-1])))
+
+
+def test_toxicity_equals_a_plain_scorer(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    texts = [t for t in ODD if t is None or len(t) < 1000] + ["a a a b", "w " * 13, " ".join(f"x{i}" for i in range(25)), "y" * 150]
+    texts += [r["text"] for r in docs.select("text").collect() if len(r["text"]) < 4000][:25]
+    assert toxicity.WordValues(model).score(texts) == pytest.approx([plain_toxicity(model, t) for t in texts], abs=1e-9)
+
+
 def test_toxicity_odd_rows(spark, odd):
     labels = spark.createDataFrame([(1, 1), (3, 0), (3, 0), (None, 1), (4, None), (5, 7)], "doc_id long, toxic int")
     model = toxicity.fit(odd, labels)
