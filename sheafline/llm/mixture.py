@@ -254,14 +254,14 @@ def mixed_texts(docs, doc_id="doc_id", text="text", source="source", length=None
     met = rows.join(runs.hint("merge"), "at").withColumn("whole", F.col("taken") == F.col("size"))
     words = F.when(~F.col("whole"), F.regexp_extract_all(F.col("row")[text], F.lit(WORD), F.lit(0)))
 
-    def append(done, run):
-        part = F.slice(F.col("split"), run["first"].cast("int") + 1, run["words"].cast("int"))
-        gap = F.when(done["at"] == -1, "").when(done["at"] == run["first"], " ").otherwise("\n")
-        out = F.concat(done["out"], gap, F.array_join(part, " "))
-        return F.struct(out.alias("out"), (run["first"] + run["words"]).alias("at"))
-
-    empty = F.struct(F.lit("").alias("out"), F.lit(-1).cast("long").alias("at"))
-    cut = F.aggregate("runs", empty, append)["out"]
+    def piece(run, i):
+        before = F.get(F.col("runs"), i - 1)
+        gap = F.when(i == 0, "").when(before["first"] + before["words"] == run["first"], " ").otherwise("\n")
+        own = F.slice(F.col("split"), run["first"].cast("int") + 1, run["words"].cast("int"))
+        return F.concat(gap, F.array_join(own, " "))
+
+    # Every piece is made once and they are joined once, so a long text costs what it is long.
+    cut = F.array_join(F.transform("runs", piece), "")
     made = met.withColumn("split", words).withColumn("cut", F.when(F.col("whole"), F.col("row")[text]).otherwise(cut))
     changed = {text: F.col("cut")}
     if length is not None:
