@@ -75,25 +75,36 @@ def embed_chunks(chunks, dimension=DEFAULT_DIMENSION):
     return embedding_records(hashed_vectors(with_text(chunks), dimension))
 
 
-def embed_messages(messages, dimension=DEFAULT_DIMENSION, value="value"):
-    """(records, dead letters) of chunk messages (JSON).
+def chunk_messages(messages, value="value"):
+    """Messages with ``chunk`` (chunk_id, document_id, company_id, text), or the ``reason`` why there is none.
 
-    An absent tenant becomes ``unknown``; an explicit null stays null.  A message that is
-    no JSON object or has no text keeps all its columns and gets a ``reason``, so every
-    message ends in one of the two.
+    An absent tenant becomes ``unknown``; an explicit null stays null.  One result for good
+    and bad messages, parsed once.
     """
     doc = F.col("__json")
     parsed = messages.withColumn("__json", payload.decode(F.col(value)))
     text = payload.text_field(doc, "text")
     reason = F.when(~payload.is_valid(doc), "invalid_json").when(~payload.is_object(doc), "not_an_object")
-    told = parsed.withColumn("reason", reason.when(text.isNull(), "no_text"))
-    chunks = told.filter("reason IS NULL").select(
+    chunk = F.struct(
         payload.text_field(doc, "chunk_id").alias("chunk_id"),
         payload.text_field(doc, "document_id").alias("document_id"),
         payload.tenant_or(doc, UNKNOWN_COMPANY).alias("company_id"),
         text.alias("text"),
     )
-    return embed_chunks(chunks, dimension), told.filter("reason IS NOT NULL").drop("__json")
+    told = parsed.withColumn("reason", reason.when(text.isNull(), "no_text"))
+    return told.withColumn("chunk", F.when(F.col("reason").isNull(), chunk)).select(*messages.columns, "chunk", "reason")
+
+
+def embed_messages(messages, dimension=DEFAULT_DIMENSION, value="value"):
+    """(records, dead letters) of chunk messages (JSON).
+
+    A message that is no JSON object or has no text keeps all its columns and gets a
+    ``reason``, so every message ends in one of the two.  Each side parses for itself; see
+    :func:`chunk_messages` for both from one pass.
+    """
+    rows = chunk_messages(messages, value)
+    chunks = rows.filter("reason IS NULL").select("chunk.*")
+    return embed_chunks(chunks, dimension), rows.filter("reason IS NOT NULL").select(*messages.columns, "reason")
 
 
 def with_model_info(vectors, model_name=HASHED_MODEL, dimension=DEFAULT_DIMENSION):

@@ -56,23 +56,32 @@ def raw_events(uploads):
     )
 
 
+def decoded_rows(messages, schema, value="value"):
+    """Broker rows with ``payload``, a struct of the fields, or with the ``reason`` why there is none.
+
+    One result for good and bad messages, parsed once: write it, or hand it to a stream's
+    fan-out, where both are wanted.
+    """
+    parsed = messages.withColumn("__json", payload.decode(F.col(value)))
+    good = payload.is_object(F.col("__json"))
+    reason = F.when(good, None).when(payload.is_valid(F.col("__json")), "not_an_object").otherwise("invalid_json")
+    told = parsed.withColumn("reason", reason)
+    fields = F.from_json(F.when(F.col("reason").isNull(), F.col(value)), schema)
+    return told.withColumn("payload", fields).select(*messages.columns, "payload", "reason")
+
+
 def decode_messages(messages, schema, value="value"):
     """Split broker rows into (decoded, quarantined).
 
     Decoded rows carry the payload fields next to the broker columns.  Messages
     that are not a JSON object are quarantined whole, with a reason, instead of
-    being dropped or stopping the consumer.
+    being dropped or stopping the consumer.  Each side parses for itself; see
+    :func:`decoded_rows` for both from one pass.
     """
-    parsed = messages.withColumn("__json", payload.decode(F.col(value))).withColumn(
-        "__ok", payload.is_object(F.col("__json"))
-    )
+    rows = decoded_rows(messages, schema, value)
     keep = [c for c in messages.columns if c != value]
-    decoded = parsed.filter("__ok").select(*keep, F.from_json(F.col(value), schema).alias("__p"))
-    reason = F.when(payload.is_valid(F.col("__json")), F.lit("not_an_object")).otherwise(
-        F.lit("invalid_json")
-    )
-    quarantined = parsed.filter("NOT __ok").withColumn("reason", reason).drop("__json", "__ok")
-    return decoded.select(*keep, "__p.*"), quarantined
+    good = rows.filter("reason IS NULL").select(*keep, "payload.*")
+    return good, rows.filter("reason IS NOT NULL").select(*messages.columns, "reason")
 
 
 def with_content_type(events):

@@ -138,6 +138,8 @@ def vector_dim_check(spark, folder):
         ORDER BY score DESC, chunk_id LIMIT {TOP_K}""",
 )
 def tenant_topk(spark, folder):
-    stored = inputs.DAMAGED_VECTORS.frame(spark, folder).withColumn("company_id", F.col("tenant"))
-    best = search.tenant_topk(stored, TENANT, QUERY_VECTOR, TOP_K)
-    return best.select("chunk_id", "company_id", F.round("score", 6).alias("score"))
+    table = inputs.read_table(spark, folder, "embeddings")
+    named = table.selectExpr(*inputs.DAMAGED_VECTORS.expressions, "label").drop("company_id")
+    # The stored column itself is compared, so the scan skips what no row of the tenant can be in.
+    best = search.tenant_topk(named.withColumnRenamed("label", "company_id"), int(TENANT), QUERY_VECTOR, TOP_K)
+    return best.select("chunk_id", F.col("company_id").cast("string"), F.round("score", 6).alias("score"))

@@ -178,16 +178,16 @@ def stream_fan_out(spark, folder):
     rows = inputs.MESSAGES.frame(spark, folder)
 
     def decoded(batch):
-        return events.decode_messages(batch, "company_id STRING")[0].select(*FANNED.names)
+        return batch.where("reason IS NULL").select("event_id", "payload.company_id")
 
     outputs = {
         "decoded": decoded,
-        "quarantined": lambda batch: events.decode_messages(batch, "company_id STRING")[1].select(*REFUSED.names),
+        "quarantined": lambda batch: batch.where("reason IS NOT NULL").select(*REFUSED.names),
         "tenants": lambda batch: decoded(batch).groupBy("company_id").agg(F.count("*").alias("n")),
     }
     for part in ("event_id % 3 = 0", "event_id % 3 <> 0"):
         arrive(rows.where(part), f"{work}/topic")
-        messages = follow(spark, f"{work}/topic", rows.schema)
+        messages = events.decoded_rows(follow(spark, f"{work}/topic", rows.schema), "company_id STRING")
         start_fan_out(messages, outputs, f"{work}/tables", f"{work}/checkpoint", ALL_AVAILABLE).awaitTermination()
     read = lambda name, schema: read_fan_out(spark, f"{work}/tables", name, schema)
     one, none = F.lit(1).cast("long").alias("n"), F.lit(None).cast("long").alias("event_id")

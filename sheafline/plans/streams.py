@@ -140,8 +140,7 @@ def stream_chain(spark, folder):
     return reports.daily_report(vectors, AS_OF).withColumn("processing_date", F.col("processing_date").cast("string"))
 
 
-# How a landed backlog is gathered, whatever the cluster.
-LANDING_TASKS = 16
+# Tasks a folder with most of the records is split over.
 LANDING_SPLIT = 4
 
 
@@ -160,7 +159,7 @@ def stream_landing_rows(spark, folder):
         f"{work}/landing",
         f"{work}/checkpoint",
         trigger=ALL_AVAILABLE,
-        tasks=LANDING_TASKS,
+        tasks=spark.sparkContext.defaultParallelism,
         split=LANDING_SPLIT,
     ).awaitTermination()
     landed = read_landing(spark, f"{work}/landing", EMBEDDING_KEYS)

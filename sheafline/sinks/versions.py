@@ -64,8 +64,10 @@ class VersionedTable:
     def replace(self, processed, incoming, version):
         """Make ``incoming`` the only rows of the ``processed`` documents, as batch ``version``.
 
-        Only the buckets of processed documents are read and written.  Writing a version
-        that is committed already changes nothing, so a repeated batch is harmless.
+        Only the buckets of processed documents are read and written, so ``incoming`` must hold
+        no other documents.  Rows without company or document match none and are added.
+        Writing a version that is committed already changes nothing, so a repeated batch is
+        harmless.
         """
         newest, entries = self.current()
         if newest is not None and version <= newest:

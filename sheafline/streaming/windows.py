@@ -42,8 +42,8 @@ def _frames(rows, names):
 class WindowElements(StatefulProcessor):
     """Holds a window's elements as list state and gives them to ``function`` when it closes."""
 
-    def __init__(self, function, element, names):
-        self.function, self.element, self.names = function, element, names
+    def __init__(self, function, element, names, extra=0):
+        self.function, self.element, self.names, self.extra = function, element, names, extra
 
     def init(self, handle):
         self.handle = handle
@@ -59,14 +59,23 @@ class WindowElements(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         bounds = tuple(pd.Timestamp(us, unit="us", tz="UTC") for us in key[:2])
-        keys = tuple(None if pd.isna(k) else k for k in key[2:])
+        keys = tuple(None if pd.isna(k) else k for k in key[2 : len(key) - self.extra])
         made = self.function(keys, bounds, self.elements.get())
         yield from _frames(((*bounds, *keys, *row) for row in made), self.names)
         self.elements.clear()
 
 
 def process_windows(
-    rows, function, output, columns, width=EVENT_WINDOW, ts="timestamp", keys=("company_id",), delay=OUT_OF_ORDER
+    rows,
+    function,
+    output,
+    columns,
+    width=EVENT_WINDOW,
+    ts="timestamp",
+    keys=("company_id",),
+    delay=OUT_OF_ORDER,
+    lanes=1,
+    merge=None,
 ):
     """Rows ``function`` yields for each closed window and key, for append mode.
 
@@ -77,8 +86,14 @@ def process_windows(
     when the watermark passes its end, and later rows for it are dropped, as in
     :func:`counters.event_time_counts`: where a count or another built-in aggregate will
     do, that is cheaper, since it holds no elements.
+
+    A window of a key with most of the rows is one task.  With ``lanes`` above 1 its
+    elements are dealt to so many parts at random, ``function`` runs on each part, and
+    ``merge``, which has the same form, on the few rows the parts have yielded.
     """
     width_ms(width)
+    if lanes > 1 and merge is None:
+        raise ValueError("windows in several lanes need a function that merges them")
     marked = rows.withWatermark(ts, delay)
     # The window carries the watermark: a row is late when its window has closed.
     windowed = marked.select(
@@ -88,14 +103,28 @@ def process_windows(
     )
     held = windowed.select("*", F.unix_micros("window.start").alias("start"), F.unix_micros("window.end").alias("end"))
     element = T.StructType([f for f in windowed.schema if f.name.startswith("value")])
+    names = [f"key{i}" for i in range(len(keys))]
     result = T.StructType(
         [T.StructField(b, T.TimestampType()) for b in BOUNDS]
         + [T.StructField(k, windowed.schema[f"key{i}"].dataType) for i, k in enumerate(keys)]
         + list(output.fields)
     )
-    grouped = held.groupBy("start", "end", *[f"key{i}" for i in range(len(keys))])
-    return grouped.transformWithStateInPandas(
-        WindowElements(function, element, result.names), result, "Append", "EventTime"
+    if lanes == 1:
+        whole = held.groupBy("start", "end", *names)
+        return whole.transformWithStateInPandas(WindowElements(function, element, result.names), result, "Append", "EventTime")
+    dealt = held.withColumn("lane", F.floor(F.rand() * lanes).cast("int")).groupBy("start", "end", *names, "lane")
+    parts = dealt.transformWithStateInPandas(
+        WindowElements(function, element, result.names, extra=1), result, "Append", "EventTime", None, BOUNDS[1]
+    )
+    partial = parts.select(
+        BOUNDS[1],
+        *[F.unix_micros(b).alias(n) for b, n in zip(BOUNDS, ("start", "end"))],
+        *[F.col(k).alias(n) for k, n in zip(keys, names)],
+        *[F.col(f.name).alias(f"value{i}") for i, f in enumerate(output.fields)],
+    )
+    field = T.StructType([T.StructField(f"value{i}", f.dataType) for i, f in enumerate(output.fields)])
+    return partial.groupBy("start", "end", *names).transformWithStateInPandas(
+        WindowElements(merge, field, result.names), result, "Append", "EventTime"
     )
 
 

@@ -127,7 +127,12 @@ def test_streamed_rate_equals_batch_rate_for_closed_ranges(spark, tmp_path):
     stream = spark.readStream.schema(OBSERVATION).parquet(source)
     rated = metrics.stream_rate(stream, {"k": metrics.label("k")}, 60, 15)
     query = rated.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
-    query.trigger(availableNow=True).start(out).awaitTermination()
+    query = query.trigger(availableNow=True).start(out)
+    query.awaitTermination()
+    # Every observation is held once, in its step: at most one row per step and label, not one per range.
+    held = [p["stateOperators"] for p in query.recentProgress if p["stateOperators"]]
+    steps = len({(int(r[0] // 15), r[2]["k"]) for r in rows}) + 1
+    assert len(held[0]) == 2 and max(o[-1]["numRowsTotal"] for o in held) <= steps
     batch = metrics.range_rate(spark.read.parquet(source), {"k": metrics.label("k")}, 60, 15)
     closed = batch.filter(F.unix_timestamp("window_start") <= F.lit(1704067200 + 595 - 60))
     streamed = spark.read.schema(rated.schema).parquet(out)

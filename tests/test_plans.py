@@ -86,6 +86,10 @@ def test_scans_read_only_needed_columns(plans):
         assert {c.split(":")[0] for part in read for c in part.split(",")} == columns, name
 
 
+def test_registered_search_pushes_its_tenant(plans):
+    assert "EqualTo(label,3)" in plans["tenant_topk"]
+
+
 def test_similarity_keeps_k_rows_per_task_and_pushes_the_tenant(spark, tmp_path):
     path = str(tmp_path / "vectors")
     spark.createDataFrame(

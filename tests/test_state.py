@@ -59,6 +59,39 @@ def test_window_elements_with_nulls_late_rows_and_a_restart(spark, tmp_path):
     assert run_listed(spark, path, out, check) == first + Counter({(60, "a", "y", 7): 1, (60, "a", "z", 8): 1})
 
 
+def counted(keys, bounds, elements):
+    yield (sum(1 for _ in elements),)
+
+
+def test_hot_windows_in_lanes(spark, tmp_path):
+    path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    count = T.StructType().add("n", "long")
+    seen = str(tmp_path / "parts")
+
+    def noted(keys, bounds, parts):
+        parts = list(parts)
+        with open(seen, "a") as file:
+            file.write(f"{keys[0]} {len(parts)}\n")
+        yield (sum(n for (n,) in parts),)
+
+    def run():
+        stream = spark.readStream.schema(ITEM).option("maxFilesPerTrigger", 1).parquet(path)
+        done = windows.process_windows(stream, counted, count, ("word",), ts="at", keys=("tenant",), lanes=3, merge=noted)
+        stream_layer(done, out, check, AVAILABLE).awaitTermination()
+        rows = spark.read.schema(done.schema).parquet(out).select(F.unix_timestamp("window_start").alias("s"), "tenant", "n").collect()
+        return Counter((r["s"] - int(DAY.timestamp()), r["tenant"], r["n"]) for r in rows)
+
+    append(spark, path, items(*[("hot", 1, "x", 1)] * 300, ("cold", 2, "x", 1), ("hot", 66, "y", 1)), ITEM)
+    first = Counter([(0, "hot", 300), (0, "cold", 1)])
+    assert run() == first
+    append(spark, path, items(*[("hot", 70, "x", 1)] * 200, ("hot", 3, "late", 1), ("hot", 300, "x", 1)), ITEM)
+    assert run() == first + Counter([(60, "hot", 201)])
+    parts = [line.split() for line in open(seen).read().splitlines()]
+    assert sorted(parts) == [["cold", "1"], ["hot", "3"], ["hot", "3"]]
+    with pytest.raises(ValueError):
+        windows.process_windows(None, counted, count, (), lanes=2)
+
+
 def test_widths():
     assert windows.width_ms("30 seconds") == 30_000 and windows.width_ms("1 hour") == 3_600_000
     for bad in ("0 seconds", "1 fortnight", "-1 seconds"):

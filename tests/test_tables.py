@@ -1,13 +1,16 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from sheafline.operators import documents, joins, reports
+from sheafline.operators.metrics import HISTOGRAMS
 from sheafline.schemas import EMBEDDING_KEYS
-from sheafline.session import shared_folder
-from sheafline.sinks.tables import write_landing, write_raw_objects, write_report, write_single_date
+from sheafline.session import finished, shared_folder, stored, temporary_folders
+from sheafline.sinks.tables import stream_layer, write_landing, write_raw_objects, write_report, write_single_date
 from sheafline.sources.landing import day_filter, read_landing, read_landing_day, require_columns
+from sheafline.streaming import timing
 
 
 def report(spark, day, rows):
@@ -213,3 +216,50 @@ def test_one_document_under_several_names(spark):
     found = lambda df: sorted((r.document_id or "", r.filename) for r in df.collect())
     assert found(accepted) == [("", "n5"), ("A", "n1"), ("B", "n2"), ("D", "n4")]
     assert found(rejected) == [("A", "n2"), ("D", "n4"), ("E", "n5")] and accepted.columns == uploads.columns
+
+
+def test_stage_tables_are_deleted_with_their_block(spark):
+    with temporary_folders(spark):
+        inner = stored(spark.range(3), "inner")
+        path = inner.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
+
+    seen = []
+
+    def make():
+        stage = stored(spark.range(5), "stage")
+        seen.append(stage.inputFiles()[0].removeprefix("file://"))
+        return stage.where("id > 1")
+
+    with pytest.raises(ZeroDivisionError), temporary_folders(spark):
+        seen.append(stored(spark.range(1), "lost").inputFiles()[0].removeprefix("file://"))
+        1 / 0
+    done = finished(spark, "result", make)
+    assert sorted(r["id"] for r in done.collect()) == [2, 3, 4] and not any(map(os.path.exists, seen))
+    # Nested blocks delete what was named inside them, and a result belongs to the block around it.
+    with temporary_folders(spark):
+        nested = finished(spark, "result", make).inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(nested)
+    assert not os.path.exists(nested)
+
+
+def test_documents_and_batches_are_timed(spark, tmp_path):
+    summary = spark.createDataFrame([("1", 3)], "document_id STRING, n INT")
+    timed = timing.with_elapsed(summary, 12.3456)
+    assert timed.first()["processing_time_ms"] == 12.35
+    labels = {n: F.lit("x") for n in HISTOGRAMS[timing.DOCUMENT_SECONDS].labels}
+    seen = timing.document_seconds(timed, **labels).first()
+    assert seen["metric"] == timing.DOCUMENT_SECONDS and seen["value"] == pytest.approx(0.01235)
+    times = timing.BatchTimes()
+    spark.streams.addListener(times)
+    try:
+        summary.write.parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(summary.schema).parquet(str(tmp_path / "in"))
+        stream_layer(stream, str(tmp_path / "out"), str(tmp_path / "check"), {"availableNow": True}).awaitTermination()
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(times)
+    rows = times.observations(spark).collect()
+    assert sum(r["rows"] for r in rows) == 1 and all(r["value"] > 0 and r["metric"] == timing.BATCH_SECONDS for r in rows)
+    assert times.observations(spark).collect() == []
