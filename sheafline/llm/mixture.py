@@ -254,15 +254,19 @@ def mixed_texts(docs, doc_id="doc_id", text="text", source="source", length=None
     met = rows.join(runs.hint("merge"), "at").withColumn("whole", F.col("taken") == F.col("size"))
     words = F.when(~F.col("whole"), F.regexp_extract_all(F.col("row")[text], F.lit(WORD), F.lit(0)))
 
-    def piece(run, i):
+    def piece(split, run, i):
         before = F.get(F.col("runs"), i - 1)
         gap = F.when(i == 0, "").when(before["first"] + before["words"] == run["first"], " ").otherwise("\n")
-        own = F.slice(F.col("split"), run["first"].cast("int") + 1, run["words"].cast("int"))
+        own = F.slice(split, run["first"].cast("int") + 1, run["words"].cast("int"))
         return F.concat(gap, F.array_join(own, " "))
 
-    # Every piece is made once and they are joined once, so a long text costs what it is long.
-    cut = F.array_join(F.transform("runs", piece), "")
-    made = met.withColumn("split", words).withColumn("cut", F.when(F.col("whole"), F.col("row")[text]).otherwise(cut))
+    def pieces(split):
+        return F.array_join(F.transform("runs", lambda run, i: piece(split, run, i)), "")
+
+    # The words are the argument of a function: as a column of its own the split would be
+    # moved into the function over runs and repeated for each of them.
+    cut = F.get(F.transform(F.array(words), pieces), F.lit(0))
+    made = met.withColumn("cut", F.when(F.col("whole"), F.col("row")[text]).otherwise(cut))
     changed = {text: F.col("cut")}
     if length is not None:
         old = F.col("row")[length]

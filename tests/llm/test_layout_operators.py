@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import time
 from collections import Counter
 from itertools import combinations
 
@@ -232,6 +233,19 @@ def test_mixed_texts_carry_what_is_taken(spark):
     assert sum(words.values()) == sum(taken.values())
 
 
+def test_long_texts_are_cut_in_linear_time(spark):
+    def seconds(n):
+        docs = docs_of(spark, [(1, " ".join(f"w{i}" for i in range(n)), "s"), (2, "v " * 100, "s")])
+        started = time.perf_counter()
+        rows = mixture.mixed_texts(docs, length="size").collect()
+        words = [w for r in rows if r["doc_id"] == 1 for w in r["text"].split()]
+        assert abs(len(words) - 1.5 * n) < 0.1 * n + 200
+        return time.perf_counter() - started
+
+    seconds(1_000)
+    assert seconds(200_000) < 10 + 3 * seconds(20_000)
+
+
 def test_mixture_of_nothing(spark):
     empty = docs_of(spark, [(1, "a", "s")]).limit(0)
     assert mixture.mix(empty).count() == 0 and mixture.mixed_texts(empty).count() == 0
