@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import os
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -66,6 +67,39 @@ def prepare(spark):
     return spark
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+# Spark's default, which holds one column family only; processors have one per state variable.
+PLAIN_STORE = "HDFSBackedStateStoreProvider"
+# What is to be put on the path of Python workers: the folder or archive that holds this package.
+PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+@contextmanager
+def stateful_processors(spark):
+    """For the calls that give a stream a stateful processor, on any session.
+
+    Streams started on the session from now on keep their state in RocksDB, unless its owner
+    chose a store other than Spark's default one, which refuses processors; a restarted stream
+    keeps the store it began with.  The first batch runs the processor on the driver, in a worker
+    that does not get the files given by ``--py-files`` or ``addPyFile``, so the processor's
+    environment names where the package is.
+    """
+    if spark.conf.get(STATE_STORE).endswith(PLAIN_STORE):
+        spark.conf.set(STATE_STORE, SESSION_DEFAULTS[STATE_STORE])
+    environment = spark.sparkContext.environment
+    before = environment.get("PYTHONPATH")
+    inherited = spark._jvm.java.lang.System.getenv("PYTHONPATH")
+    known = os.pathsep.join(p for p in (before, inherited) if p).split(os.pathsep)
+    if PACKAGE_ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(p for p in (before, PACKAGE_ROOT) if p)
+    try:
+        yield
+    finally:
+        environment.pop("PYTHONPATH", None)
+        if before is not None:
+            environment["PYTHONPATH"] = before
+
+
 # Folders named inside the innermost temporary_folders block, if there is one.
 _NAMED = ContextVar("named_folders", default=None)
 

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import os
 import random
 import time
 from collections import Counter
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sheafline import session
 from sheafline.operators import joins
 from sheafline.schemas import BROKER_ROW
 from sheafline.sinks.fanout import committed_batches, read_fan_out, start_fan_out
@@ -329,3 +331,34 @@ def test_guard_agrees_with_the_batch_guard_over_any_cut(spark, tmp_path, seed):
     for low, high in zip([0, *cuts], [*cuts, 40]):
         rows = run_guard(spark, str(tmp_path), [u for u in uploads if low <= u[3] < high], (), existing)
     assert Counter((r["document_id"], r["company_id"], r["filename"], r["arrival"], r["accepted"]) for r in rows) == want
+
+
+@pytest.fixture
+def plain(spark):
+    """A session with Spark's default state store."""
+    other = spark.newSession()
+    store = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    other.conf.set("spark.sql.streaming.stateStore.providerClass", store)
+    return other
+
+
+def test_guard_on_a_plain_session(plain, tmp_path):
+    append(plain, str(tmp_path / "uploads"), [("d1", "a", "x", 2), ("d2", "a", "x", 1), ("d3", None, "x", 3)], UPLOAD)
+    stream = plain.readStream.schema(UPLOAD).parquet(str(tmp_path / "uploads"))
+    verdicts = guard.guard_uploads(stream)
+    stream_layer(verdicts, str(tmp_path / "out"), str(tmp_path / "check"), AVAILABLE).awaitTermination()
+    rows = plain.read.schema(verdicts.schema).parquet(str(tmp_path / "out")).collect()
+    assert {r["document_id"]: r["accepted"] for r in rows} == {"d1": False, "d2": True, "d3": True}
+
+
+def test_processors_name_the_package_only_while_they_are_given(plain, monkeypatch, tmp_path):
+    environment = plain.sparkContext.environment
+    before = dict(environment)
+    monkeypatch.setattr(session, "PACKAGE_ROOT", str(tmp_path))
+    with session.stateful_processors(plain):
+        assert str(tmp_path) in environment["PYTHONPATH"].split(os.pathsep)
+    assert environment == before
+    assert plain.conf.get(session.STATE_STORE).endswith("RocksDBStateStoreProvider")
+    plain.conf.set(session.STATE_STORE, "some.other.Store")
+    with session.stateful_processors(plain):
+        assert plain.conf.get(session.STATE_STORE) == "some.other.Store"
