@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from sheafline.session import stateful_processors
 from sheafline.streaming.counters import EVENT_WINDOW, OUT_OF_ORDER, PROCESSING_WINDOW, with_tenant
 
 # Rows a task hands to Spark at a time.
@@ -111,11 +112,13 @@ def process_windows(
     )
     if lanes == 1:
         whole = held.groupBy("start", "end", *names)
-        return whole.transformWithStateInPandas(WindowElements(function, element, result.names), result, "Append", "EventTime")
+        with stateful_processors(rows.sparkSession):
+            return whole.transformWithStateInPandas(WindowElements(function, element, result.names), result, "Append", "EventTime")
     dealt = held.withColumn("lane", F.floor(F.rand() * lanes).cast("int")).groupBy("start", "end", *names, "lane")
-    parts = dealt.transformWithStateInPandas(
-        WindowElements(function, element, result.names, extra=1), result, "Append", "EventTime", None, BOUNDS[1]
-    )
+    with stateful_processors(rows.sparkSession):
+        parts = dealt.transformWithStateInPandas(
+            WindowElements(function, element, result.names, extra=1), result, "Append", "EventTime", None, BOUNDS[1]
+        )
     partial = parts.select(
         BOUNDS[1],
         *[F.unix_micros(b).alias(n) for b, n in zip(BOUNDS, ("start", "end"))],
@@ -123,9 +126,10 @@ def process_windows(
         *[F.col(f.name).alias(f"value{i}") for i, f in enumerate(output.fields)],
     )
     field = T.StructType([T.StructField(f"value{i}", f.dataType) for i, f in enumerate(output.fields)])
-    return partial.groupBy("start", "end", *names).transformWithStateInPandas(
-        WindowElements(merge, field, result.names), result, "Append", "EventTime"
-    )
+    with stateful_processors(rows.sparkSession):
+        return partial.groupBy("start", "end", *names).transformWithStateInPandas(
+            WindowElements(merge, field, result.names), result, "Append", "EventTime"
+        )
 
 
 class IdleCounts(StatefulProcessor):

@@ -362,3 +362,9 @@ def test_processors_name_the_package_only_while_they_are_given(plain, monkeypatc
     plain.conf.set(session.STATE_STORE, "some.other.Store")
     with session.stateful_processors(plain):
         assert plain.conf.get(session.STATE_STORE) == "some.other.Store"
+
+
+def test_window_elements_on_a_plain_session(plain, tmp_path):
+    path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
+    append(plain, path, items(("a", 1, "x", 1), ("a", 66, "y", 7)), ITEM)
+    assert run_listed(plain, path, out, check) == Counter({(0, "a", "x", 1): 1})
