@@ -100,17 +100,19 @@ def stream_rate_5m(spark, folder):
 
 IDLE_WIDTH = "1 second"
 IDLE_TRIGGER = {"processingTime": "200 milliseconds"}
-# Seconds after which a query whose windows stay open counts as broken.
+# Seconds after the last input was read by which a query whose windows stay open counts as broken.
 IDLE_PATIENCE = 300
 
 
 def wait_until_idle(running):
-    """Until the input is read and no window is open any more."""
-    ends = time.monotonic() + IDLE_PATIENCE
-    while time.monotonic() < ends and running.isActive:
+    """Until the input is read, however long that takes, and no window is open any more."""
+    read, ends = None, None
+    while running.isActive and (ends is None or time.monotonic() < ends):
         last = running.lastProgress
         if last and last["batchId"] > 0 and last["stateOperators"] and last["stateOperators"][0]["numRowsTotal"] == 0:
             return
+        if last and (ends is None or last["numInputRows"] and last["batchId"] != read):
+            read, ends = last["batchId"], time.monotonic() + IDLE_PATIENCE
         time.sleep(0.2)
     raise TimeoutError("windows stayed open though nothing arrived") from running.exception()
 

@@ -179,6 +179,7 @@ def idle_processing_counts(messages, width=PROCESSING_WINDOW):
 
     per_task = with_tenant(messages).select("company_id").mapInPandas(added, "company_id string, n long")
     output = "window_start timestamp, window_end timestamp, company_id string, chunk_count long"
-    return per_task.groupBy("company_id").transformWithStateInPandas(
-        IdleCounts(width_ms(width)), output, "Append", "ProcessingTime"
-    )
+    with stateful_processors(messages.sparkSession):
+        return per_task.groupBy("company_id").transformWithStateInPandas(
+            IdleCounts(width_ms(width)), output, "Append", "ProcessingTime"
+        )

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from sheafline import session
 from sheafline.operators import joins
+from sheafline.plans import state
+from sheafline.plans.state import wait_until_idle
 from sheafline.schemas import BROKER_ROW
 from sheafline.sinks.fanout import committed_batches, read_fan_out, start_fan_out
 from sheafline.sinks.tables import stream_layer
@@ -368,3 +370,42 @@ def test_window_elements_on_a_plain_session(plain, tmp_path):
     path, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     append(plain, path, items(("a", 1, "x", 1), ("a", 66, "y", 7)), ITEM)
     assert run_listed(plain, path, out, check) == Counter({(0, "a", "x", 1): 1})
+
+
+def test_idle_windows_on_a_plain_session(plain, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+    append(plain, path, [message("a", "1", 0), message("a", "2", 0)], BROKER_ROW)
+    counts = windows.idle_processing_counts(plain.readStream.schema(BROKER_ROW).parquet(path), "1 second")
+    query = stream_layer(counts, out, str(tmp_path / "check"), {"processingTime": "200 milliseconds"})
+    try:
+        wait_until_idle(query)
+    finally:
+        query.stop()
+    rows = plain.read.schema(counts.schema).parquet(out).collect()
+    assert [(r["company_id"], r["chunk_count"]) for r in rows] == [("a", 2)]
+
+
+class Told:
+    """A query that reports these states one after the other, the last one for ever."""
+
+    isActive = True
+
+    def __init__(self, *told):
+        self.told = list(told)
+
+    @property
+    def lastProgress(self):
+        return self.told.pop(0) if len(self.told) > 1 else self.told[0]
+
+    def exception(self):
+        return None
+
+
+def test_patience_begins_when_the_input_is_read(monkeypatch):
+    clock = iter(range(0, 10**6, 200))
+    monkeypatch.setattr(state.time, "monotonic", lambda: next(clock))
+    monkeypatch.setattr(state.time, "sleep", lambda _: None)
+    told = lambda batch, rows, held: {"batchId": batch, "numInputRows": rows, "stateOperators": [{"numRowsTotal": held}]}
+    wait_until_idle(Told(None, None, None, None, told(0, 5, 2), told(1, 5, 2), told(2, 5, 2), told(3, 0, 0)))
+    with pytest.raises(TimeoutError):
+        wait_until_idle(Told(told(0, 5, 2), told(1, 0, 2)))
