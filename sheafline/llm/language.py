@@ -7,11 +7,12 @@ language.  Where the n-grams of a language are more than a broadcast may hold, t
 a count go, and what they held of a context falls to its back-off, so that every
 context still sums to one.  A text goes to the language with the lowest cross-entropy per
 character, and is marked as rejected when even that one is higher than a calibrated bound
-for a text of its length.
+for a text of its length; the calibration takes every learnable document.
 """
 
 from __future__ import annotations
 
+import copy
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -32,17 +33,18 @@ MODEL_TOTAL = 3_000_000
 # Counts up to this have bins of their own; above, each doubling has so many bins.
 EXACT = 1024
 BINS_PER_DOUBLING = 64
-# Documents that calibrate score and rejection, the longest one, and the tail to reject.
-CALIBRATION_DOCUMENTS = 2_000
-CALIBRATION_LONGEST = 50_000
+# Tail of the documents learned from that the calibration rejects, and the sharpnesses it tries.
 REJECTED_TAIL = 0.001
+HEATS = tuple(2.0**k for k in range(-4, 7))
+# Bins of the calibration's histograms, to a unit of the inverse hyperbolic sine: absolute
+# around 0, relative far from it.
+CALIBRATION_BINS = 1 << 14
 # Characters beyond which a text's own topic, not its length, decides how far it strays.
 STRAY = 400
 # Distinct words held per language while counting, and remembered while scoring.
 COUNT_WORDS = 100_000
 CACHE_WORDS = 300_000
 LOOKUP_WORDS = 50_000
-SEED = 77
 
 _NOT_LETTERS = {c: " " for c in range(0x250) if not chr(c).isalpha()}
 _ASCII_LETTERS = bytes(c if c >= 0x80 or chr(c).isalpha() else 0x20 for c in range(0x100))
@@ -259,25 +261,11 @@ class LanguageModel:
         """How far the entropy under a language is above its mean, in spreads for that length."""
         return (entropy[np.arange(len(n)), which] - self.mean[which]) / self.spread[which] * np.sqrt(n / (1 + n / STRAY))
 
-    def calibrate(self, entropy, n, truth):
-        """Fix means, spreads, the rejection bound and the sharpness of the score."""
-        if not len(n):
-            return
-        entropy, n, truth = np.asarray(entropy), np.asarray(n, dtype=float), np.asarray(truth)
-        for i in range(len(self.langs)):
-            own = truth == i
-            if own.sum() >= 3:
-                e, w = entropy[own, i], n[own] / (1 + n[own] / STRAY)
-                self.mean[i] = np.median(e)
-                self.spread[i] = max(np.sqrt(np.median((e - self.mean[i]) ** 2 * w)) * 1.4826, 1e-3)
-        self.bound = float(np.quantile(self.excess(entropy, truth, n), 1 - REJECTED_TAIL))
-        right = np.arange(len(n))
-
-        def cost(heat):
-            lead = -heat * np.sqrt(n)[:, None] * (entropy - entropy.min(1, keepdims=True))
-            return -(lead[right, truth] - np.log(np.exp(np.maximum(lead, -700)).sum(1))).mean()
-
-        self.heat = min((2.0**k for k in range(-4, 7)), key=cost)
+    def without_grams(self):
+        """A copy that holds only what :meth:`decide` needs."""
+        small = copy.copy(self)
+        small.hashes = small.alpha = small.weight = None
+        return small
 
 
 class WordEntropies:
@@ -326,32 +314,134 @@ class WordEntropies:
         return entropy, size
 
 
-def fit(docs, doc_id="doc_id", text="text", lang="lang"):
-    """Train on every row with text and language that is not held out.
+def learnable(docs, doc_id="doc_id", text="text", lang="lang"):
+    """Rows with text and language that are not held out."""
+    return docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & ~held_out(doc_id))
+
 
-    Counting covers all of them and shuffles (lang, n-gram, count), combined per task
-    first.  What reaches the driver is bounded: at most MODEL_TOTAL n-grams, and a hash
-    sample of documents for calibration.
+def train(docs, doc_id="doc_id", text="text", lang="lang"):
+    """The model of all learnable rows, not calibrated.
+
+    Counting shuffles (lang, n-gram, count), combined per task first; at most MODEL_TOTAL
+    n-grams reach the driver.
     """
-    rows = bounded_batches(docs).select(F.col(doc_id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
-    learn = rows.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~held_out("id"))
-    learn = learn.withColumn("text", F.make_valid_utf8("text"))
+    learn = learnable(bounded_batches(docs), doc_id, text, lang)
+    texts = learn.select(F.col(lang).alias("lang"), F.make_valid_utf8(F.col(text)).alias("text"))
     with temporary_folders(docs.sparkSession):
-        counts = written(adjusted_counts(learn.select("lang", "text")), "language-counts")
+        counts = written(adjusted_counts(texts), "language-counts")
         frame = model_rows(counts, least_counts(counts)).toPandas()
-    model = LanguageModel(frame)
-    short = learn.where(F.length("text") <= CALIBRATION_LONGEST)
-    total = short.count()
-    share = min(1.0, CALIBRATION_DOCUMENTS / max(1, total))
-    sample = short.where(F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(1 << 20)) < int(share * (1 << 20)) + (share == 1.0))
-    picked = sorted(((r["lang"], r["text"]) for r in sample.select("lang", "text").toLocalIterator()))
-    entropy, n = WordEntropies(model).entropies([p[1] for p in picked])
-    place = {name: i for i, name in enumerate(model.langs)}
-    some = [i for i, p in enumerate(picked) if n[i] > 0 and p[0] in place]
-    model.calibrate(entropy[some], n[some], [place[picked[i][0]] for i in some])
+    return LanguageModel(frame)
+
+
+def with_entropies(docs, model, text="text"):
+    """``docs`` with ``__entropy`` (cross-entropy per character, by language) and ``__n`` (characters).  Narrow."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("__entropy array<double>, __n double")
+    def scored(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        words = WordEntropies(shared.value)
+        for part in parts:
+            entropy, n = words.entropies(list(part))
+            yield pd.DataFrame({"__entropy": list(entropy), "__n": n})
+
+    whole = F.coalesce(F.make_valid_utf8(F.col(text)), F.lit(""))
+    found = bounded_batches(docs).withColumn("__found", scored(whole))
+    return found.select("*", "__found.*").drop("__found")
+
+
+def quantiles(rows, value, share, by):
+    """{key: (quantile, number of rows)} of ``value``, over all rows.
+
+    From a histogram with a bounded number of bins per key, each known by its least value:
+    exact where a bin holds one value, else too low by less than a bin.
+    """
+    bins = rows.groupBy(by.alias("key"), F.floor(F.asinh(value) * CALIBRATION_BINS).alias("bin"))
+    found = defaultdict(list)
+    for row in bins.agg(F.min(value).alias("least"), F.count("*").alias("rows")).collect():
+        found[row["key"]].append((row["least"], row["rows"]))
+    quantile = {}
+    for key, histogram in found.items():
+        values, counts = map(np.array, zip(*sorted(histogram)))
+        ends = counts.cumsum()
+        place = share * (ends[-1] - 1)
+        low, high = values[np.searchsorted(ends, [np.floor(place), np.ceil(place)], side="right")]
+        quantile[key] = float(low + (high - low) * (place % 1)), int(ends[-1])
+    return quantile
+
+
+def calibrated(model, scored, lang="lang"):
+    """The model with means, spreads, rejection bound and sharpness from all rows of ``scored``.
+
+    ``scored`` are learnable rows of :func:`with_entropies`; it is read three times.  Each
+    language has a median and a median deviation, found from histograms like the bound.
+    """
+    model = copy.copy(model)
+    if not model.langs:
+        return model
+    place = F.array_position(F.array(*map(F.lit, model.langs)), F.col(lang))
+    known = scored.where((F.col("__n") > 0) & (place > 0)).select(
+        (place - 1).cast("int").alias("truth"), F.col("__entropy").alias("entropy"), F.col("__n").alias("n")
+    )
+    known = known.withColumn("own", F.get("entropy", F.col("truth")))
+    reach = F.sqrt(F.col("n") / (1 + F.col("n") / STRAY))
+    model.mean, model.spread = model.mean.copy(), model.spread.copy()
+
+    def by_language(values):
+        return F.get(F.array(*map(F.lit, values.tolist())), F.col("truth"))
+
+    enough = {i: q for i, (q, rows) in quantiles(known, F.col("own"), 0.5, F.col("truth")).items() if rows >= 3}
+    for i, middle in enough.items():
+        model.mean[i] = middle
+    off = F.col("own") - by_language(model.mean)
+    for i, (middle, _) in quantiles(known, F.abs(off) * reach, 0.5, F.col("truth")).items():
+        if i in enough:
+            model.spread[i] = max(middle * 1.4826, 1e-3)
+    excess = off / by_language(model.spread) * reach
+    found = quantiles(known, excess, 1 - REJECTED_TAIL, F.lit(0))
+    if not found:
+        return model
+    model.bound = found[0][0]
+    low = F.array_min("entropy")
+
+    def cost(heat):
+        def lead(entropy):
+            return -heat * F.sqrt("n") * (entropy - low)
+
+        shares = F.transform("entropy", lambda e: F.exp(F.greatest(lead(e), F.lit(-700.0))))
+        return F.avg(F.log(F.aggregate(shares, F.lit(0.0), lambda total, share: total + share)) - lead(F.col("own")))
+
+    costs = known.agg(*[cost(heat).alias(f"cost{i}") for i, heat in enumerate(HEATS)]).first()
+    model.heat = HEATS[int(np.argmin(list(costs)))]
     return model
 
 
+def fit(docs, doc_id="doc_id", text="text", lang="lang"):
+    """Train and calibrate on every row with text and language that is not held out.
+
+    Texts are read twice, to count and to score them.  What reaches the driver is bounded:
+    at most MODEL_TOTAL n-grams, and histograms.
+    """
+    model = train(docs, doc_id, text, lang)
+    learn = learnable(docs, doc_id, text, lang).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    with temporary_folders(docs.sparkSession):
+        scored = written(with_entropies(learn, model).drop("text"), "language-scores")
+        return calibrated(model, scored)
+
+
+def _verdicts(model, entropy, n):
+    """RESULT of texts from their cross-entropies and character counts."""
+    langs, scores = np.full(len(n), UNDETERMINED, dtype=object), np.zeros(len(n))
+    rejections, lowest = np.ones(len(n), bool), np.full(len(n), np.nan)
+    some = np.flatnonzero(n > 0)
+    if len(some) and model.langs:
+        best, scores[some], rejections[some] = model.decide(entropy[some], n[some])
+        langs[some] = np.array(model.langs, dtype=object)[best]
+        lowest[some] = entropy[some, best]
+    out = pd.DataFrame({"score": scores, "rejected": rejections, "cross_entropy": lowest})
+    out.insert(0, "lang_pred", pd.Series(langs, dtype=object))
+    return out
+
+
 RESULT = "lang_pred string, score double, rejected boolean, cross_entropy double"
 
 
@@ -371,18 +461,30 @@ def identify(docs, model, text="text"):
         model = shared.value
         words = WordEntropies(model)
         for part in parts:
-            entropy, n = words.entropies(list(part))
-            langs, scores = np.full(len(part), UNDETERMINED, dtype=object), np.zeros(len(part))
-            rejections, lowest = np.ones(len(part), bool), np.full(len(part), np.nan)
-            some = np.flatnonzero(n > 0)
-            if len(some) and model.langs:
-                best, scores[some], rejections[some] = model.decide(entropy[some], n[some])
-                langs[some] = np.array(model.langs, dtype=object)[best]
-                lowest[some] = entropy[some, best]
-            out = pd.DataFrame({"score": scores, "rejected": rejections, "cross_entropy": lowest})
-            out.insert(0, "lang_pred", pd.Series(langs, dtype=object))
-            yield out
+            yield _verdicts(model, *words.entropies(list(part)))
 
     names = [part.split()[0] for part in RESULT.split(", ")]
     found = without(bounded_batches(docs), *names, "__found").withColumn("__found", predicted(F.coalesce(F.make_valid_utf8(F.col(text)), F.lit(""))))
     return found.select("*", *[F.col("__found")[c].alias(c) for c in names]).drop("__found")
+
+
+def identify_own(docs, doc_id="doc_id", text="text", lang="lang"):
+    """:func:`identify` on the rows of ``docs`` with the model :func:`fit` learns from them, without ``text``.
+
+    Each text is scored once, for the calibration and for its result; the scores are written
+    as a table.
+    """
+    model = train(docs, doc_id, text, lang)
+    names = [part.split()[0] for part in RESULT.split(", ")]
+    rows = without(docs, *names)
+    scored = written(with_entropies(rows, model, text).drop(text), "language-scores")
+    learned = scored.where(F.col(lang).isNotNull() & ~held_out(doc_id))
+    small = calibrated(model, learned, lang).without_grams()
+
+    @F.pandas_udf(RESULT)
+    def predicted(entropy: pd.Series, n: pd.Series) -> pd.DataFrame:
+        table = np.array(entropy.tolist(), dtype=float).reshape(len(n), len(small.langs))
+        return _verdicts(small, table, n.to_numpy())
+
+    found = scored.withColumn("__found", predicted("__entropy", "__n"))
+    return found.select(*rows.drop(text).columns, *[F.col("__found")[c].alias(c) for c in names])

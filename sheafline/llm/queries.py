@@ -65,8 +65,7 @@ def op9_tokens(spark, folder):
 @query("op10_language")
 def op10_language(spark, folder):
     docs = tables(spark, folder, "documents", "doc_id", "text", "lang")
-    model = language.fit(docs)
-    return language.identify(docs, model).select(
+    return language.identify_own(docs).select(
         "doc_id", held_out().alias("held_out"), "lang_pred", "score", "rejected"
     )
 

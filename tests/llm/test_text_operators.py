@@ -396,3 +396,35 @@ def test_language_odd_rows(spark, odd):
     assert language.identify(odd.limit(0), model).count() == 0
     nothing = language.fit(odd.limit(0))
     assert {r["lang_pred"] for r in language.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_language_is_calibrated_on_every_document(spark):
+    """As a plain calibration of all learnable documents has it, also beyond 2,000, and with long ones."""
+    docs = spark.range(9000).selectExpr(
+        "id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'a' ELSE 'b' END AS lang",
+        "repeat(CASE WHEN id % 3 = 0 THEN concat('abba bab ', hex(id * 7919), ' ') ELSE concat('xyzzy zyx ', hex(id * 104729), ' ') END,"
+        " CAST(CASE WHEN id % 500 = 1 THEN 4000 ELSE 1 + id % 5 END AS INT)) AS text",
+    )
+    model = language.fit(docs)
+    learn = language.learnable(docs).toPandas()
+    entropy, n = language.WordEntropies(model).entropies(list(learn["text"]))
+    truth = np.array([model.langs.index(x) for x in learn["lang"]])
+    own, reach = entropy[np.arange(len(n)), truth], np.sqrt(n / (1 + n / language.STRAY))
+    assert len(n) > 6000 and learn["text"].str.len().max() > 50_000
+    near = pytest.approx
+    for i in range(2):
+        mean = np.median(own[truth == i])
+        assert model.mean[i] == near(mean, abs=2e-4)
+        off = np.abs(own - mean)[truth == i] * reach[truth == i]
+        assert model.spread[i] == near(np.median(off) * 1.4826, rel=2e-3)
+    assert model.bound == near(np.quantile(model.excess(entropy, truth, n), 0.999), rel=2e-3)
+    same = ("doc_id", "lang_pred", "score", "rejected")
+    apart = language.identify(docs, model).select(*same).orderBy("doc_id").toPandas()
+    once = language.identify_own(docs).select(*same).orderBy("doc_id").toPandas()
+    assert apart.equals(once)
+
+
+def test_language_quantiles_over_all_rows(spark):
+    rows = spark.createDataFrame([(i % 2, float(v)) for i, v in enumerate([5, -1, 5, 7, 8, 7, 9, 30])], "k int, x double")
+    found = language.quantiles(rows, F.col("x"), 0.5, F.col("k"))
+    assert found == {0: (pytest.approx(6.5), 4), 1: (pytest.approx(7.0), 4)}
