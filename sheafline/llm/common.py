@@ -4,16 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sheafline.session import shared_folder
+from sheafline.session import bounded_batches, shared_folder  # noqa: F401 - the operators take it from here
 
 # A run of anything but the six ASCII spaces.
 WORD = r"[^\x20\x09-\x0D]+"
 # Remainder of crc32(doc_id) modulo FOLDS that is never learned from.
 FOLDS = 4
 HELD_OUT = 2
-# Bytes of rows a Python worker is handed at a time.
-BATCH_BYTES = "8m"
-BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def written(df, purpose):
@@ -26,18 +23,6 @@ def written(df, purpose):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(df):
-    """``df``, whose session from now on bounds what goes to Python at a time in bytes, not only in rows.
-
-    By default 10,000 rows go together, which are gigabytes where texts are long.  A bound the
-    session's owner has set stays.
-    """
-    conf = df.sparkSession.conf
-    if conf.get(BATCH_SETTING, None) is None:
-        conf.set(BATCH_SETTING, BATCH_BYTES)
-    return df
-
-
 def held_out(doc_id="doc_id"):
     """True for documents models must not learn from; false for a null id."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % FOLDS == HELD_OUT, F.lit(False))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sheafline.functions import ids, text
+from sheafline.session import bounded_batches
 
 # Default chunk size and overlap, in words.
 DEFAULT_SIZE = 1000
@@ -111,7 +112,7 @@ def chunk_with(df, chunker, column="text"):
         return texts.map(lambda t: list(chunker(t)))
 
     keep = [c for c in df.columns if c != column]
-    cut = df.filter(text.has_text(F.col(column))).select(*keep, run(column).alias("__chunks"))
+    cut = bounded_batches(df).filter(text.has_text(F.col(column))).select(*keep, run(column).alias("__chunks"))
     fanned = cut.select(*keep, F.posexplode_outer("__chunks").alias("chunk_index", column))
     return fanned.filter(F.col("chunk_index").isNotNull())
 

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from sheafline.functions import payload
 from sheafline.operators.events import UNKNOWN_COMPANY, with_text
+from sheafline.session import bounded_batches
 
 # Default dimension, messages per model call and retry limits.
 DEFAULT_DIMENSION = 1536
@@ -59,7 +60,7 @@ def hashed_vectors(df, dimension=DEFAULT_DIMENSION, column="text", output="vecto
                 made.append((counts / length if length else counts).astype(np.float32))
             yield pd.Series(made, index=part.index)
 
-    return df.withColumn(output, vectors(F.col(column)))
+    return bounded_batches(df).withColumn(output, vectors(F.col(column)))
 
 
 def embedding_records(vectors, default_company=UNKNOWN_COMPANY):
@@ -177,7 +178,7 @@ def embed_with(chunks, model_factory, dimension=None, batch_size=DEFAULT_BATCH,
     failed call marks its rows with ``error``; nothing is lost.  ``partitions``
     spreads chunks evenly over tasks when model time outweighs a shuffle.
     """
-    rows = with_text(chunks).select("chunk_id", "document_id", "company_id", "text")
+    rows = bounded_batches(with_text(chunks)).select("chunk_id", "document_id", "company_id", "text")
     if partitions:
         rows = rows.repartition(partitions)
     schema = T.StructType(

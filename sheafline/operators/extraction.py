@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from sheafline.functions import markup, mime, office, text
 from sheafline.operators.events import STAGE_DOWNLOAD, STAGE_UNKNOWN, STAGE_VALIDATION, with_content_type, with_stage
 from sheafline.schemas import PAGES
+from sheafline.session import bounded_batches
 
 METADATA = T.MapType(T.StringType(), T.StringType())
 RESULT = T.StructType(
@@ -152,7 +153,7 @@ def extract_text(objects, readers=None, strict=False):
     """
     table = {**READERS, **(readers or {})}
     name = F.col("reader")
-    routed = objects.withColumn("reader", _reader_name(strict))
+    routed = bounded_batches(objects).withColumn("reader", _reader_name(strict))
     done = routed.withColumns(
         {f"__{key}": r.parse(F.when(name == key, F.col("content"))) for key, r in table.items()}
     )

@@ -8,6 +8,7 @@ from sheafline.plans import inputs
 from sheafline.plans.events import GUESS_SQL, READER_SQL
 from sheafline.plans.registry import query
 from sheafline.plans.sqltext import WS, chunk_id, chunk_rows, words
+from sheafline.session import bounded_batches
 from sheafline.sources.tables import dealt, read_table
 
 SMALL = chunking.ChunkSpec(size=40, overlap=8)
@@ -163,7 +164,7 @@ HTML_TEXT_SQL = f"""SELECT page_id, array_to_string(list_filter(list_transform({
 
 @query("html_text", HTML_TEXT_SQL)
 def html_text(spark, folder):
-    pages = dealt(read_table(spark, folder, "pages"))
+    pages = bounded_batches(dealt(read_table(spark, folder, "pages")))
     node_text = markup.html_to_text(F.encode("html", "UTF-8"))["text"]
     return pages.select("page_id", node_text.alias("text"))
 
@@ -173,7 +174,7 @@ def html_text(spark, folder):
     f"""SELECT page_id, {_decoded("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")} AS title FROM pages""",
 )
 def html_title(spark, folder):
-    pages = dealt(read_table(spark, folder, "pages"))
+    pages = bounded_batches(dealt(read_table(spark, folder, "pages")))
     return pages.select("page_id", markup.html_to_text(F.encode("html", "UTF-8"))["title"].alias("title"))
 
 

@@ -1,5 +1,6 @@
 import time
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -249,3 +250,18 @@ def test_names_of_stored_files_mean_themselves(spark, tmp_path):
     for spelled in (str(root), f"{root}/", f"file://{root}", f"file:{root}/deep/.."):
         got = {r["path"]: bytes(r["content"]).decode() for r in read_objects(spark, spelled).collect()}
         assert got == {n: n for n in names}
+
+
+def test_files_reach_python_in_bounded_batches(spark):
+    """Files of a megabyte are handed over a few at a time, though their number is below Spark's limit."""
+
+    @F.pandas_udf("string")
+    def together(content: pd.Series) -> pd.Series:
+        return pd.Series([str(len(content))] * len(content))
+
+    plain = spark.newSession()
+    plain.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = plain.range(0, 40, 1, 1).selectExpr("'text/plain' AS content_type", "CAST(repeat('x', 1000000) AS BINARY) AS content")
+    reader = extraction.Reader(parse=together, pages=lambda n: F.array(F.struct(F.lit(None).cast("int").alias("page"), n.alias("text"))))
+    sizes = [int(r["pages"][0]["text"]) for r in extraction.extract_text(rows, {"txt": reader}).collect()]
+    assert len(sizes) == 40 and max(sizes) <= 10
